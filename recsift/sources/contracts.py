@@ -1,0 +1,32 @@
+"""Input contracts of the jobs: required columns and types, checked at job entry.
+
+Id columns may be any atomic type (string in production logs); only names are checked for them.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+INTERACTIONS = ("user_id", "item_id", "offer_id", "event_name", "event_type", "event_time", "ymd")
+EXTERNAL_ACTIONS = ("user_id", "item_id", "type", "time", "ymd")
+ORDERS_LOG = ("user_id", "item_id", "ymd")
+CATALOG = ("item_id", "offer_id", "shop_id", "status", "product_type", "subcate_id", "cate_id3",
+           "is_recommend", "zk_price", "raw_price", "order_count", "month_sales", "ticket_id", "title")
+OFFER_STATUS = ("offer_id", "is_del")
+SHOP = ("shop_id", "is_del", "shop_score_avg")
+TICKET = ("ticket_id", "status")
+TRAIN_LOG = ("label", "predictor_json", "trace_id", "user_id", "offer_id", "log_type", "day")
+SIM_PAIRS = ("main_id", "sim_id", "score")
+RANKED_LIST = ("main_id", "pos", "sim_id")
+
+
+class ContractError(ValueError):
+    pass
+
+
+def check(df: DataFrame, required, name: str = "input") -> DataFrame:
+    """Fail fast when a required column is missing (schema only, no job is run)."""
+    missing = [c for c in required if c not in df.columns]
+    if missing:
+        raise ContractError(f"{name}: missing columns {missing}; has {df.columns}")
+    return df

@@ -1,0 +1,6 @@
+"""No streaming operators.
+
+The jobs this library rebuilds are all batch jobs over date-partitioned logs: there are no
+watermarks, event-time windows or stateful stream operators to reproduce. Incremental daily runs
+are expressed with the date-window parameters of each batch job (``recsift.functions.dates``).
+"""
