@@ -9,11 +9,12 @@ FIXTURE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT CAST(o.o_custkey AS VARCHAR) AS user_id, CAST(l.l_partkey AS VARCHAR) AS item_id,
                l.l_linenumber AS line_no, o.o_orderdate AS ts, strftime(o.o_orderdate, '%Y%m%d') AS ymd
         FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""),
-    "ext": (("tx",), """
-        SELECT user_id, item_id,
-               CASE WHEN line_no % 3 = 0 THEN 'footprint' WHEN line_no % 3 = 1 THEN 'order' ELSE 'cart' END AS type,
-               epoch_ms(ts) AS time, ymd
-        FROM tx"""),
+    "ext": ((), f"""
+        SELECT CAST(user_id AS VARCHAR) AS user_id, CAST({_K} AS VARCHAR) AS item_id,
+               CASE WHEN event_type = 'error' THEN 'footprint' WHEN event_type = 'purchase' THEN 'order'
+                    ELSE 'other' END AS type,
+               (epoch_us(ts) // 1000) AS time, strftime(ts, '%Y%m%d') AS ymd
+        FROM events"""),
     "ev": ((), f"""
         SELECT event_id, CAST(user_id AS VARCHAR) AS user_id,
                CAST({_K} AS VARCHAR) AS item_id,
@@ -22,7 +23,7 @@ FIXTURE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                     WHEN 'purchase' THEN 'buy_detail' WHEN 'signup' THEN 'collect_detail'
                     WHEN 'error' THEN 'footprint' END AS event_name,
                CASE WHEN event_type = 'view' THEN 'view' ELSE 'click' END AS event_type,
-               epoch_ms(ts) AS event_time, strftime(ts, '%Y%m%d') AS ymd, strftime(ts, '%Y%m%d%H') AS ymdh
+               (epoch_us(ts) // 1000) AS event_time, strftime(ts, '%Y%m%d') AS ymd, strftime(ts, '%Y%m%d%H') AS ymdh
         FROM events"""),
     "cat": ((), """
         SELECT CAST(p_partkey AS VARCHAR) AS item_id, CAST(p_partkey + 1000000 AS VARCHAR) AS offer_id,
@@ -56,7 +57,7 @@ FIXTURE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                || ', "Mc": ' || CAST(k % 6 AS VARCHAR) || ', "Sl": ' || CAST(k AS VARCHAR)
                || ', "Sf": ' || CAST(k * 3 AS VARCHAR) || ', "Ss": ' || CAST(k % 45 AS VARCHAR)
                || CASE WHEN k % 17 = 5 THEN '' ELSE ', "Sq": "' || array_to_string(
-                      list_transform(range(k % 60), i -> CAST(k * 1000 + i AS VARCHAR)), ',') || '"' END
+                      list_transform(range(k % 60), lambda i: CAST(k * 1000 + i AS VARCHAR)), ',') || '"' END
                || '}}' AS predictor_json,
                CAST(event_id // 4 AS VARCHAR) AS trace_id,
                CASE WHEN user_id % 10 = 3 THEN CAST(user_id AS VARCHAR)

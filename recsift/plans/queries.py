@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recsift.functions import dates
+from recsift.operators import behaviour as beh
+from recsift.operators import ctr
+from recsift.operators import filters as flt
 from recsift.operators import similarity as sim
 from recsift.sources import fixtures as fx
 
@@ -29,3 +33,91 @@ def item_cf(spark: SparkSession, d: str) -> DataFrame:
 @query
 def item_cf_strict(spark: SparkSession, d: str) -> DataFrame:
     return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d), strict_users=True)
+
+
+# ---- parameters of the fixture queries -------------------------------------------------------
+AS_OF = "20240131"         # reference day of the behaviour window (the log covers January 2024)
+LOOKBACK_DAYS = 21         # window start 20240110
+BLOCKLIST = "ring|red"     # title blocklist used with the test catalog
+EXCL_CATE_ID3 = (22, 41, 45, 17, 48)
+EXCL_SUBCATE = ("Brand#20",)
+
+
+def _start() -> str:
+    return dates.window_start(AS_OF, LOOKBACK_DAYS)
+
+
+@query
+def valid_interactions(spark, d):
+    v = flt.valid_interactions(fx.interactions(spark, d), start=_start())
+    return v.select("user_id", "item_id", "offer_id", "event_time", "ymd")
+
+
+@query
+def id_length_filter(spark, d):
+    t = flt.id_length_filter(fx.train_log(spark, d))
+    t = t.where(F.col("log_type").isin("home_feed") & F.col("day").between("20240105", "20240125"))
+    return t.select("trace_id", "user_id", "offer_id", "label")
+
+
+@query
+def title_blocklist(spark, d):
+    return flt.title_blocklist(fx.catalog(spark, d), BLOCKLIST).select("item_id", "title")
+
+
+@query
+def effective_price(spark, d):
+    return flt.priced_offers(fx.catalog(spark, d)).select("item_id", "offer_id", "price")
+
+
+@query
+def active_users(spark, d):
+    return flt.active_users(fx.orders_log(spark, d))
+
+
+@query
+def item_support(spark, d):
+    return flt.item_support(fx.orders_log(spark, d))
+
+
+def _behaviour(spark, d):
+    return flt.behaviour_events(fx.interactions(spark, d), fx.external_actions(spark, d),
+                                fx.catalog(spark, d), _start())
+
+
+@query
+def behaviour_union(spark, d):
+    return _behaviour(spark, d)
+
+
+@query
+def latest_behaviour(spark, d):
+    return beh.latest_behaviour(_behaviour(spark, d))
+
+
+def _valid_items(spark, d):
+    return flt.valid_items(fx.catalog(spark, d), fx.offer_status(spark, d), fx.shops(spark, d),
+                           fx.tickets(spark, d), excluded_cate_id3=EXCL_CATE_ID3,
+                           excluded_subcate=EXCL_SUBCATE, blocklist=BLOCKLIST)
+
+
+@query
+def valid_items(spark, d):
+    return _valid_items(spark, d)
+
+
+def _servable(spark, d):
+    return flt.servable_offers(fx.catalog(spark, d), fx.offer_status(spark, d), fx.shops(spark, d))
+
+
+@query
+def servable_offers(spark, d):
+    return _servable(spark, d)
+
+
+def _ctr(spark, d, policy):
+    return ctr.offer_ctr(fx.interactions(spark, d), policy, start=_start())
+
+
+for _p in ctr.POLICIES:
+    QUERIES[f"ctr_{_p}"] = (lambda p: lambda spark, d: _ctr(spark, d, p))(_p)

@@ -35,14 +35,15 @@ def orders_log(spark, sf_dir) -> DataFrame:
 
 
 def external_actions(spark, sf_dir) -> DataFrame:
-    """``ext``: the same purchase lines as an external action log; type from the line number."""
-    tx = orders_log(spark, sf_dir)
-    n = F.col("line_no") % 3
-    return tx.select(
-        "user_id", "item_id",
-        F.when(n == 0, "footprint").when(n == 1, "order").otherwise("cart").alias("type"),
+    """``ext``: external action log from ``events``: errors as footprints, purchases as orders."""
+    e = table(spark, sf_dir, "events")
+    et = F.col("event_type")
+    return e.select(
+        F.col("user_id").cast("string").alias("user_id"),
+        _k().cast("string").alias("item_id"),
+        F.when(et == "error", "footprint").when(et == "purchase", "order").otherwise("other").alias("type"),
         epoch_millis("ts").alias("time"),
-        "ymd",
+        F.date_format("ts", "yyyyMMdd").alias("ymd"),
     )
 
 
