@@ -124,3 +124,15 @@ def swing(orders: DataFrame, catalog: DataFrame, min_rows: int = 2, min_users: i
               .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("main_offer"))))
     return (ranked.where((F.col("rank") <= depth) & (F.col("n") >= min_len))
             .select("main_offer", F.col("rank").cast("bigint").alias("rank"), "sim_offer", "score"))
+
+
+def order_events(orders: DataFrame, external: DataFrame, catalog: DataFrame, start: str,
+                 external_type: str = "order") -> DataFrame:
+    """Swing input: valid order rows plus external order actions on live catalog items."""
+    o = orders.where(F.col("user_id").isNotNull() & (F.col("user_id") != "") & F.col("item_id").isNotNull()
+                     & (F.col("item_id") != "") & (F.col("item_id") != "0") & (F.col("ymd") >= start)) \
+        .select("user_id", "item_id")
+    live = catalog.where(F.col("status") != 0).select("item_id")
+    e = (external.where((F.col("ymd") >= start) & (F.col("type") == external_type))
+         .join(live, "item_id").select("user_id", "item_id"))
+    return o.unionByName(e)

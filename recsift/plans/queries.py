@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 from recsift.functions import dates
 from recsift.operators import behaviour as beh
 from recsift.operators import ctr
+from recsift.operators import features as feat
 from recsift.operators import filters as flt
+from recsift.operators import rerank as rr
 from recsift.operators import similarity as sim
 from recsift.sources import fixtures as fx
 
@@ -121,3 +123,80 @@ def _ctr(spark, d, policy):
 
 for _p in ctr.POLICIES:
     QUERIES[f"ctr_{_p}"] = (lambda p: lambda spark, d: _ctr(spark, d, p))(_p)
+
+
+# ---- similarity post-processing ---------------------------------------------------------------
+def _item_sim(spark, d):
+    return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d))
+
+
+def _offers(spark, d, distinct=True):
+    return rr.translate_and_filter(_item_sim(spark, d), _servable(spark, d), fx.catalog(spark, d), distinct)
+
+
+def _price_lists(spark, d):
+    return rr.price_rerank(_offers(spark, d), fx.catalog(spark, d))
+
+
+def _ctr_lists(spark, d):
+    return rr.ctr_rerank(_offers(spark, d, distinct=False), _ctr(spark, d, "plain"), fx.catalog(spark, d))
+
+
+@query
+def item_cf_offers(spark, d):
+    return _offers(spark, d)
+
+
+@query
+def price_rerank(spark, d):
+    return _price_lists(spark, d)
+
+
+@query
+def ctr_rerank(spark, d):
+    return _ctr_lists(spark, d)
+
+
+@query
+def extend_lists(spark, d):
+    return rr.extend_lists(base=_ctr_lists(spark, d), new=_price_lists(spark, d))
+
+
+def _candidates(spark, d):
+    s = _item_sim(spark, d).select(F.col("item_i").alias("main_id"), F.col("item_j").alias("sim_id"), "score")
+    return rr.top_candidates(s, _valid_items(spark, d), n=400)
+
+
+@query
+def top_candidates(spark, d):
+    return _candidates(spark, d)
+
+
+# ---- Swing ----------------------------------------------------------------------------------------
+SWING_START = "19950101"
+
+
+def _swing_orders(spark, d):
+    return sim.order_events(fx.orders_log(spark, d), fx.external_actions(spark, d), fx.catalog(spark, d),
+                            SWING_START)
+
+
+@query
+def swing(spark, d):
+    return sim.swing(_swing_orders(spark, d), fx.catalog(spark, d))
+
+
+@query
+def swing_same_category(spark, d):
+    return sim.swing(_swing_orders(spark, d), fx.catalog(spark, d), same_category=True)
+
+
+@query
+def pair_support_band(spark, d):
+    ev = fx.interactions(spark, d).where(F.col("event_name").isin("coupon_click", "coupon_view", "buy_detail"))
+    return sim.pair_support(ev)
+
+
+@query
+def category_index(spark, d):
+    return feat.category_index(fx.catalog(spark, d), "subcate_id")
