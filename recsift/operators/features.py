@@ -15,3 +15,86 @@ def category_index(df: DataFrame, col: str) -> DataFrame:
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy(F.col("n").desc(), F.col(col).asc())
     return counts.select(col, "n", (F.row_number().over(w) - 1).cast("bigint").alias("idx"))
+
+
+from recsift.functions.binning import COMMISSION_EDGES, PRICE_EDGES, RATE_EDGES, SCORE_EDGES, bucketize  # noqa: E402
+from recsift.functions.hashing import hash_feature, hash_sequence  # noqa: E402
+
+# Fixed values that must equal the studied jobs: which features are bucketed, with which edges,
+# and the feature-name presets of the two export variants.
+FEATURE_EDGES = {"Mc": SCORE_EDGES, "Md": SCORE_EDGES, "Me": SCORE_EDGES, "Sl": RATE_EDGES,
+                 "Sj": RATE_EDGES, "Sf": PRICE_EDGES, "Ss": COMMISSION_EDGES}
+BASE_FEATURES = ("S", "Sc", "Sd")
+EXTENDED_FEATURES = ("S", "Sc", "Sd", "Se", "Sm")
+
+# Characters that a Java-style trim strips from both ends (all code points up to U+0020).
+_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
+
+
+def feature_map(json_col: str = "predictor_json"):
+    """Flat JSON object to ``map<string,string>`` (numbers come back as their text)."""
+    return F.from_json(F.col(json_col), "map<string,string>")
+
+
+def java_trim(c):
+    return F.regexp_replace(c, _TRIM, "")
+
+
+def extract_features(fmap, names, edges: dict | None = None):
+    """Comma-joined hashed features for ``names`` from a feature map column.
+
+    A missing name takes ``-1``; values are trimmed; names with edges are bucketed first.
+    """
+    edges = FEATURE_EDGES if edges is None else edges
+    parts = []
+    for n in names:
+        v = F.coalesce(java_trim(F.element_at(fmap, F.lit(n))), F.lit("-1"))
+        if n in edges:
+            v = bucketize(v, edges[n]).cast("string")
+        parts.append(hash_feature(n, v))
+    return F.array_join(F.array(*parts), ",")
+
+
+def extract_sequence_features(fmap, specs, length: int = 50):
+    """Comma-joined padded sequence hashes for ``key:fea`` specs (``-1`` when the key is missing)."""
+    parts = []
+    for spec in specs:
+        key, fea = spec.split(":", 1)
+        v = F.coalesce(F.element_at(fmap, F.lit(key)), F.lit("-1"))
+        parts.append(hash_sequence(v, fea, length))
+    return F.array_join(F.array(*parts), ",")
+
+
+def label_dedup(train_log: DataFrame, start: str, end: str, log_type: str = "home_feed",
+                min_user_len: int = 14, min_offer_len: int = 2) -> DataFrame:
+    """One row per (trace, user, offer): the highest label (ties: largest feature text).
+
+    Output ``(trace_id, user_id, offer_id, label, label_bin, predictor_json)`` with ``label_bin``
+    0 for label ``"0"`` and 1 otherwise. Computed as a map-side combined max, not a window.
+    """
+    t = train_log.where((F.col("log_type") == log_type) & (F.length("user_id") >= min_user_len)
+                        & (F.length("offer_id") >= min_offer_len) & (F.col("day") <= end)
+                        & (F.col("day") >= start))
+    g = t.groupBy("trace_id", "user_id", "offer_id").agg(F.max(F.struct("label", "predictor_json")).alias("b"))
+    return g.select("trace_id", "user_id", "offer_id", F.col("b.label").alias("label"),
+                    F.when(F.col("b.label") == "0", 0).otherwise(1).alias("label_bin"),
+                    F.col("b.predictor_json").alias("predictor_json"))
+
+
+def offer_features(train_log: DataFrame, catalog: DataFrame, ctr: DataFrame, start: str, end: str,
+                   names=BASE_FEATURES, edges: dict | None = None) -> DataFrame:
+    """Hashed feature row per offer joined with category, sales and CTR.
+
+    Output ``(offer_id, subcate_id, month_sales, features, ctr)``. The offer id is the text before
+    the first colon of the first feature. Per offer the smallest feature text is kept. Offers
+    without a live catalog row or without a CTR row drop (inner joins).
+    """
+    d = label_dedup(train_log, start, end)
+    f = d.select(extract_features(feature_map(), names, edges).alias("features"))
+    per_offer = (f.withColumn("offer_id", F.substring_index("features", ":", 1))
+                 .groupBy("offer_id").agg(F.min("features").alias("features")))
+    cat = (catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))
+           .select("offer_id", "subcate_id", F.col("month_sales").cast("bigint").alias("month_sales")))
+    c = ctr.select("offer_id", "ctr")
+    return per_offer.join(cat, "offer_id").join(c, "offer_id") \
+        .select("offer_id", "subcate_id", "month_sales", "features", "ctr")

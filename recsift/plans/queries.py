@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.functions import dates
+from recsift.functions import binning, dates, hashing
 from recsift.operators import behaviour as beh
 from recsift.operators import ctr
 from recsift.operators import features as feat
@@ -200,3 +200,68 @@ def pair_support_band(spark, d):
 @query
 def category_index(spark, d):
     return feat.category_index(fx.catalog(spark, d), "subcate_id")
+
+
+# ---- feature export ---------------------------------------------------------------------------
+TRAIN_START, TRAIN_END = "20240105", "20240125"
+
+
+def _tlog_map(spark, d):
+    return fx.train_log(spark, d).withColumn("fmap", feat.feature_map())
+
+
+@query
+def hash_feature(spark, d):
+    t = fx.train_log(spark, d)
+    return t.select("trace_id", "user_id", "offer_id",
+                    hashing.hash_feature("S", F.col("offer_id")).alias("f_s"),
+                    hashing.hash_feature("Sd", F.col("user_id")).alias("f_sd"),
+                    hashing.hash_feature("Lb", F.col("label")).alias("f_label"))
+
+
+@query
+def bucketize(spark, d):
+    t = _tlog_map(spark, d)
+    m = F.col("fmap")
+
+    def b(key, edges):
+        return binning.bucketize(F.element_at(m, F.lit(key)), edges).cast("bigint")
+
+    return t.select("trace_id", "user_id", "offer_id",
+                    b("Mc", binning.SCORE_EDGES).alias("b_mc"), b("Sl", binning.RATE_EDGES).alias("b_sl"),
+                    b("Sf", binning.PRICE_EDGES).alias("b_sf"), b("Ss", binning.COMMISSION_EDGES).alias("b_ss"),
+                    b("Sq", binning.PRICE_EDGES).alias("b_sq"))
+
+
+JSON_NAMES = ("S", "Sc", "Sd", "Se", "Sm", "Mc", "Sl", "Sf", "Ss")
+
+
+@query
+def json_features(spark, d):
+    t = _tlog_map(spark, d)
+    return t.select("trace_id", "user_id", "offer_id",
+                    feat.extract_features(F.col("fmap"), JSON_NAMES).alias("features"))
+
+
+@query
+def sequence_features(spark, d):
+    t = _tlog_map(spark, d)
+    return t.select("trace_id", "user_id", "offer_id",
+                    feat.extract_sequence_features(F.col("fmap"), ["Sq:sq"]).alias("seq_features"))
+
+
+@query
+def label_dedup(spark, d):
+    return feat.label_dedup(fx.train_log(spark, d), TRAIN_START, TRAIN_END)
+
+
+@query
+def offer_features(spark, d):
+    return feat.offer_features(fx.train_log(spark, d), fx.catalog(spark, d), _ctr(spark, d, "zero"),
+                               TRAIN_START, TRAIN_END, feat.BASE_FEATURES)
+
+
+@query
+def offer_features_extended(spark, d):
+    return feat.offer_features(fx.train_log(spark, d), fx.catalog(spark, d), _ctr(spark, d, "floor"),
+                               TRAIN_START, TRAIN_END, feat.EXTENDED_FEATURES)
