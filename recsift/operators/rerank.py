@@ -27,28 +27,43 @@ def _prices(catalog: DataFrame) -> DataFrame:
         .select("offer_id", "raw_price", "zk_price", "month_sales")
 
 
-def price_rerank(sim_offers: DataFrame, catalog: DataFrame, min_sales: int = 10,
-                 min_discount: float = MIN_DISCOUNT_RATIO, bands=PRICE_BANDS) -> DataFrame:
-    """Candidates with a real discount, in-price-band first: ``(main_offer, rank, sim_offer, score, in_band)``.
+def price_candidates(sim_offers: DataFrame, catalog: DataFrame, min_sales: int = 10) -> DataFrame:
+    """Offer pairs with both prices attached (the scored-list content).
 
-    Keeps candidates with monthly sales > ``min_sales`` and raw/discounted price > ``min_discount``
-    (a null price drops the candidate). ``in_band`` compares the candidate's discounted price with
-    the main offer's discounted price times the band multiplier. Order: in-band first, then score
-    descending, ties by offer id.
+    Output ``(main_offer, sim_offer, score, zk_price, sim_raw_price, sim_zk_price, sim_month_sales)``;
+    both offers must be live product-type-1 offers and the candidate's sales > ``min_sales``.
     """
     p = _prices(catalog)
     main = p.select(F.col("offer_id").alias("main_offer"), "zk_price")
     cand = p.select(F.col("offer_id").alias("sim_offer"), F.col("raw_price").alias("sim_raw_price"),
                     F.col("zk_price").alias("sim_zk_price"), F.col("month_sales").alias("sim_month_sales"))
-    j = (sim_offers.join(main, "main_offer").join(cand, "sim_offer")
-         .where(F.col("sim_month_sales") > min_sales)
-         .where(discount_ratio("sim_raw_price", "sim_zk_price") > F.lit(float(min_discount)))
+    return (sim_offers.join(main, "main_offer").join(cand, "sim_offer")
+            .where(F.col("sim_month_sales") > min_sales)
+            .select("main_offer", "sim_offer", "score", "zk_price", "sim_raw_price", "sim_zk_price",
+                    "sim_month_sales"))
+
+
+def rank_by_price(scored: DataFrame, min_discount: float = MIN_DISCOUNT_RATIO, bands=PRICE_BANDS) -> DataFrame:
+    """Re-rank scored candidates: ``(main_offer, rank, sim_offer, score, in_band)``.
+
+    Keeps candidates with raw/discounted price > ``min_discount`` (a null price drops the
+    candidate). ``in_band`` compares the candidate's discounted price with the main offer's
+    discounted price times the band multiplier. Order: in-band first, then score descending,
+    ties by offer id.
+    """
+    j = (scored.where(discount_ratio("sim_raw_price", "sim_zk_price") > F.lit(float(min_discount)))
          .withColumn("in_band", F.when(in_price_band("zk_price", "sim_zk_price", bands), 1).otherwise(0)))
     w = Window.partitionBy("main_offer").orderBy(F.col("in_band").desc(), F.col("score").desc(),
                                                  F.col("sim_offer").asc())
     return j.select("main_offer", F.row_number().over(w).cast("bigint").alias("rank"), "sim_offer", "score", "in_band")
 
 
+def price_rerank(sim_offers: DataFrame, catalog: DataFrame, min_sales: int = 10,
+                 min_discount: float = MIN_DISCOUNT_RATIO, bands=PRICE_BANDS) -> DataFrame:
+    """Price-aware re-rank of offer pairs (``price_candidates`` then ``rank_by_price``)."""
+    return rank_by_price(price_candidates(sim_offers, catalog, min_sales), min_discount, bands)
+
+
 def ctr_rerank(sim_offers: DataFrame, ctr: DataFrame, catalog: DataFrame, scale: float = 100.0,
                min_sales: int = 10) -> DataFrame:
     """Score x candidate CTR x ``scale``, re-ranked: ``(main_offer, rank, sim_offer, score)``.

@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 
 from recsift.functions import binning, dates, hashing
 from recsift.operators import behaviour as beh
+from recsift.operators import corpus
+from recsift.operators import evaluate as ev_
+from recsift.operators import recommend as rec
 from recsift.operators import ctr
 from recsift.operators import features as feat
 from recsift.operators import filters as flt
 from recsift.operators import rerank as rr
 from recsift.operators import similarity as sim
 from recsift.sources import fixtures as fx
+from recsift.sources import text_io as tio
 
 QUERIES: dict = {}
 
@@ -265,3 +269,114 @@ def offer_features(spark, d):
 def offer_features_extended(spark, d):
     return feat.offer_features(fx.train_log(spark, d), fx.catalog(spark, d), _ctr(spark, d, "floor"),
                                TRAIN_START, TRAIN_END, feat.EXTENDED_FEATURES)
+
+
+# ---- corpora -------------------------------------------------------------------------------------
+CORPUS_START, CORPUS_END = "19960101", "19991231"
+
+
+@query
+def item_sentences(spark, d):
+    return corpus.item_sentences(fx.corpus_clicks(spark, d), fx.catalog(spark, d), CORPUS_START, CORPUS_END)
+
+
+@query
+def co_click_edges(spark, d):
+    return corpus.co_click_edges(fx.interactions(spark, d), _start())
+
+
+# ---- evaluation ------------------------------------------------------------------------------------
+def _ranked_offers(spark, d):
+    o = _offers(spark, d).select(F.col("main_offer").alias("main_id"), F.col("sim_offer").alias("sim_id"), "score")
+    r = rr.top_candidates(o, None, n=1 << 30)
+    return r.select(F.col("main_id").alias("main_offer"), "rank", F.col("sim_id").alias("sim_offer"))
+
+
+def _relevance(spark, d):
+    return _ctr(spark, d, "supported")
+
+
+@query
+def ndcg_at_k(spark, d):
+    return ev_.ndcg_at_k(_ranked_offers(spark, d), _relevance(spark, d), k=40)
+
+
+@query
+def ndcg_summary(spark, d):
+    return ev_.summary(ev_.ndcg_at_k(_ranked_offers(spark, d), _relevance(spark, d), k=40))
+
+
+@query
+def evaluate_many(spark, d):
+    return ev_.evaluate_many({"cf_offers": _ranked_offers(spark, d), "price_rerank": _price_lists(spark, d)},
+                             _relevance(spark, d), k=40)
+
+
+# ---- user recommendations --------------------------------------------------------------------------
+def _window_start_s() -> int:
+    return dates.window_start_seconds(AS_OF, LOOKBACK_DAYS)
+
+
+def _user_lists(spark, d):
+    return rec.user_recommendations(_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
+                                    save_count=300, min_limit=10, window_start_s=_window_start_s())
+
+
+@query
+def trigger_quota(spark, d):
+    return rec.trigger_quota(_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
+                             save_count=300, min_limit=10, window_start_s=_window_start_s())
+
+
+@query
+def user_recommendations(spark, d):
+    return _user_lists(spark, d)
+
+
+@query
+def user_recommendations_json(spark, d):
+    return rec.user_recommendations_json(_user_lists(spark, d))
+
+
+# ---- bookkeeping, dates, text formats ---------------------------------------------------------------
+@query
+def stage_counts(spark, d):
+    return sim.item_cf_stage_counts(fx.orders_log(spark, d), fx.catalog(spark, d))
+
+
+@query
+def day_shift(spark, d):
+    e = dates.window_filter(fx.interactions(spark, d), "ymd", LOOKBACK_DAYS, AS_OF)
+    return e.select("event_id", "ymd", dates.day_shift("ymd", 7).alias("ymd_back"))
+
+
+@query
+def hour_shift(spark, d):
+    e = fx.interactions(spark, d)
+    return e.select("event_id", "ymdh", dates.hour_shift("ymdh", 5).alias("ymdh_back"))
+
+
+@query
+def ranked_list_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "ranked")
+    tio.write_ranked_lists(_price_lists(spark, d), path)
+    return tio.read_ranked_lists(spark, path)
+
+
+@query
+def sim_pairs_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "pairs")
+    tio.write_sim_pairs(_offers(spark, d), path)
+    return tio.read_sim_pairs(spark, path)
+
+
+@query
+def scored_list_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "scored")
+    tio.write_scored_lists(rr.price_candidates(_offers(spark, d), fx.catalog(spark, d)), path)
+    return rr.rank_by_price(tio.read_scored_lists(spark, path))
+
+
+@query
+def staged_roundtrip(spark, d):
+    return tio.stage(_item_sim(spark, d), "item_cf")
