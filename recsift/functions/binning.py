@@ -26,12 +26,23 @@ def parse_number(text, default: float = -1.0) -> Column:
     return F.when(t.rlike(NUMBER_PATTERN), t.cast("double")).otherwise(F.lit(default))
 
 
-def bucketize(value, edges) -> Column:
-    """Number of edges <= value (1-based bucket); -1 below the first edge or for non-numbers.
+def bucketize_number(x, edges) -> Column:
+    """Number of ascending ``edges`` <= x (1-based bucket), -1 below the first edge.
 
-    ``value`` is text; it is parsed with :func:`parse_number`.
+    Written as a CASE chain on the position of the last edge <= x: no lambda, so the expression
+    stays inside generated code. Pass a column reference: it is compared once per edge.
     """
-    x = parse_number(_col(value))
-    arr = F.array(*[F.lit(float(e)) for e in edges])
-    n = F.size(F.filter(arr, lambda e: e <= x))
-    return F.when(n == 0, F.lit(-1)).otherwise(n)
+    es = [float(e) for e in edges]
+    if any(b < a for a, b in zip(es, es[1:])):
+        raise ValueError("edges must be ascending")
+    v = _col(x)
+    expr = None
+    for i in range(len(es) - 1, -1, -1):
+        cond = v >= F.lit(es[i])
+        expr = F.when(cond, F.lit(i + 1)) if expr is None else expr.when(cond, F.lit(i + 1))
+    return expr.otherwise(F.lit(-1))
+
+
+def bucketize(value, edges) -> Column:
+    """Bucket of plain-number text (non-numbers count as -1.0, hence bucket -1)."""
+    return bucketize_number(parse_number(_col(value)), edges)

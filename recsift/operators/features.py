@@ -17,8 +17,9 @@ def category_index(df: DataFrame, col: str) -> DataFrame:
     return counts.select(col, "n", (F.row_number().over(w) - 1).cast("bigint").alias("idx"))
 
 
-from recsift.functions.binning import COMMISSION_EDGES, PRICE_EDGES, RATE_EDGES, SCORE_EDGES, bucketize  # noqa: E402
-from recsift.functions.hashing import hash_feature, hash_sequence  # noqa: E402
+from recsift.functions.binning import (COMMISSION_EDGES, NUMBER_PATTERN, PRICE_EDGES, RATE_EDGES,  # noqa: E402
+                                      SCORE_EDGES, bucketize_number)
+from recsift.functions.hashing import hash_feature, hash_sequence_parts, sequence_parts  # noqa: E402
 
 # Fixed values that must equal the studied jobs: which features are bucketed, with which edges,
 # and the feature-name presets of the two export variants.
@@ -40,29 +41,40 @@ def java_trim(c):
     return F.regexp_replace(c, _TRIM, "")
 
 
-def extract_features(fmap, names, edges: dict | None = None):
-    """Comma-joined hashed features for ``names`` from a feature map column.
+def with_features(df: DataFrame, names, out_col: str = "features", json_col: str = "predictor_json",
+                  edges: dict | None = None) -> DataFrame:
+    """Add comma-joined hashed features for ``names`` from a flat JSON feature bag.
 
-    A missing name takes ``-1``; values are trimmed; names with edges are bucketed first.
+    A missing name takes ``-1``; values are trimmed; names with edges are bucketed first. The
+    work is staged in three projections (map values, buckets, hashes) so every intermediate is
+    computed once per row even where expressions cannot be code-generated.
     """
     edges = FEATURE_EDGES if edges is None else edges
-    parts = []
-    for n in names:
-        v = F.coalesce(java_trim(F.element_at(fmap, F.lit(n))), F.lit("-1"))
-        if n in edges:
-            v = bucketize(v, edges[n]).cast("string")
-        parts.append(hash_feature(n, v))
-    return F.array_join(F.array(*parts), ",")
-
-
-def extract_sequence_features(fmap, specs, length: int = 50):
-    """Comma-joined padded sequence hashes for ``key:fea`` specs (``-1`` when the key is missing)."""
-    parts = []
-    for spec in specs:
-        key, fea = spec.split(":", 1)
-        v = F.coalesce(F.element_at(fmap, F.lit(key)), F.lit("-1"))
-        parts.append(hash_sequence(v, fea, length))
-    return F.array_join(F.array(*parts), ",")
+    keep = df.columns
+    m = F.from_json(F.col(json_col), "map<string,string>")
+    t = df.select(*keep, m.alias("_fmap"))
+    t = t.select(*keep, *[F.coalesce(java_trim(F.element_at(F.col("_fmap"), F.lit(n))), F.lit("-1")).alias(f"_v{i}")
+                          for i, n in enumerate(names)])
+    t = t.select(*keep, *[(F.when(F.col(f"_v{i}").rlike(NUMBER_PATTERN), F.col(f"_v{i}").cast("double"))
+                           .otherwise(F.lit(-1.0)).alias(f"_x{i}") if n in edges else F.col(f"_v{i}"))
+                          for i, n in enumerate(names)])
+    t = t.select(*keep, *[(bucketize_number(F.col(f"_x{i}"), edges[n]).cast("string").alias(f"_b{i}")
+                           if n in edges else F.col(f"_v{i}").alias(f"_b{i}")) for i, n in enumerate(names)])
+    return t.select(*keep, F.array_join(F.array(*[hash_feature(n, F.col(f"_b{i}")) for i, n in enumerate(names)]),
+                                        ",").alias(out_col))
+
+
+def with_sequence_features(df: DataFrame, specs, out_col: str = "seq_features", json_col: str = "predictor_json",
+                           length: int = 50) -> DataFrame:
+    """Add comma-joined padded sequence hashes for ``key:fea`` specs (``-1`` for a missing key)."""
+    keep = df.columns
+    m = F.from_json(F.col(json_col), "map<string,string>")
+    t = df.select(*keep, m.alias("_fmap"))
+    pairs = [s.split(":", 1) for s in specs]
+    t = t.select(*keep, *[sequence_parts(F.coalesce(F.element_at(F.col("_fmap"), F.lit(k)), F.lit("-1"))).alias(f"_p{i}")
+                          for i, (k, _) in enumerate(pairs)])
+    return t.select(*keep, F.array_join(F.array(*[hash_sequence_parts(F.col(f"_p{i}"), fea, length)
+                                                  for i, (_, fea) in enumerate(pairs)]), ",").alias(out_col))
 
 
 def label_dedup(train_log: DataFrame, start: str, end: str, log_type: str = "home_feed",
@@ -89,8 +101,8 @@ def offer_features(train_log: DataFrame, catalog: DataFrame, ctr: DataFrame, sta
     the first colon of the first feature. Per offer the smallest feature text is kept. Offers
     without a live catalog row or without a CTR row drop (inner joins).
     """
-    d = label_dedup(train_log, start, end)
-    f = d.select(extract_features(feature_map(), names, edges).alias("features"))
+    d = label_dedup(train_log, start, end).select("predictor_json")
+    f = with_features(d, names, "features", edges=edges).select("features")
     per_offer = (f.withColumn("offer_id", F.substring_index("features", ":", 1))
                  .groupBy("offer_id").agg(F.min("features").alias("features")))
     cat = (catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))

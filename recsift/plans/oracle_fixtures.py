@@ -56,8 +56,7 @@ FIXTURE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
                || ', "Sm": ' || CASE WHEN k % 13 = 0 THEN '""' ELSE CAST(k % 13 AS VARCHAR) END
                || ', "Mc": ' || CAST(k % 6 AS VARCHAR) || ', "Sl": ' || CAST(k AS VARCHAR)
                || ', "Sf": ' || CAST(k * 3 AS VARCHAR) || ', "Ss": ' || CAST(k % 45 AS VARCHAR)
-               || CASE WHEN k % 17 = 5 THEN '' ELSE ', "Sq": "' || array_to_string(
-                      list_transform(range(k % 60), lambda i: CAST(k * 1000 + i AS VARCHAR)), ',') || '"' END
+               || CASE WHEN k % 17 = 5 THEN '' ELSE ', "Sq": "' || array_to_string(range(k * 1000, k * 1000 + k % 60), ',') || '"' END
                || '}}' AS predictor_json,
                CAST(event_id // 4 AS VARCHAR) AS trace_id,
                CASE WHEN user_id % 10 = 3 THEN CAST(user_id AS VARCHAR)

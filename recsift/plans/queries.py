@@ -223,18 +223,19 @@ def hash_feature(spark, d):
                     hashing.hash_feature("Lb", F.col("label")).alias("f_label"))
 
 
+BUCKET_SPECS = (("Mc", binning.SCORE_EDGES, "b_mc"), ("Sl", binning.RATE_EDGES, "b_sl"),
+                ("Sf", binning.PRICE_EDGES, "b_sf"), ("Ss", binning.COMMISSION_EDGES, "b_ss"),
+                ("Sq", binning.PRICE_EDGES, "b_sq"))
+
+
 @query
 def bucketize(spark, d):
     t = _tlog_map(spark, d)
-    m = F.col("fmap")
-
-    def b(key, edges):
-        return binning.bucketize(F.element_at(m, F.lit(key)), edges).cast("bigint")
-
-    return t.select("trace_id", "user_id", "offer_id",
-                    b("Mc", binning.SCORE_EDGES).alias("b_mc"), b("Sl", binning.RATE_EDGES).alias("b_sl"),
-                    b("Sf", binning.PRICE_EDGES).alias("b_sf"), b("Ss", binning.COMMISSION_EDGES).alias("b_ss"),
-                    b("Sq", binning.PRICE_EDGES).alias("b_sq"))
+    keep = ["trace_id", "user_id", "offer_id"]
+    t = t.select(*keep, *[binning.parse_number(F.element_at("fmap", F.lit(k))).alias(f"x_{k}")
+                          for k, _, _ in BUCKET_SPECS])
+    return t.select(*keep, *[binning.bucketize_number(F.col(f"x_{k}"), e).cast("bigint").alias(o)
+                             for k, e, o in BUCKET_SPECS])
 
 
 JSON_NAMES = ("S", "Sc", "Sd", "Se", "Sm", "Mc", "Sl", "Sf", "Ss")
@@ -242,16 +243,14 @@ JSON_NAMES = ("S", "Sc", "Sd", "Se", "Sm", "Mc", "Sl", "Sf", "Ss")
 
 @query
 def json_features(spark, d):
-    t = _tlog_map(spark, d)
-    return t.select("trace_id", "user_id", "offer_id",
-                    feat.extract_features(F.col("fmap"), JSON_NAMES).alias("features"))
+    t = fx.train_log(spark, d).select("trace_id", "user_id", "offer_id", "predictor_json")
+    return feat.with_features(t, JSON_NAMES).drop("predictor_json")
 
 
 @query
 def sequence_features(spark, d):
-    t = _tlog_map(spark, d)
-    return t.select("trace_id", "user_id", "offer_id",
-                    feat.extract_sequence_features(F.col("fmap"), ["Sq:sq"]).alias("seq_features"))
+    t = fx.train_log(spark, d).select("trace_id", "user_id", "offer_id", "predictor_json")
+    return feat.with_sequence_features(t, ["Sq:sq"]).drop("predictor_json")
 
 
 @query

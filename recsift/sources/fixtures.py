@@ -49,8 +49,8 @@ def external_actions(spark, sf_dir) -> DataFrame:
 
 def interactions(spark, sf_dir) -> DataFrame:
     """``ev``: app log rows from ``events``; item = ``props.k``."""
-    e = table(spark, sf_dir, "events")
-    k = _k()
+    e = table(spark, sf_dir, "events").withColumn("k", _k())
+    k = F.col("k")
     et = F.col("event_type")
     return e.select(
         "event_id",
@@ -113,11 +113,12 @@ def tickets(spark, sf_dir) -> DataFrame:
 
 def train_log(spark, sf_dir) -> DataFrame:
     """``tlog``: training-log rows from ``events`` with a flat JSON feature bag."""
-    e = table(spark, sf_dir, "events")
-    k = _k()
+    e = table(spark, sf_dir, "events").withColumn("k", _k())
+    k = F.col("k")
     uid = F.col("user_id")
-    seq = F.array_join(F.transform(F.array_repeat(F.lit(0), (k % 60).cast("int")),
-                                   lambda x, i: (k * 1000 + i).cast("string")), ",")
+    n = k % 60
+    seq = F.when(n == 0, F.lit("")).otherwise(
+        F.array_join(F.sequence(k * 1000, k * 1000 + n - 1).cast("array<string>"), ","))
     js = F.concat(
         F.lit('{"S": '), (k + 1000000).cast("string"),
         F.lit(', "Sc": '), (k % 7).cast("string"),
