@@ -72,27 +72,50 @@ def _swing_user_pairs(orders: DataFrame, min_rows: int):
     return ui, basket_pairs(ui, ["user_id"], "item_id", distinct=False)
 
 
+def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFrame:
+    """``(u, v, overlap)`` = |I_u & I_v| for the given user pairs.
+
+    Users with at most ``max_array`` distinct items get a sorted basket array and their pairs use
+    ``size(array_intersect)``; a pair involving a larger basket is counted by joining the
+    baskets on item instead, so no array ever grows with the data.
+    """
+    sizes = ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    small = sizes.where(F.col("n") <= max_array).select("user_id")
+    baskets = (ui.join(small, "user_id", "left_semi").groupBy("user_id")
+               .agg(F.array_sort(F.collect_list("item_id")).alias("items")))
+    bu = baskets.select(F.col("user_id").alias("u"), F.col("items").alias("iu"))
+    bv = baskets.select(F.col("user_id").alias("v"), F.col("items").alias("iv"))
+    j = needed.join(bu, "u", "left").join(bv, "v", "left")
+    fast = (j.where(F.col("iu").isNotNull() & F.col("iv").isNotNull())
+            .select("u", "v", F.size(F.array_intersect("iu", "iv")).cast("bigint").alias("overlap")))
+    slow_pairs = j.where(F.col("iu").isNull() | F.col("iv").isNull()).select("u", "v")
+    su = ui.select(F.col("user_id").alias("u"), "item_id")
+    sv = ui.select(F.col("user_id").alias("v"), "item_id")
+    slow = (slow_pairs.join(su, "u").join(sv, ["v", "item_id"], "left_semi")
+            .groupBy("u", "v").agg(F.count(F.lit(1)).alias("overlap")))
+    return fast.unionByName(slow)
+
+
 def swing_scores(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_users: int = 99,
-                 alpha: float = 1.0) -> DataFrame:
+                 alpha: float = 1.0, max_array: int = 512) -> DataFrame:
     """``(item_i, item_j, score)``: Swing score sum over user pairs ``1 / (alpha + |I_u & I_v|)``.
 
-    Overlaps are computed only for user pairs that share an in-band item pair, by joining their
-    baskets on item; no per-user array is built and popular items are never self-joined.
+    The support of each item pair is counted with one window over the pair partition (one
+    shuffle of the user-pair rows), pairs outside [min_users, max_users] drop, and the user
+    pairs of each remaining item pair come from a self-join on the already co-partitioned rows.
+    Overlaps are computed only for those user pairs (see ``_user_overlaps``); popular items are
+    never self-joined.
     """
     ui, pu = _swing_user_pairs(orders, min_rows)
-    band = (pu.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("support"))
-            .where((F.col("support") >= min_users) & (F.col("support") <= max_users)).select("item_i", "item_j"))
-    held = pu.join(band, ["item_i", "item_j"], "left_semi")
+    support = F.count(F.lit(1)).over(Window.partitionBy("item_i", "item_j"))
+    held = pu.withColumn("support", support) \
+        .where((F.col("support") >= min_users) & (F.col("support") <= max_users)).drop("support")
     a, b = held.alias("ha"), held.alias("hb")
     up = a.join(b, (F.col("ha.item_i") == F.col("hb.item_i")) & (F.col("ha.item_j") == F.col("hb.item_j"))
                 & (F.col("ha.user_id") < F.col("hb.user_id"))) \
         .select(F.col("ha.item_i").alias("item_i"), F.col("ha.item_j").alias("item_j"),
                 F.col("ha.user_id").alias("u"), F.col("hb.user_id").alias("v"))
-    needed = up.select("u", "v").distinct()
-    bu = ui.select(F.col("user_id").alias("u"), "item_id")
-    bv = ui.select(F.col("user_id").alias("v"), "item_id")
-    overlap = (needed.join(bu, "u").join(bv, ["v", "item_id"], "left_semi")
-               .groupBy("u", "v").agg(F.count(F.lit(1)).alias("overlap")))
+    overlap = _user_overlaps(up.select("u", "v").distinct(), ui, max_array)
     return (up.join(overlap, ["u", "v"])
             .groupBy("item_i", "item_j")
             .agg(F.sum(F.lit(1.0) / (F.lit(float(alpha)) + F.col("overlap"))).alias("score")))
@@ -100,14 +123,14 @@ def swing_scores(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
 def swing(orders: DataFrame, catalog: DataFrame, min_rows: int = 2, min_users: int = 3, max_users: int = 99,
           alpha: float = 1.0, depth: int = 200, min_len: int = 3, same_category: bool = False,
-          score_digits: int = 6) -> DataFrame:
+          score_digits: int = 6, max_array: int = 512) -> DataFrame:
     """Swing similarity lists per offer: ``(main_offer, rank, sim_offer, score)``.
 
     Item pairs are mapped to offers of live catalog rows (optionally only within one category),
     made symmetric, deduplicated per (main, sim) keeping the highest score, ranked by score
     (ties by offer id), cut at ``depth``; lists with fewer than ``min_len`` entries are dropped.
     """
-    s = swing_scores(orders, min_rows, min_users, max_users, alpha) \
+    s = swing_scores(orders, min_rows, min_users, max_users, alpha, max_array) \
         .withColumn("score", F.round("score", score_digits))
     live = catalog.where(F.col("status") != 0).select("item_id", "offer_id", "subcate_id")
     m = live.select(F.col("item_id").alias("item_i"), F.col("offer_id").alias("main_offer"),
