@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import valid_interactions
-from recsift.operators.pairs import basket_pairs
+from recsift.operators.pairs import basket_pairs, by_user
 
 # Fixed values that must equal the studied job: app pages and modules excluded from the corpus.
 EXCLUDED_PAGES = ("h5_free", "h5_subsidy", "h5_subsidy_v2")
@@ -45,6 +45,6 @@ def item_sentences(clicks: DataFrame, catalog: DataFrame, start: str, end: str,
 
 def co_click_edges(log: DataFrame, start: str) -> DataFrame:
     """Undirected co-click graph: ``(src, dst, weight)`` with src < dst and weight = users clicking both."""
-    v = valid_interactions(log, start=start, event_name="coupon_click").select("user_id", "offer_id")
+    v = by_user(valid_interactions(log, start=start, event_name="coupon_click").select("user_id", "offer_id"))
     p = basket_pairs(v, ["user_id"], "offer_id")
     return p.groupBy(F.col("item_i").alias("src"), F.col("item_j").alias("dst")).agg(F.count(F.lit(1)).alias("weight"))

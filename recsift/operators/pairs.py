@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 
 
 def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item_id",
-                 carry: Sequence[str] = (), distinct: bool = True) -> DataFrame:
+                 carry: Sequence[str] = (), distinct: bool = True,
+                 nullable_groups: Sequence[str] = ()) -> DataFrame:
     """Unordered item pairs per group: ``(*group_cols, item_i, item_j, *carry_i, *carry_j)``.
 
     ``carry`` columns are attributes of the item (functionally dependent on it) copied to both
     sides with suffixes ``_i`` / ``_j``. Rows are deduplicated on (group, item, carry) first when
-    ``distinct`` is set, so each pair appears once per group.
+    ``distinct`` is set, so each pair appears once per group. Group columns listed in
+    ``nullable_groups`` compare null-safe (a null is a group of its own); the others use plain
+    equality, so an input already hash-partitioned on them is joined without a new shuffle.
     """
     cols = list(group_cols) + [item_col] + list(carry)
     base = df.select(*cols)
@@ -29,7 +32,8 @@ def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item
         base = base.distinct()
     a = base.alias("pa")
     b = base.alias("pb")
-    cond = [F.col(f"pa.{g}").eqNullSafe(F.col(f"pb.{g}")) for g in group_cols]
+    cond = [F.col(f"pa.{g}").eqNullSafe(F.col(f"pb.{g}")) if g in nullable_groups
+            else F.col(f"pa.{g}") == F.col(f"pb.{g}") for g in group_cols]
     cond.append(F.col(f"pa.{item_col}") < F.col(f"pb.{item_col}"))
     out = [F.col(f"pa.{g}").alias(g) for g in group_cols]
     out += [F.col(f"pa.{item_col}").alias("item_i"), F.col(f"pb.{item_col}").alias("item_j")]
@@ -38,6 +42,17 @@ def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item
     return a.join(b, cond, "inner").select(*out)
 
 
+def by_user(df: DataFrame, user_col: str = "user_id") -> DataFrame:
+    """Hash-partition interaction rows by user once.
+
+    Per-user counts, (user, item) dedup, user-level semi joins and self-joins on the user then
+    all reuse this partitioning instead of shuffling again (a hash partitioning on the user
+    satisfies any clustering that includes the user). Rows are not combined before this
+    shuffle, which suits logs with few repeats per (user, item).
+    """
+    return df.repartition(user_col)
+
+
 def symmetrize(df: DataFrame, left: str, right: str, paired: Sequence[tuple[str, str]] = (),
                keep: Sequence[str] = ()) -> DataFrame:
     """Both directions of each pair in one pass (no union, no second scan).

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import active_users
-from recsift.operators.pairs import basket_pairs, symmetrize
+from recsift.operators.pairs import basket_pairs, by_user, symmetrize
 
 
 def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, max_user_rows: int,
              min_support: int, category_col: str, strict_users: bool) -> dict:
-    r = interactions.select("user_id", "item_id")
+    r = by_user(interactions.select("user_id", "item_id"))
     active = active_users(r, min_user_rows, max_user_rows).select("user_id")
     ui = r.distinct()
     nor = (ui.join(active, "user_id", "left_semi").groupBy("item_id")
@@ -34,7 +34,8 @@ def item_cf(interactions: DataFrame, catalog: DataFrame, min_user_rows: int = 2,
     item (kept when >= ``min_support``) and ``score = co / sqrt(nor_i * nor_j)``.
     """
     b = _cf_base(interactions, catalog, min_user_rows, max_user_rows, min_support, category_col, strict_users)
-    pairs = basket_pairs(b["base"], ["user_id", "category"], "item_id", carry=["nor"], distinct=False)
+    pairs = basket_pairs(b["base"], ["user_id", "category"], "item_id", carry=["nor"], distinct=False,
+                         nullable_groups=["category"])
     co = pairs.groupBy("item_i", "item_j", "nor_i", "nor_j").agg(F.count(F.lit(1)).alias("co"))
     both = symmetrize(co, "item_i", "item_j", paired=[("nor_i", "nor_j")], keep=["co"])
     return both.select("item_i", "item_j", "co", "nor_i", "nor_j",
@@ -66,7 +67,7 @@ def pair_support(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
 
 def _swing_user_pairs(orders: DataFrame, min_rows: int):
-    r = orders.select("user_id", "item_id")
+    r = by_user(orders.select("user_id", "item_id"))
     heavy = r.groupBy("user_id").agg(F.count("item_id").alias("n")).where(F.col("n") >= min_rows).select("user_id")
     ui = r.join(heavy, "user_id", "left_semi").distinct()
     return ui, basket_pairs(ui, ["user_id"], "item_id", distinct=False)
@@ -75,47 +76,54 @@ def _swing_user_pairs(orders: DataFrame, min_rows: int):
 def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFrame:
     """``(u, v, overlap)`` = |I_u & I_v| for the given user pairs.
 
-    Users with at most ``max_array`` distinct items get a sorted basket array and their pairs use
-    ``size(array_intersect)``; a pair involving a larger basket is counted by joining the
-    baskets on item instead, so no array ever grows with the data.
+    Each user's items are cut into chunks of at most ``max_array`` (sorted, numbered inside the
+    user's partition, so no extra shuffle), every chunk becomes a bounded array, and the overlap
+    of a user pair is the sum of ``size(array_intersect)`` over its chunk pairs. Typical users
+    have one chunk, so a pair costs one array intersection; a huge basket costs more chunk pairs
+    but never an unbounded array. ``needed`` is read once.
     """
-    sizes = ui.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
-    small = sizes.where(F.col("n") <= max_array).select("user_id")
-    baskets = (ui.join(small, "user_id", "left_semi").groupBy("user_id")
-               .agg(F.array_sort(F.collect_list("item_id")).alias("items")))
-    bu = baskets.select(F.col("user_id").alias("u"), F.col("items").alias("iu"))
-    bv = baskets.select(F.col("user_id").alias("v"), F.col("items").alias("iv"))
-    j = needed.join(bu, "u", "left").join(bv, "v", "left")
-    fast = (j.where(F.col("iu").isNotNull() & F.col("iv").isNotNull())
-            .select("u", "v", F.size(F.array_intersect("iu", "iv")).cast("bigint").alias("overlap")))
-    slow_pairs = j.where(F.col("iu").isNull() | F.col("iv").isNull()).select("u", "v")
-    su = ui.select(F.col("user_id").alias("u"), "item_id")
-    sv = ui.select(F.col("user_id").alias("v"), "item_id")
-    slow = (slow_pairs.join(su, "u").join(sv, ["v", "item_id"], "left_semi")
-            .groupBy("u", "v").agg(F.count(F.lit(1)).alias("overlap")))
-    return fast.unionByName(slow)
+    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("item_id"))
+    chunked = ui.withColumn("chunk", F.floor((rn - 1) / F.lit(max_array)))
+    chunks = chunked.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    cu = chunks.select(F.col("user_id").alias("u"), F.col("items").alias("iu"))
+    cv = chunks.select(F.col("user_id").alias("v"), F.col("items").alias("iv"))
+    return (needed.join(cu, "u").join(cv, "v")
+            .groupBy("u", "v").agg(F.sum(F.size(F.array_intersect("iu", "iv"))).cast("bigint").alias("overlap")))
+
+
+def _band_user_pairs(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
+    """``(item_i, item_j, u, v)`` with u < v for every item pair whose support is in the band.
+
+    Support is counted with one window over the pair partition (a single shuffle of the
+    user-pair rows). Pairs above ``max_users`` drop before anything is collected, so the users
+    gathered per surviving pair are bounded by ``max_users``; their 2-combinations come from
+    the sorted array (positions i < j) without a self-join.
+    """
+    support = F.count(F.lit(1)).over(Window.partitionBy("item_i", "item_j"))
+    held = pu.withColumn("support", support) \
+        .where((F.col("support") >= min_users) & (F.col("support") <= max_users))
+    users = held.groupBy("item_i", "item_j").agg(F.array_sort(F.collect_list("user_id")).alias("us"))
+    first = users.select("item_i", "item_j", "us", F.posexplode("us").alias("p", "u"))
+    return first.select("item_i", "item_j", "u",
+                        F.explode(F.slice("us", F.col("p") + 2, max_users)).alias("v"))
 
 
 def swing_scores(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_users: int = 99,
                  alpha: float = 1.0, max_array: int = 512) -> DataFrame:
     """``(item_i, item_j, score)``: Swing score sum over user pairs ``1 / (alpha + |I_u & I_v|)``.
 
-    The support of each item pair is counted with one window over the pair partition (one
-    shuffle of the user-pair rows), pairs outside [min_users, max_users] drop, and the user
-    pairs of each remaining item pair come from a self-join on the already co-partitioned rows.
-    Overlaps are computed only for those user pairs (see ``_user_overlaps``); popular items are
-    never self-joined.
+    User pairs of in-band item pairs come from ``_band_user_pairs``; they are hash-partitioned
+    on (u, v) once, which serves both the distinct user pairs whose overlap is needed and the
+    final join with those overlaps. Overlaps are computed only for those user pairs (see
+    ``_user_overlaps``); popular items are never self-joined.
     """
     ui, pu = _swing_user_pairs(orders, min_rows)
-    support = F.count(F.lit(1)).over(Window.partitionBy("item_i", "item_j"))
-    held = pu.withColumn("support", support) \
-        .where((F.col("support") >= min_users) & (F.col("support") <= max_users)).drop("support")
-    a, b = held.alias("ha"), held.alias("hb")
-    up = a.join(b, (F.col("ha.item_i") == F.col("hb.item_i")) & (F.col("ha.item_j") == F.col("hb.item_j"))
-                & (F.col("ha.user_id") < F.col("hb.user_id"))) \
-        .select(F.col("ha.item_i").alias("item_i"), F.col("ha.item_j").alias("item_j"),
-                F.col("ha.user_id").alias("u"), F.col("hb.user_id").alias("v"))
-    overlap = _user_overlaps(up.select("u", "v").distinct(), ui, max_array)
+    up = _band_user_pairs(pu, min_users, max_users).repartition("u", "v")
+    # One representative row per user pair. Ordering by the item pair keeps all columns above
+    # the (u, v) exchange, so this branch and the final join share one shuffle of ``up``.
+    first = F.row_number().over(Window.partitionBy("u", "v").orderBy("item_i", "item_j"))
+    needed = up.withColumn("_first", first).where(F.col("_first") == 1).select("u", "v")
+    overlap = _user_overlaps(needed, ui, max_array)
     return (up.join(overlap, ["u", "v"])
             .groupBy("item_i", "item_j")
             .agg(F.sum(F.lit(1.0) / (F.lit(float(alpha)) + F.col("overlap"))).alias("score")))
