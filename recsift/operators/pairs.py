@@ -50,7 +50,9 @@ def by_user(df: DataFrame, user_col: str = "user_id") -> DataFrame:
     satisfies any clustering that includes the user). Rows are not combined before this
     shuffle, which suits logs with few repeats per (user, item).
     """
-    return df.repartition(user_col)
+    # Null users never survive the joins downstream; dropping them here keeps every branch's
+    # inferred not-null filters identical, so all branches share this one exchange.
+    return df.where(F.col(user_col).isNotNull()).repartition(user_col)
 
 
 def symmetrize(df: DataFrame, left: str, right: str, paired: Sequence[tuple[str, str]] = (),

@@ -11,7 +11,7 @@ from recsift.operators.pairs import basket_pairs, by_user, symmetrize
 
 def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, max_user_rows: int,
              min_support: int, category_col: str, strict_users: bool) -> dict:
-    r = by_user(interactions.select("user_id", "item_id"))
+    r = by_user(interactions.select("user_id", "item_id").where(F.col("item_id").isNotNull()))
     active = active_users(r, min_user_rows, max_user_rows).select("user_id")
     ui = r.distinct()
     nor = (ui.join(active, "user_id", "left_semi").groupBy("item_id")
@@ -67,7 +67,7 @@ def pair_support(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
 
 def _swing_user_pairs(orders: DataFrame, min_rows: int):
-    r = by_user(orders.select("user_id", "item_id"))
+    r = by_user(orders.select("user_id", "item_id").where(F.col("item_id").isNotNull()))
     heavy = r.groupBy("user_id").agg(F.count("item_id").alias("n")).where(F.col("n") >= min_rows).select("user_id")
     ui = r.join(heavy, "user_id", "left_semi").distinct()
     return ui, basket_pairs(ui, ["user_id"], "item_id", distinct=False)
@@ -82,6 +82,8 @@ def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFram
     have one chunk, so a pair costs one array intersection; a huge basket costs more chunk pairs
     but never an unbounded array. ``needed`` is read once.
     """
+    if max_array < 1:
+        raise ValueError("max_array must be at least 1")
     rn = F.row_number().over(Window.partitionBy("user_id").orderBy("item_id"))
     chunked = ui.withColumn("chunk", F.floor((rn - 1) / F.lit(max_array)))
     chunks = chunked.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list("item_id")).alias("items"))

@@ -190,10 +190,10 @@ def test_ranked_list_text_roundtrip(spark, tmp_path):
     assert got == [("m", 1, "a"), ("m", 2, "b"), ("n", 1, "z")]
 
 
-def test_swing_overlap_paths_agree(spark):
+def test_swing_overlap_chunking_is_exact(spark):
     rows = [(f"u{u}", f"i{(u * 7 + k) % 12}") for u in range(30) for k in range(5)]
     orders = spark.createDataFrame(rows, "user_id string, item_id string")
     a = similarity.swing_scores(orders, max_array=512).select("item_i", "item_j", F.round("score", 9).alias("s"))
-    b = similarity.swing_scores(orders, max_array=0).select("item_i", "item_j", F.round("score", 9).alias("s"))
+    b = similarity.swing_scores(orders, max_array=2).select("item_i", "item_j", F.round("score", 9).alias("s"))
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
