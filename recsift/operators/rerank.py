@@ -19,6 +19,10 @@ def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame
     main = (catalog.where(F.col("status") != 0)
             .select(F.col("item_id").alias("item_i"), F.col("offer_id").alias("main_offer")))
     out = sim.join(cand, "item_j").join(main, "item_i").select("main_offer", "sim_offer", "score")
+    # Stated explicitly (they hold for any usable pair) so that consumers which would infer them
+    # from their own joins or filters all see one plan and share this result's shuffle.
+    out = out.where(F.col("main_offer").isNotNull() & F.col("sim_offer").isNotNull()
+                    & F.col("score").isNotNull() & ~F.isnan("score"))
     return out.distinct() if distinct else out
 
 
