@@ -20,6 +20,7 @@ def category_index(df: DataFrame, col: str) -> DataFrame:
 from recsift.functions.binning import (COMMISSION_EDGES, NUMBER_PATTERN, PRICE_EDGES, RATE_EDGES,  # noqa: E402
                                       SCORE_EDGES, bucketize_number)
 from recsift.functions.hashing import hash_feature, hash_sequence_parts, sequence_parts  # noqa: E402
+from recsift.operators.layout import spread  # noqa: E402
 
 # Fixed values that must equal the studied jobs: which features are bucketed, with which edges,
 # and the feature-name presets of the two export variants.
@@ -50,6 +51,7 @@ def with_features(df: DataFrame, names, out_col: str = "features", json_col: str
     computed once per row even where expressions cannot be code-generated.
     """
     edges = FEATURE_EDGES if edges is None else edges
+    df = spread(df)
     keep = df.columns
     m = F.from_json(F.col(json_col), "map<string,string>")
     t = df.select(*keep, m.alias("_fmap"))
@@ -67,6 +69,7 @@ def with_features(df: DataFrame, names, out_col: str = "features", json_col: str
 def with_sequence_features(df: DataFrame, specs, out_col: str = "seq_features", json_col: str = "predictor_json",
                            length: int = 50) -> DataFrame:
     """Add comma-joined padded sequence hashes for ``key:fea`` specs (``-1`` for a missing key)."""
+    df = spread(df)
     keep = df.columns
     m = F.from_json(F.col(json_col), "map<string,string>")
     t = df.select(*keep, m.alias("_fmap"))

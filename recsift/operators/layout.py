@@ -1,0 +1,20 @@
+"""Physical layout helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Make sure row-wise work runs on every core.
+
+    When ``df`` has fewer partitions than ``min_partitions`` (default: the session's default
+    parallelism) - e.g. a table stored as one unsplittable row group - its rows are spread
+    round-robin. A large table already has many splits and is returned unchanged, so this never
+    adds a shuffle at scale.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

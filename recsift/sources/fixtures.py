@@ -10,10 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.functions.dates import epoch_millis
+from recsift.operators.layout import spread
+
+
+# Tables with row-heavy derivations; at small scale they can be a single row group.
+_SPREAD = {"events", "lineitem", "orders"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df) if name in _SPREAD else df
 
 
 def _k(props="props"):
