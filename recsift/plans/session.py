@@ -42,13 +42,16 @@ def staging_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables.
 
     Uses ``spark.checkpoint.dir`` (or a directory already set on the context). Only when neither
-    is set - a local test session - a fresh temporary folder is created and registered.
+    is set and the master is local (tests, local runs) a fresh temporary folder is created and
+    registered; on a cluster executors would not share it, so there the call fails.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
         path = jdir.get() if jdir.isDefined() else None
     if not path:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="recsift-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(path)

@@ -3,12 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from recsift.plans.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 FORBIDDEN = ("BatchEvalPython", "ArrowEvalPython", "CartesianProduct", "BroadcastNestedLoopJoin")
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_plan_has_no_python_or_cartesian(spark, name):
     df = E.queries()[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
