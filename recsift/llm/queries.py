@@ -4,19 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recsift.llm import simhash_gph
+from recsift.llm import chat_prefix, html_main, line_frequency, simhash_gph
+from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency.line_rules(_table(spark, sf_dir, "documents"))
+
+
+#: Added to the conversations by contract: texts that hold another template's control strings.
+TRAP = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+def op3_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = spark.createDataFrame(TRAP, "conv_id long, turn long, role string, text string")
+    return chat_prefix.digests(chat_prefix.examples(turns.unionByName(trap)))
+
+
+def op6_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.extract(_table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gph.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_line_frequency": op2_line_frequency,
+    "op3_chat_prefix": op3_chat_prefix,
+    "op6_html_main": op6_html_main,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
-
-ORACLE: dict[str, str] = {}
