@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from recsift.llm import chat_prefix, html_main, line_frequency, simhash_gph
+from recsift.llm import chat_prefix, html_main, line_frequency, simhash_gph, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -26,6 +26,10 @@ def op3_chat_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_prefix.digests(chat_prefix.examples(turns.unionByName(trap)))
 
 
+def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trigram_secrets.digests(trigram_secrets.scan(_table(spark, sf_dir, "documents")))
+
+
 def op6_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
@@ -37,6 +41,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_chat_prefix": op3_chat_prefix,
+    "op4_trigram_secrets": op4_trigram_secrets,
     "op6_html_main": op6_html_main,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
