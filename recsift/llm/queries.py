@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from recsift.llm import chat_prefix, html_main, line_frequency, simhash_gph, trigram_secrets
+from recsift.llm import chat_prefix, html_main, line_frequency, simhash_gph, simhash_windows, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -34,6 +35,11 @@ def op6_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
 
+def op8_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per contaminated document and benchmark item that it holds."""
+    return simhash_windows.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key").withColumn("contaminated", F.lit(True))
+
+
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gph.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -43,5 +49,6 @@ QUERIES = {
     "op3_chat_prefix": op3_chat_prefix,
     "op4_trigram_secrets": op4_trigram_secrets,
     "op6_html_main": op6_html_main,
+    "op8_simhash_windows": op8_simhash_windows,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
