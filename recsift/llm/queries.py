@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import chat_prefix, html_main, line_frequency, simhash_gph, simhash_windows, trigram_secrets
+from recsift.llm import chat_prefix, html_main, importance, line_frequency, simhash_gph, simhash_windows, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -31,6 +31,10 @@ def op4_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trigram_secrets.digests(trigram_secrets.scan(_table(spark, sf_dir, "documents")))
 
 
+def op5_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
@@ -48,6 +52,7 @@ QUERIES = {
     "op2_line_frequency": op2_line_frequency,
     "op3_chat_prefix": op3_chat_prefix,
     "op4_trigram_secrets": op4_trigram_secrets,
+    "op5_importance": op5_importance,
     "op6_html_main": op6_html_main,
     "op8_simhash_windows": op8_simhash_windows,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
