@@ -126,8 +126,8 @@ def kth_largest(scores: DataFrame, col: str, k: int, bins: int = 1024) -> float:
 
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None, keep_good: float = 0.98,
-             seed: int = 7, max_labels: int = MAX_LABELS) -> DataFrame:
-    """``(doc_id, n_words, log_weight, gumbel_key, kept)`` for every row of ``docs``.
+             seed: int = 7, max_labels: int = MAX_LABELS, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *keep, n_words, log_weight, gumbel_key, kept)`` for every row of ``docs``.
 
     ``kept`` marks the ``k`` rows with the largest keys (ties at the last place are all kept). Without
     ``k`` it is the number of rows whose key reaches what a share ``keep_good`` of labelled good documents
@@ -137,7 +137,8 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     toxic)``; the raw model, the weights and the selection cover every document and its whole text. Null
     or empty texts weigh nothing (log weight 0). Rows with a null id are unlabelled and share their
     noise; repeated rows have equal keys. Without good labels every weight is 0 and, if ``k`` is not
-    given, all are kept. An empty table gives no rows; other columns are ignored.
+    given, all are kept. An empty table gives no rows. ``keep`` names columns to carry along (they are
+    weighed again on the way rather than stored or joined); others are ignored.
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = labelled(labels, max_labels)
@@ -157,13 +158,18 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                 words[first:last] = np.bincount(row[cell < TABLES[0][0]], minlength=last - first)
             at = positions(b.column(0), ids)
             good = np.where(at >= 0, calibrate[at] if len(calibrate) else False, False)
-            yield pa.record_batch([b.column(0), pa.array(words), pa.array(weight), pa.array(weight + gumbel(b.column(0), seed)), pa.array(good)],
-                                  names=["doc_id", "n_words", "log_weight", "gumbel_key", "held_out_good"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(words), pa.array(weight), pa.array(weight + gumbel(b.column(0), seed)), pa.array(good)],
+                                             names=["doc_id", *b.schema.names[2:], "n_words", "log_weight", "gumbel_key", "held_out_good"])
 
-    scores = staged(own.mapInArrow(run, "doc_id long, n_words long, log_weight double, gumbel_key double, held_out_good boolean"), "weights")
+    def weighed(*carried: str) -> DataFrame:
+        kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
+        taken = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *carried)
+        return taken.mapInArrow(run, f"doc_id long, {kinds}n_words long, log_weight double, gumbel_key double, held_out_good boolean")
+
+    scores = staged(weighed(), "weights")
     if k is not None:
         limit = kth_largest(scores, "gumbel_key", k) if 0 < k < scores.count() else (np.inf if k <= 0 else -np.inf)
     else:
         limit = scores.where("held_out_good").agg(F.percentile_approx("gumbel_key", 1 - keep_good, 100_000)).first()[0] if n[1].sum() else None
     kept = F.lit(True) if limit is None else F.col("gumbel_key") >= float(limit)
-    return scores.select("doc_id", "n_words", "log_weight", "gumbel_key", kept.alias("kept"))
+    return (weighed(*keep) if keep else scores).select("doc_id", *keep, "n_words", "log_weight", "gumbel_key", kept.alias("kept"))

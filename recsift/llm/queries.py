@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import chat_prefix, html_main, importance, line_frequency, simhash_gph, simhash_windows, trigram_secrets
+from recsift.llm import chat_prefix, html_main, importance, line_frequency, simhash_gph, simhash_windows, soft_mixing, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -13,6 +13,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return soft_mixing.mix(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_frequency.line_rules(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +53,7 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_soft_mixing": op1_soft_mixing,
     "op2_line_frequency": op2_line_frequency,
     "op3_chat_prefix": op3_chat_prefix,
     "op4_trigram_secrets": op4_trigram_secrets,
