@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import chat_prefix, html_main, importance, line_frequency, simhash_gph, simhash_windows, soft_mixing, trigram_secrets
+from recsift.llm import chat_prefix, html_main, importance, line_frequency, simhash_gph, simhash_windows, soft_mixing, token_counts, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -43,6 +43,12 @@ def op6_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_main.extract(_table(spark, sf_dir, "pages"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op8_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per contaminated document and benchmark item that it holds."""
     return simhash_windows.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")).drop("key").withColumn("contaminated", F.lit(True))
@@ -59,6 +65,7 @@ QUERIES = {
     "op4_trigram_secrets": op4_trigram_secrets,
     "op5_importance": op5_importance,
     "op6_html_main": op6_html_main,
+    "op7_token_counts": op7_token_counts,
     "op8_simhash_windows": op8_simhash_windows,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
 }
