@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import chat_prefix, html_main, importance, line_frequency, simhash_gph, simhash_windows, soft_mixing, token_counts, trigram_secrets
+from recsift.llm import chat_prefix, html_main, importance, katz, line_frequency, simhash_gph, simhash_windows, soft_mixing, token_counts, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -58,6 +58,10 @@ def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_gph.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.katz_scores(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_soft_mixing": op1_soft_mixing,
     "op2_line_frequency": op2_line_frequency,
@@ -68,4 +72,5 @@ QUERIES = {
     "op7_token_counts": op7_token_counts,
     "op8_simhash_windows": op8_simhash_windows,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
+    "op10_katz": op10_katz,
 }
