@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import valid_interactions
-from recsift.operators.pairs import basket_pairs, by_user
+from recsift.operators.pairs import basket_pairs
 
 # Fixed values that must equal the studied job: app pages and modules excluded from the corpus.
 EXCLUDED_PAGES = ("h5_free", "h5_subsidy", "h5_subsidy_v2")
@@ -21,16 +21,16 @@ def item_sentences(clicks: DataFrame, catalog: DataFrame, start: str, end: str,
     Distinct (user, offer, subcate) click rows in the date range, ranked per user by subcate
     descending (ties by offer id) and capped at ``cap`` *before* the live-offer join; tokens are
     ordered by subcate (then offer) and sentences shorter than ``min_len`` tokens drop. Rows
-    without a subcate are dropped (they cannot form a token).
+    without a subcate are dropped (they cannot form a token). Every listed page and module is excluded,
+    and with them rows without one; an empty list excludes nothing.
     """
-    c = clicks.where((F.col("event_type") == "click") & (F.col("event_name") == "coupon_click")
-                     & (F.col("cate_id3") != "") & (F.col("offer_id") != "")
-                     & F.col("cate_id3").isNotNull() & F.col("offer_id").isNotNull()
-                     & (F.col("user_id") != sentinel) & (F.length("user_id") >= 14)
-                     & (F.length("offer_id") >= 2) & (F.col("ymd") <= end) & (F.col("ymd") >= start)
-                     & (F.col("cur_page") != excluded_pages[0]) & (F.col("cur_module") != excluded_modules[0])
-                     & ~F.col("cur_page").isin(list(excluded_pages[1:]))
-                     & F.col("subcate_id").isNotNull())
+    dated = clicks.where(F.col("ymd").between(start, end))
+    known = dated.where(F.col("subcate_id").isNotNull() & (F.length("cate_id3") > 0) & (F.length("offer_id") >= 2)
+                        & (F.length("user_id") >= 14) & (F.col("user_id") != sentinel))
+    c = known.where((F.col("event_name") == "coupon_click") & (F.col("event_type") == "click"))
+    for col, excluded in (("cur_module", excluded_modules), ("cur_page", excluded_pages)):
+        if excluded:
+            c = c.where(~F.col(col).isin(list(excluded)))
     g = c.select("user_id", "offer_id", "subcate_id").distinct()
     w = Window.partitionBy("user_id").orderBy(F.col("subcate_id").desc(), F.col("offer_id").asc())
     ranked = g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= cap)
@@ -45,6 +45,6 @@ def item_sentences(clicks: DataFrame, catalog: DataFrame, start: str, end: str,
 
 def co_click_edges(log: DataFrame, start: str) -> DataFrame:
     """Undirected co-click graph: ``(src, dst, weight)`` with src < dst and weight = users clicking both."""
-    v = by_user(valid_interactions(log, start=start, event_name="coupon_click").select("user_id", "offer_id"))
+    v = valid_interactions(log, start=start, event_name="coupon_click").select("user_id", "offer_id")
     p = basket_pairs(v, ["user_id"], "offer_id")
     return p.groupBy(F.col("item_i").alias("src"), F.col("item_j").alias("dst")).agg(F.count(F.lit(1)).alias("weight"))

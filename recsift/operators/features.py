@@ -5,22 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def category_index(df: DataFrame, col: str) -> DataFrame:
-    """Frequency-ordered index of a category column: ``(col, n, idx)``, most frequent = 0.
-
-    Ties are broken by value. The ranking runs over the distinct values only (one row per
-    category after a map-side combined count), which is the one small global sort in the library.
-    """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.col("n").desc(), F.col(col).asc())
-    return counts.select(col, "n", (F.row_number().over(w) - 1).cast("bigint").alias("idx"))
-
-
-from recsift.functions.binning import (COMMISSION_EDGES, NUMBER_PATTERN, PRICE_EDGES, RATE_EDGES,  # noqa: E402
-                                      SCORE_EDGES, bucketize_number)
-from recsift.functions.hashing import hash_feature, hash_sequence_parts, sequence_parts  # noqa: E402
-from recsift.operators.layout import spread  # noqa: E402
+from recsift.functions.binning import (COMMISSION_EDGES, NUMBER_PATTERN, PRICE_EDGES, RATE_EDGES,
+                                       SCORE_EDGES, bucketize_number)
+from recsift.functions.hashing import hash_feature, hash_sequence_parts, sequence_parts
 
 # Fixed values that must equal the studied jobs: which features are bucketed, with which edges,
 # and the feature-name presets of the two export variants.
@@ -51,7 +38,6 @@ def with_features(df: DataFrame, names, out_col: str = "features", json_col: str
     computed once per row even where expressions cannot be code-generated.
     """
     edges = FEATURE_EDGES if edges is None else edges
-    df = spread(df)
     keep = df.columns
     m = F.from_json(F.col(json_col), "map<string,string>")
     t = df.select(*keep, m.alias("_fmap"))
@@ -69,7 +55,6 @@ def with_features(df: DataFrame, names, out_col: str = "features", json_col: str
 def with_sequence_features(df: DataFrame, specs, out_col: str = "seq_features", json_col: str = "predictor_json",
                            length: int = 50) -> DataFrame:
     """Add comma-joined padded sequence hashes for ``key:fea`` specs (``-1`` for a missing key)."""
-    df = spread(df)
     keep = df.columns
     m = F.from_json(F.col(json_col), "map<string,string>")
     t = df.select(*keep, m.alias("_fmap"))
@@ -113,3 +98,30 @@ def offer_features(train_log: DataFrame, catalog: DataFrame, ctr: DataFrame, sta
     c = ctr.select("offer_id", "ctr")
     return per_offer.join(cat, "offer_id").join(c, "offer_id") \
         .select("offer_id", "subcate_id", "month_sales", "features", "ctr")
+
+
+def frequency_index(df: DataFrame, col: str) -> DataFrame:
+    """Frequency-ordered index of the values of a column: ``(col, n, idx)``, most frequent = 0.
+
+    Ties are broken by value; null is a value of its own and comes first among its ties. An index is
+    a sum of offsets over ever finer classes: counts of the same binary magnitude, equal counts, equal
+    first letters, then the place among these; each is a window within the next coarser class, so no
+    sort sees all values.
+    """
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).select(
+        col, "n", F.floor(F.log2("n")).cast("int").alias("_mag"), F.substring(F.col(col).cast("string"), 1, 4).alias("_head"))
+    heads = counts.groupBy("_mag", "n", "_head").agg(F.count(F.lit(1)).alias("_c"))
+    levels = heads.groupBy("_mag", "n").agg(F.sum("_c").alias("_c"))
+    mags = levels.groupBy("_mag").agg(F.sum("_c").alias("_c"))
+    # The sum of all larger magnitudes: each of at most 63 hands its size to every smaller one.
+    above = (mags.select(F.explode(F.sequence(F.lit(0), F.col("_mag"))).alias("_to"), "_mag", "_c")
+             .groupBy(F.col("_to").alias("_mag")).agg(F.sum(F.when(F.col("_mag") > F.col("_to"), F.col("_c")).otherwise(0)).alias("_a")))
+    before = lambda w: F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at_level = levels.join(above, "_mag").select(
+        "n", (F.col("_a") + before(Window.partitionBy("_mag").orderBy(F.col("n").desc()))).alias("_l"))
+    at_head = heads.select("n", "_head", before(Window.partitionBy("n").orderBy("_head")).alias("_h"))
+    place = F.row_number().over(Window.partitionBy("n", "_head").orderBy(F.col(col)))
+    ranked = counts.select(col, "n", "_head", place.alias("_p")).alias("r")
+    met = ranked.join(at_head.alias("h"), (F.col("r.n") == F.col("h.n")) & F.col("r._head").eqNullSafe(F.col("h._head")))
+    return (met.join(at_level.alias("l"), F.col("r.n") == F.col("l.n"))
+            .select(F.col(f"r.{col}").alias(col), F.col("r.n").alias("n"), (F.col("_l") + F.col("_h") + F.col("_p") - 1).cast("bigint").alias("idx")))

@@ -1,10 +1,9 @@
 """Co-occurrence pairs inside groups.
 
-Pairs are produced by an equi-join of the (group, item) rows with themselves on the group key
-(null-safe, so a null group is a group of its own) and ``item_i < item_j``. Nothing is collected
-into a per-group array: a group's rows stay spread over tasks, the join is hash-partitioned on
-the group key, and a hot group is split by AQE's skew-join handling. Aggregations applied right
-after the join are partially combined before the next shuffle.
+Every item of a group is dealt into one of the group's blocks by its hash; a group has as many blocks as
+its size asks for, so most have one. Pairs come from an equi-join on (group, block, block), one join
+key per pair of blocks, so a hot group is spread over many tasks by its own size and nothing is ever
+collected per group. Aggregations right after the join are partially combined before the next shuffle.
 """
 
 from __future__ import annotations
@@ -14,45 +13,49 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Items per block of a group, on average.
+BLOCK_ITEMS = 256
+
 
 def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item_id",
                  carry: Sequence[str] = (), distinct: bool = True,
-                 nullable_groups: Sequence[str] = ()) -> DataFrame:
+                 nullable_groups: Sequence[str] = (), block_items: int = BLOCK_ITEMS) -> DataFrame:
     """Unordered item pairs per group: ``(*group_cols, item_i, item_j, *carry_i, *carry_j)``.
 
     ``carry`` columns are attributes of the item (functionally dependent on it) copied to both
     sides with suffixes ``_i`` / ``_j``. Rows are deduplicated on (group, item, carry) first when
     ``distinct`` is set, so each pair appears once per group. Group columns listed in
-    ``nullable_groups`` compare null-safe (a null is a group of its own); the others use plain
-    equality, so an input already hash-partitioned on them is joined without a new shuffle.
+    ``nullable_groups`` compare null-safe (a null is a group of its own); rows with a null in
+    another group column, or a null item, pair with nothing.
     """
-    cols = list(group_cols) + [item_col] + list(carry)
-    base = df.select(*cols)
+    base = df.select(*group_cols, item_col, *carry)
     if distinct:
         base = base.distinct()
-    a = base.alias("pa")
-    b = base.alias("pb")
-    cond = [F.col(f"pa.{g}").eqNullSafe(F.col(f"pb.{g}")) if g in nullable_groups
-            else F.col(f"pa.{g}") == F.col(f"pb.{g}") for g in group_cols]
-    cond.append(F.col(f"pa.{item_col}") < F.col(f"pb.{item_col}"))
-    out = [F.col(f"pa.{g}").alias(g) for g in group_cols]
-    out += [F.col(f"pa.{item_col}").alias("item_i"), F.col(f"pb.{item_col}").alias("item_j")]
-    out += [F.col(f"pa.{c}").alias(f"{c}_i") for c in carry]
-    out += [F.col(f"pb.{c}").alias(f"{c}_j") for c in carry]
-    return a.join(b, cond, "inner").select(*out)
 
+    def same(a: str, b: str):
+        return [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) if g in nullable_groups
+                else F.col(f"{a}.{g}") == F.col(f"{b}.{g}") for g in group_cols]
 
-def by_user(df: DataFrame, user_col: str = "user_id") -> DataFrame:
-    """Hash-partition interaction rows by user once.
+    blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int")
+    sizes = base.groupBy(*group_cols).agg(blocks.alias("_blocks"))
+    dealt = (base.alias("pb").join(sizes.alias("ps"), same("pb", "ps"))
+             .select(*[F.col(f"pb.{c}").alias(c) for c in base.columns], "_blocks",
+                     F.pmod(F.xxhash64(f"pb.{item_col}"), F.col("_blocks")).cast("int").alias("_block")))
+    # An item meets the later blocks from the left and the earlier ones from the right.
+    left = dealt.select("*", F.col("_block").alias("_p"), F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_q"))
+    right = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("_p"), F.col("_block").alias("_q"))
+    a, b = F.col(f"pa.{item_col}"), F.col(f"pc.{item_col}")
+    met = left.alias("pa").join(right.alias("pc"), [*same("pa", "pc"), F.col("pa._p") == F.col("pc._p"), F.col("pa._q") == F.col("pc._q"),
+                                                    (F.col("pa._p") != F.col("pa._q")) & (a != b) | (a < b)])
+    first = a < b
 
-    Per-user counts, (user, item) dedup, user-level semi joins and self-joins on the user then
-    all reuse this partitioning instead of shuffling again (a hash partitioning on the user
-    satisfies any clustering that includes the user). Rows are not combined before this
-    shuffle, which suits logs with few repeats per (user, item).
-    """
-    # Null users never survive the joins downstream; dropping them here keeps every branch's
-    # inferred not-null filters identical, so all branches share this one exchange.
-    return df.where(F.col(user_col).isNotNull()).repartition(user_col)
+    def ordered(c: str, i, j):
+        x, y = F.col(f"pa.{c}"), F.col(f"pc.{c}")
+        return [F.when(first, x).otherwise(y).alias(i), F.when(first, y).otherwise(x).alias(j)]
+
+    out = [F.col(f"pa.{g}").alias(g) for g in group_cols] + ordered(item_col, "item_i", "item_j")
+    carried = [ordered(c, f"{c}_i", f"{c}_j") for c in carry]
+    return met.select(*out, *[x for x, _ in carried], *[y for _, y in carried])
 
 
 def symmetrize(df: DataFrame, left: str, right: str, paired: Sequence[tuple[str, str]] = (),

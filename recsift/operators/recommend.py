@@ -8,59 +8,70 @@ from pyspark.sql import functions as F
 from recsift.functions.dates import age_days
 
 
+def _triggers(candidates: DataFrame, behaviour: DataFrame, save_count: int, min_limit: int, join_key: str) -> DataFrame:
+    """``(user_id, trigger_item, trigger_type, time, tpos, quota)``: behaviour rows whose key has a list.
+
+    ``tpos`` numbers a user's triggers in visiting order and identifies them: with a key other than
+    the item several triggers of a user can share it. Count and order come from one sort per user.
+    """
+    keys = candidates.where(F.col("rank") == 1).select(F.col("main_id").alias(join_key)).distinct()
+    t = behaviour.join(keys, join_key, "left_semi")
+    ties = [F.col(c).asc() for c in dict.fromkeys((join_key, "item_id")) if c in behaviour.columns]
+    w = Window.partitionBy("user_id").orderBy(F.col("trigger_type").desc(), F.col("time").desc(), *ties)
+    n = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
+    quota = F.greatest((F.lit(save_count) / n).cast("bigint") + 1, F.lit(min_limit).cast("bigint")) - 1
+    return t.select("user_id", F.col(join_key).alias("trigger_item"), "trigger_type", "time",
+                    F.row_number().over(w).cast("bigint").alias("tpos"), quota.alias("quota"))
+
+
+def _entries(candidates: DataFrame, triggers: DataFrame) -> DataFrame:
+    c = candidates.select(F.col("main_id").alias("trigger_item"), "rank", F.col("sim_id").alias("item_id"), "score")
+    return triggers.join(c, "trigger_item").where(F.col("rank") <= F.col("quota"))
+
+
 def trigger_quota(candidates: DataFrame, behaviour: DataFrame, save_count: int = 300, min_limit: int = 10,
                   join_key: str = "item_id", window_start_s: int = 0) -> DataFrame:
     """Candidate entries each trigger may contribute.
 
-    ``candidates`` is ``(main_id, rank, sim_id, score)`` (ranked per main id); ``behaviour`` is
+    ``candidates`` is ``(main_id, rank, sim_id, score)`` (ranked from 1 per main id); ``behaviour`` is
     ``(user_id, <join_key>, trigger_type, time, ...)``. Triggers are behaviour rows whose key has a
     candidate list; with ``n`` such triggers a user's trigger keeps its first
     ``max(1 + save_count div n, min_limit) - 1`` candidates. ``age_days`` is the whole days from
     the window start (0 when time is 0); it shifts every score of a trigger equally, so it never
     changes an order. Output ``(user_id, trigger_item, trigger_type, time, age_days, rank, item_id, score)``.
     """
-    keys = candidates.select(F.col("main_id").alias(join_key)).distinct()
-    trig = behaviour.join(keys, join_key, "left_semi")
-    n = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
-    quota = F.greatest((F.lit(save_count) / n).cast("bigint") + 1, F.lit(min_limit).cast("bigint")) - 1
-    trig = trig.withColumn("quota", quota)
-    c = candidates.select(F.col("main_id").alias(join_key), "rank", F.col("sim_id").alias("item_id_c"), "score")
-    e = trig.join(c, join_key).where(F.col("rank") <= F.col("quota"))
-    return e.select("user_id", F.col(join_key).alias("trigger_item"), "trigger_type", "time",
-                    age_days("time", window_start_s).alias("age_days"), "rank",
-                    F.col("item_id_c").alias("item_id"), "score")
-
-
-def _triggers(candidates: DataFrame, behaviour: DataFrame, join_key: str) -> DataFrame:
-    keys = candidates.select(F.col("main_id").alias(join_key)).distinct()
-    t = behaviour.join(keys, join_key, "left_semi")
-    w = Window.partitionBy("user_id").orderBy(F.col("trigger_type").desc(), F.col("time").desc(),
-                                              F.col(join_key).asc())
-    return t.select("user_id", F.col(join_key).alias("trigger_item"), "trigger_type", "time",
-                    F.row_number().over(w).alias("tpos"))
+    e = _entries(candidates, _triggers(candidates, behaviour, save_count, min_limit, join_key))
+    return e.select("user_id", "trigger_item", "trigger_type", "time",
+                    age_days("time", window_start_s).alias("age_days"), "rank", "item_id", "score")
 
 
 def user_recommendations(candidates: DataFrame, behaviour: DataFrame, save_count: int = 300,
-                         min_limit: int = 10, join_key: str = "item_id", window_start_s: int = 0) -> DataFrame:
+                         min_limit: int = 10, join_key: str = "item_id") -> DataFrame:
     """Per-user lists, long form: ``(user_id, trigger_item, trigger_type, time, tpos, pos, item_id)``.
 
-    Triggers are visited by type descending, then time descending (ties by trigger id); inside a
+    Triggers are visited by type descending, then time descending (ties by key, then item); inside a
     trigger by candidate rank. An item is kept only at its first appearance for the user and at
     most ``save_count`` items are kept per user. A trigger whose entries were all taken keeps one
     row with null ``pos`` / ``item_id``.
+
+    Every candidate list gets a marker at rank 0, so a trigger's row and its entries come from the
+    one join of triggers and candidates; the marker stays where no entry does.
     """
-    e = trigger_quota(candidates, behaviour, save_count, min_limit, join_key, window_start_s)
-    t = _triggers(candidates, behaviour, join_key)
-    e = e.join(t.select("user_id", "trigger_item", "tpos"), ["user_id", "trigger_item"])
+    marks = candidates.where(F.col("rank") == 1).select("main_id", F.lit(0).cast("bigint").alias("rank"),
+                                                        F.lit(None).cast(candidates.schema["sim_id"].dataType).alias("sim_id"),
+                                                        F.lit(None).cast("double").alias("score")).distinct()
+    c = candidates.select("main_id", F.col("rank").cast("bigint").alias("rank"), "sim_id", F.col("score").cast("double").alias("score"))
+    e = _entries(c.unionByName(marks), _triggers(candidates, behaviour, save_count, min_limit, join_key))
+    mark = F.col("rank") == 0
     first = F.row_number().over(Window.partitionBy("user_id", "item_id").orderBy("tpos", "rank"))
-    e = e.withColumn("occ", first).where(F.col("occ") == 1)
-    kept = F.row_number().over(Window.partitionBy("user_id").orderBy("tpos", "rank"))
-    e = e.withColumn("kept", kept).where(F.col("kept") <= save_count)
-    pos = F.row_number().over(Window.partitionBy("user_id", "trigger_item").orderBy("rank"))
-    e = e.select("user_id", "trigger_item", pos.cast("bigint").alias("pos"), "item_id")
-    return (t.join(e, ["user_id", "trigger_item"], "left")
-            .select("user_id", "trigger_item", "trigger_type", "time", F.col("tpos").cast("bigint").alias("tpos"),
-                    "pos", "item_id"))
+    e = e.withColumn("occ", first).where(mark | (F.col("occ") == 1))
+    so_far = Window.partitionBy("user_id").orderBy("tpos", "rank").rowsBetween(Window.unboundedPreceding, 0)
+    e = e.withColumn("kept", F.count(F.when(~mark, 1)).over(so_far)).where(mark | (F.col("kept") <= save_count))
+    per_trigger = Window.partitionBy("user_id", "tpos")
+    e = e.withColumn("place", F.row_number().over(per_trigger.orderBy("rank")) - 1).withColumn("rows", F.count(F.lit(1)).over(per_trigger))
+    return (e.where(~mark | (F.col("rows") == 1))
+            .select("user_id", "trigger_item", "trigger_type", "time", "tpos",
+                    F.when(~mark, F.col("place")).cast("bigint").alias("pos"), "item_id"))
 
 
 def user_recommendations_json(long_form: DataFrame) -> DataFrame:

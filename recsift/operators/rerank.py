@@ -107,9 +107,9 @@ def extend_lists(base: DataFrame, new: DataFrame, depth: int = 200) -> DataFrame
     return flags.join(added, "main_offer", "left").select("main_offer", "pos", "sim_offer", "has_base")
 
 
-def top_candidates(sim: DataFrame, valid: DataFrame | None = None, n: int = 400, main_col: str = "main_id",
+def top_candidates(sim: DataFrame, valid: DataFrame | None = None, n: int | None = 400, main_col: str = "main_id",
                    sim_col: str = "sim_id", score_col: str = "score") -> DataFrame:
-    """Top ``n`` candidates per main id by numeric score (ties by id): ``(main, rank, sim, score)``.
+    """Top ``n`` candidates (``None``: all) per main id by numeric score (ties by id): ``(main, rank, sim, score)``.
 
     Entries with a null or NaN score drop; with ``valid`` (an ``item_id`` frame) only valid
     candidates are kept (existence test, so duplicate valid rows never multiply pairs).
@@ -118,5 +118,7 @@ def top_candidates(sim: DataFrame, valid: DataFrame | None = None, n: int = 400,
     if valid is not None:
         s = s.join(valid.select(F.col("item_id").alias(sim_col)), sim_col, "left_semi")
     w = Window.partitionBy(main_col).orderBy(F.col(score_col).desc(), F.col(sim_col).asc())
-    r = s.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+    r = s.withColumn("rank", F.row_number().over(w))
+    if n is not None:
+        r = r.where(F.col("rank") <= n)
     return r.select(main_col, F.col("rank").cast("bigint").alias("rank"), sim_col, score_col)

@@ -5,19 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.operators.filters import active_users
-from recsift.operators.pairs import basket_pairs, by_user, symmetrize
+from recsift.operators.filters import active_users, item_support, valid_interactions
+from recsift.operators.pairs import basket_pairs, symmetrize
 
 
 def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, max_user_rows: int,
              min_support: int, category_col: str, strict_users: bool) -> dict:
-    r = by_user(interactions.select("user_id", "item_id").where(F.col("item_id").isNotNull()))
+    r = interactions.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
     active = active_users(r, min_user_rows, max_user_rows).select("user_id")
-    ui = r.distinct()
-    nor = (ui.join(active, "user_id", "left_semi").groupBy("item_id")
-           .agg(F.count("user_id").alias("nor")).where(F.col("nor") >= min_support))
+    nor = item_support(r, min_support, min_user_rows, max_user_rows)
     # The studied job forms pairs from all users (the activity bounds only shape the norms);
     # strict_users applies them to the pair base too.
+    ui = r.distinct()
     users = ui.join(active, "user_id", "left_semi") if strict_users else ui
     cats = (catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))
             .select("item_id", F.col(category_col).alias("category")))
@@ -25,6 +24,15 @@ def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, ma
     return {"rows": r, "active": active, "nor": nor, "base": base}
 
 
+def _cf_scores(base: DataFrame) -> DataFrame:
+    pairs = basket_pairs(base, ["user_id", "category"], "item_id", carry=["nor"], distinct=False,
+                         nullable_groups=["category"])
+    co = pairs.groupBy("item_i", "item_j", "nor_i", "nor_j").agg(F.count(F.lit(1)).alias("co"))
+    both = symmetrize(co, "item_i", "item_j", paired=[("nor_i", "nor_j")], keep=["co"])
+    return both.select("item_i", "item_j", "co", "nor_i", "nor_j",
+                       (F.col("co") / F.sqrt(F.col("nor_i") * F.col("nor_j"))).alias("score"))
+
+
 def item_cf(interactions: DataFrame, catalog: DataFrame, min_user_rows: int = 2, max_user_rows: int = 2000,
             min_support: int = 5, category_col: str = "subcate_id", strict_users: bool = False) -> DataFrame:
     """Cosine item CF within (user, category) groups, both directions.
@@ -33,22 +41,18 @@ def item_cf(interactions: DataFrame, catalog: DataFrame, min_user_rows: int = 2,
     (user, category) groups holding both items, ``nor`` the number of distinct active users of an
     item (kept when >= ``min_support``) and ``score = co / sqrt(nor_i * nor_j)``.
     """
-    b = _cf_base(interactions, catalog, min_user_rows, max_user_rows, min_support, category_col, strict_users)
-    pairs = basket_pairs(b["base"], ["user_id", "category"], "item_id", carry=["nor"], distinct=False,
-                         nullable_groups=["category"])
-    co = pairs.groupBy("item_i", "item_j", "nor_i", "nor_j").agg(F.count(F.lit(1)).alias("co"))
-    both = symmetrize(co, "item_i", "item_j", paired=[("nor_i", "nor_j")], keep=["co"])
-    return both.select("item_i", "item_j", "co", "nor_i", "nor_j",
-                       (F.col("co") / F.sqrt(F.col("nor_i") * F.col("nor_j"))).alias("score"))
+    return _cf_scores(_cf_base(interactions, catalog, min_user_rows, max_user_rows, min_support, category_col, strict_users)["base"])
 
 
 def item_cf_stage_counts(interactions: DataFrame, catalog: DataFrame, **kw) -> DataFrame:
-    """Row counts of the item-CF stages as a ``(stage, rows)`` table, computed in one job."""
+    """Row counts of the item-CF stages as a ``(stage, rows)`` table.
+
+    One plan: the counts are branches over the same frames, whose shuffles Spark shares.
+    """
     b = _cf_base(interactions, catalog, kw.get("min_user_rows", 2), kw.get("max_user_rows", 2000),
                  kw.get("min_support", 5), kw.get("category_col", "subcate_id"), kw.get("strict_users", False))
-    sim = item_cf(interactions, catalog, **kw)
     parts = [("interactions", b["rows"]), ("active_users", b["active"]), ("supported_items", b["nor"]),
-             ("pair_base", b["base"]), ("directed_pairs", sim)]
+             ("pair_base", b["base"]), ("directed_pairs", _cf_scores(b["base"]))]
     out = None
     for name, df in parts:
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
@@ -61,32 +65,40 @@ def pair_support(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
     Users need at least ``min_rows`` rows; support counts distinct users holding both items.
     """
-    ui, pu = _swing_user_pairs(orders, min_rows)
+    _, pu = _swing_user_pairs(orders, min_rows, min_users)
+    return _support_band(pu, min_users, max_users)
+
+
+def _support_band(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
     return (pu.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("support"))
             .where((F.col("support") >= min_users) & (F.col("support") <= max_users)))
 
 
-def _swing_user_pairs(orders: DataFrame, min_rows: int):
-    r = by_user(orders.select("user_id", "item_id").where(F.col("item_id").isNotNull()))
+def _swing_user_pairs(orders: DataFrame, min_rows: int, min_users: int):
+    """All (user, item) rows of active users, and their item pairs.
+
+    Items with fewer than ``min_users`` users cannot be in a supported pair, so they form none.
+    """
+    r = orders.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
     heavy = r.groupBy("user_id").agg(F.count("item_id").alias("n")).where(F.col("n") >= min_rows).select("user_id")
     ui = r.join(heavy, "user_id", "left_semi").distinct()
-    return ui, basket_pairs(ui, ["user_id"], "item_id", distinct=False)
+    held = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_users).select("item_id")
+    return ui, basket_pairs(ui.join(held, "item_id", "left_semi"), ["user_id"], "item_id", distinct=False)
 
 
 def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFrame:
     """``(u, v, overlap)`` = |I_u & I_v| for the given user pairs.
 
-    Each user's items are cut into chunks of at most ``max_array`` (sorted, numbered inside the
-    user's partition, so no extra shuffle), every chunk becomes a bounded array, and the overlap
-    of a user pair is the sum of ``size(array_intersect)`` over its chunk pairs. Typical users
-    have one chunk, so a pair costs one array intersection; a huge basket costs more chunk pairs
-    but never an unbounded array. ``needed`` is read once.
+    A user's items are dealt by hash into chunks of about ``max_array``, as many as the basket's size
+    asks for; every chunk becomes one array, and the overlap of a user pair is the sum of
+    ``size(array_intersect)`` over its chunk pairs. Typical users have one chunk, so a pair costs one
+    array intersection; a huge basket costs more chunk pairs but no array grows with it.
     """
     if max_array < 1:
         raise ValueError("max_array must be at least 1")
-    rn = F.row_number().over(Window.partitionBy("user_id").orderBy("item_id"))
-    chunked = ui.withColumn("chunk", F.floor((rn - 1) / F.lit(max_array)))
-    chunks = chunked.groupBy("user_id", "chunk").agg(F.array_sort(F.collect_list("item_id")).alias("items"))
+    sizes = ui.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_array)).alias("chunks"))
+    chunked = ui.join(sizes, "user_id").withColumn("chunk", F.pmod(F.xxhash64("item_id"), F.col("chunks")))
+    chunks = chunked.groupBy("user_id", "chunk").agg(F.collect_list("item_id").alias("items"))
     cu = chunks.select(F.col("user_id").alias("u"), F.col("items").alias("iu"))
     cv = chunks.select(F.col("user_id").alias("v"), F.col("items").alias("iv"))
     return (needed.join(cu, "u").join(cv, "v")
@@ -96,14 +108,12 @@ def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFram
 def _band_user_pairs(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
     """``(item_i, item_j, u, v)`` with u < v for every item pair whose support is in the band.
 
-    Support is counted with one window over the pair partition (a single shuffle of the
-    user-pair rows). Pairs above ``max_users`` drop before anything is collected, so the users
-    gathered per surviving pair are bounded by ``max_users``; their 2-combinations come from
-    the sorted array (positions i < j) without a self-join.
+    Pairs are counted with a partial aggregate, the band's pairs are joined back to their users, and
+    only then are users gathered, at most ``max_users`` per pair; their 2-combinations come from
+    the sorted array without a self-join.
     """
-    support = F.count(F.lit(1)).over(Window.partitionBy("item_i", "item_j"))
-    held = pu.withColumn("support", support) \
-        .where((F.col("support") >= min_users) & (F.col("support") <= max_users))
+    band = _support_band(pu, min_users, max_users).select("item_i", "item_j")
+    held = pu.join(band, ["item_i", "item_j"], "left_semi")
     users = held.groupBy("item_i", "item_j").agg(F.array_sort(F.collect_list("user_id")).alias("us"))
     first = users.select("item_i", "item_j", "us", F.posexplode("us").alias("p", "u"))
     return first.select("item_i", "item_j", "u",
@@ -114,34 +124,30 @@ def swing_scores(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
                  alpha: float = 1.0, max_array: int = 512) -> DataFrame:
     """``(item_i, item_j, score)``: Swing score sum over user pairs ``1 / (alpha + |I_u & I_v|)``.
 
-    User pairs of in-band item pairs come from ``_band_user_pairs``; they are hash-partitioned
-    on (u, v) once, which serves both the distinct user pairs whose overlap is needed and the
-    final join with those overlaps. Overlaps are computed only for those user pairs (see
-    ``_user_overlaps``); popular items are never self-joined.
+    User pairs of in-band item pairs come from ``_band_user_pairs``; overlaps are computed once per
+    distinct user pair (see ``_user_overlaps``); popular items are never self-joined. The terms of a
+    pair, at most one per two of its ``max_users`` users, are added in ascending order, so the
+    score does not depend on how rows were shuffled.
     """
-    ui, pu = _swing_user_pairs(orders, min_rows)
-    up = _band_user_pairs(pu, min_users, max_users).repartition("u", "v")
-    # One representative row per user pair. Ordering by the item pair keeps all columns above
-    # the (u, v) exchange, so this branch and the final join share one shuffle of ``up``.
-    first = F.row_number().over(Window.partitionBy("u", "v").orderBy("item_i", "item_j"))
-    needed = up.withColumn("_first", first).where(F.col("_first") == 1).select("u", "v")
-    overlap = _user_overlaps(needed, ui, max_array)
-    return (up.join(overlap, ["u", "v"])
-            .groupBy("item_i", "item_j")
-            .agg(F.sum(F.lit(1.0) / (F.lit(float(alpha)) + F.col("overlap"))).alias("score")))
+    ui, pu = _swing_user_pairs(orders, min_rows, min_users)
+    up = _band_user_pairs(pu, min_users, max_users)
+    overlap = _user_overlaps(up.select("u", "v").distinct(), ui, max_array)
+    terms = (up.join(overlap, ["u", "v"])
+             .groupBy("item_i", "item_j")
+             .agg(F.array_sort(F.collect_list(F.lit(1.0) / (F.lit(float(alpha)) + F.col("overlap")))).alias("terms")))
+    return terms.select("item_i", "item_j", F.aggregate("terms", F.lit(0.0), lambda s, t: s + t).alias("score"))
 
 
 def swing(orders: DataFrame, catalog: DataFrame, min_rows: int = 2, min_users: int = 3, max_users: int = 99,
           alpha: float = 1.0, depth: int = 200, min_len: int = 3, same_category: bool = False,
-          score_digits: int = 6, max_array: int = 512) -> DataFrame:
+          max_array: int = 512) -> DataFrame:
     """Swing similarity lists per offer: ``(main_offer, rank, sim_offer, score)``.
 
     Item pairs are mapped to offers of live catalog rows (optionally only within one category),
     made symmetric, deduplicated per (main, sim) keeping the highest score, ranked by score
     (ties by offer id), cut at ``depth``; lists with fewer than ``min_len`` entries are dropped.
     """
-    s = swing_scores(orders, min_rows, min_users, max_users, alpha, max_array) \
-        .withColumn("score", F.round("score", score_digits))
+    s = swing_scores(orders, min_rows, min_users, max_users, alpha, max_array)
     live = catalog.where(F.col("status") != 0).select("item_id", "offer_id", "subcate_id")
     m = live.select(F.col("item_id").alias("item_i"), F.col("offer_id").alias("main_offer"),
                     F.col("subcate_id").alias("sub_i"))
@@ -169,3 +175,13 @@ def order_events(orders: DataFrame, external: DataFrame, catalog: DataFrame, sta
     e = (external.where((F.col("ymd") >= start) & (F.col("type") == external_type))
          .join(live, "item_id").select("user_id", "item_id"))
     return o.unionByName(e)
+
+
+def cf_events(log: DataFrame, external: DataFrame, catalog: DataFrame, start: str,
+              external_type: str = "footprint") -> DataFrame:
+    """Item-CF input: ``(user_id, item_id)`` of valid app clicks plus external actions on live catalog items."""
+    clicks = valid_interactions(log, start=start).select("user_id", "item_id")
+    live = catalog.where(F.col("status") != 0).select("item_id")
+    e = (external.where((F.col("ymd") >= start) & (F.col("type") == external_type))
+         .join(live, "item_id").select("user_id", "item_id"))
+    return clicks.unionByName(e)

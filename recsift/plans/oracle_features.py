@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from recsift.functions.binning import COMMISSION_EDGES, PRICE_EDGES, RATE_EDGES, SCORE_EDGES
+# Fixed values that must equal the studied jobs, stated here anew so that a wrong edge in the library shows.
+SCORE_EDGES = (0.0, 3.0, 3.9, 4.0, 4.1, 4.2, 4.3, 4.4, 4.5, 4.6, 4.7, 4.8, 4.9, 5.0)
+RATE_EDGES = (0.0, 10.0, 20.0, 30.0, 40.0, 50.0, 60.0, 70.0, 80.0, 90.0)
+PRICE_EDGES = (0.0, 5.0, 10.0, 15.0, 25.0, 50.0, 70.0, 150.0, 200.0, 250.0, 300.0)
+COMMISSION_EDGES = (0.0, 2.0, 4.0, 6.0, 8.0, 10.0, 14.0, 20.0, 40.0)
 
 EDGES = {"Mc": SCORE_EDGES, "Md": SCORE_EDGES, "Me": SCORE_EDGES, "Sl": RATE_EDGES, "Sj": RATE_EDGES,
          "Sf": PRICE_EDGES, "Ss": COMMISSION_EDGES}

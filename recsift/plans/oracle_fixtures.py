@@ -77,8 +77,27 @@ FIXTURE_SQL: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def with_fixtures(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
-    """``WITH <fixtures and their dependencies>, <extra CTEs> <body>``."""
+#: Catalog and offer status where items have several offers and categories, over the plain ones.
+FAN_SQL = {
+    "cat": """SELECT * FROM one_cat
+              UNION ALL SELECT * REPLACE (CAST(CAST(item_id AS BIGINT) + 2000000 AS VARCHAR) AS offer_id)
+                        FROM one_cat WHERE CAST(item_id AS BIGINT) % 4 = 0
+              UNION ALL SELECT * REPLACE ('Brand#99' AS subcate_id) FROM one_cat WHERE CAST(item_id AS BIGINT) % 6 = 0""",
+    "ost": """SELECT * FROM one_ost
+              UNION ALL SELECT CAST(p_partkey + 2000000 AS VARCHAR), 0 FROM part WHERE p_partkey % 4 = 0""",
+}
+
+
+def with_fan(body: str, *names: str, extra: dict[str, str] | None = None) -> str:
+    """``with_fixtures`` over the catalog and offer status with several rows per item."""
+    return with_fixtures(body, *names, extra=extra, over=FAN_SQL)
+
+
+def with_fixtures(body: str, *names: str, extra: dict[str, str] | None = None, over: dict[str, str] | None = None) -> str:
+    """``WITH <fixtures and their dependencies>, <extra CTEs> <body>``.
+
+    A fixture in ``over`` is defined by that SQL, which may read the plain one as ``one_<name>``.
+    """
     order: list[str] = []
 
     def add(n: str) -> None:
@@ -90,7 +109,12 @@ def with_fixtures(body: str, *names: str, extra: dict[str, str] | None = None) -
 
     for n in names:
         add(n)
-    ctes = [f"{n} AS ({FIXTURE_SQL[n][1]})" for n in order]
+    ctes = []
+    for n in order:
+        if n in (over or {}):
+            ctes += [f"one_{n} AS ({FIXTURE_SQL[n][1]})", f"{n} AS ({over[n]})"]
+        else:
+            ctes.append(f"{n} AS ({FIXTURE_SQL[n][1]})")
     for k, v in (extra or {}).items():
         ctes.append(f"{k} AS ({v})")
     return "WITH " + ",\n".join(ctes) + "\n" + body

@@ -41,6 +41,12 @@ def item_cf_strict(spark: SparkSession, d: str) -> DataFrame:
     return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d), strict_users=True)
 
 
+@query
+def item_cf_events(spark: SparkSession, d: str) -> DataFrame:
+    e = sim.cf_events(fx.interactions(spark, d, _start()), fx.external_actions(spark, d, _start()), fx.catalog(spark, d), _start())
+    return sim.item_cf(e, fx.catalog(spark, d))
+
+
 # ---- parameters of the fixture queries -------------------------------------------------------
 AS_OF = "20240131"         # reference day of the behaviour window (the log covers January 2024)
 LOOKBACK_DAYS = 21         # window start 20240110
@@ -55,14 +61,14 @@ def _start() -> str:
 
 @query
 def valid_interactions(spark, d):
-    v = flt.valid_interactions(fx.interactions(spark, d), start=_start())
+    v = flt.valid_interactions(fx.interactions(spark, d, _start()), start=_start())
     return v.select("user_id", "item_id", "offer_id", "event_time", "ymd")
 
 
 @query
 def id_length_filter(spark, d):
-    t = flt.id_length_filter(fx.train_log(spark, d))
-    t = t.where(F.col("log_type").isin("home_feed") & F.col("day").between("20240105", "20240125"))
+    t = flt.id_length_filter(fx.train_log(spark, d, TRAIN_START, TRAIN_END))
+    t = t.where(F.col("log_type").isin("home_feed") & F.col("day").between(TRAIN_START, TRAIN_END))
     return t.select("trace_id", "user_id", "offer_id", "label")
 
 
@@ -86,9 +92,9 @@ def item_support(spark, d):
     return flt.item_support(fx.orders_log(spark, d))
 
 
-def _behaviour(spark, d):
-    return flt.behaviour_events(fx.interactions(spark, d), fx.external_actions(spark, d),
-                                fx.catalog(spark, d), _start())
+def _behaviour(spark, d, fan=False):
+    return flt.behaviour_events(fx.interactions(spark, d, _start()), fx.external_actions(spark, d, _start()),
+                                fx.catalog(spark, d, fan), _start())
 
 
 @query
@@ -112,8 +118,8 @@ def valid_items(spark, d):
     return _valid_items(spark, d)
 
 
-def _servable(spark, d):
-    return flt.servable_offers(fx.catalog(spark, d), fx.offer_status(spark, d), fx.shops(spark, d))
+def _servable(spark, d, fan=False):
+    return flt.servable_offers(fx.catalog(spark, d, fan), fx.offer_status(spark, d, fan), fx.shops(spark, d))
 
 
 @query
@@ -122,7 +128,7 @@ def servable_offers(spark, d):
 
 
 def _ctr(spark, d, policy):
-    return ctr.offer_ctr(fx.interactions(spark, d), policy, start=_start())
+    return ctr.offer_ctr(fx.interactions(spark, d, _start()), policy, start=_start())
 
 
 for _p in ctr.POLICIES:
@@ -130,16 +136,16 @@ for _p in ctr.POLICIES:
 
 
 # ---- similarity post-processing ---------------------------------------------------------------
-def _item_sim(spark, d):
-    return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d))
+def _item_sim(spark, d, fan=False):
+    return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d, fan))
 
 
-def _offers(spark, d, distinct=True):
-    return rr.translate_and_filter(_item_sim(spark, d), _servable(spark, d), fx.catalog(spark, d), distinct)
+def _offers(spark, d, distinct=True, fan=False):
+    return rr.translate_and_filter(_item_sim(spark, d, fan), _servable(spark, d, fan), fx.catalog(spark, d, fan), distinct)
 
 
-def _price_lists(spark, d):
-    return rr.price_rerank(_offers(spark, d), fx.catalog(spark, d))
+def _price_lists(spark, d, fan=False):
+    return rr.price_rerank(_offers(spark, d, fan=fan), fx.catalog(spark, d, fan))
 
 
 def _ctr_lists(spark, d):
@@ -180,9 +186,9 @@ def top_candidates(spark, d):
 SWING_START = "19950101"
 
 
-def _swing_orders(spark, d):
-    return sim.order_events(fx.orders_log(spark, d), fx.external_actions(spark, d), fx.catalog(spark, d),
-                            SWING_START)
+def _swing_orders(spark, d, fan=False):
+    return sim.order_events(fx.orders_log(spark, d, SWING_START), fx.external_actions(spark, d, SWING_START),
+                            fx.catalog(spark, d, fan), SWING_START)
 
 
 @query
@@ -197,13 +203,51 @@ def swing_same_category(spark, d):
 
 @query
 def pair_support_band(spark, d):
-    ev = fx.interactions(spark, d).where(F.col("event_name").isin("coupon_click", "coupon_view", "buy_detail"))
-    return sim.pair_support(ev)
+    return sim.pair_support(_swing_orders(spark, d))
 
 
 @query
 def category_index(spark, d):
-    return feat.category_index(fx.catalog(spark, d), "subcate_id")
+    return feat.frequency_index(fx.catalog(spark, d), "subcate_id")
+
+
+@query
+def item_index(spark, d):
+    return feat.frequency_index(_swing_orders(spark, d), "item_id")
+
+
+# ---- the same jobs where items have several offers and categories ---------------------------------
+@query
+def item_cf_fan(spark, d):
+    return _item_sim(spark, d, fan=True)
+
+
+@query
+def item_cf_offers_fan(spark, d):
+    return _offers(spark, d, fan=True)
+
+
+@query
+def price_rerank_fan(spark, d):
+    return _price_lists(spark, d, fan=True)
+
+
+@query
+def swing_fan(spark, d):
+    return sim.swing(_swing_orders(spark, d, fan=True), fx.catalog(spark, d, fan=True))
+
+
+@query
+def behaviour_union_fan(spark, d):
+    return _behaviour(spark, d, fan=True)
+
+
+@query
+def top_candidates_fan(spark, d):
+    s = _item_sim(spark, d, fan=True).select(F.col("item_i").alias("main_id"), F.col("item_j").alias("sim_id"), "score")
+    valid = flt.valid_items(fx.catalog(spark, d, fan=True), fx.offer_status(spark, d, fan=True), fx.shops(spark, d), fx.tickets(spark, d),
+                            excluded_cate_id3=EXCL_CATE_ID3, excluded_subcate=EXCL_SUBCATE, blocklist=BLOCKLIST)
+    return rr.top_candidates(s, valid, n=400)
 
 
 # ---- feature export ---------------------------------------------------------------------------
@@ -255,18 +299,18 @@ def sequence_features(spark, d):
 
 @query
 def label_dedup(spark, d):
-    return feat.label_dedup(fx.train_log(spark, d), TRAIN_START, TRAIN_END)
+    return feat.label_dedup(fx.train_log(spark, d, TRAIN_START, TRAIN_END), TRAIN_START, TRAIN_END)
 
 
 @query
 def offer_features(spark, d):
-    return feat.offer_features(fx.train_log(spark, d), fx.catalog(spark, d), _ctr(spark, d, "zero"),
+    return feat.offer_features(fx.train_log(spark, d, TRAIN_START, TRAIN_END), fx.catalog(spark, d), _ctr(spark, d, "zero"),
                                TRAIN_START, TRAIN_END, feat.BASE_FEATURES)
 
 
 @query
 def offer_features_extended(spark, d):
-    return feat.offer_features(fx.train_log(spark, d), fx.catalog(spark, d), _ctr(spark, d, "floor"),
+    return feat.offer_features(fx.train_log(spark, d, TRAIN_START, TRAIN_END), fx.catalog(spark, d), _ctr(spark, d, "floor"),
                                TRAIN_START, TRAIN_END, feat.EXTENDED_FEATURES)
 
 
@@ -276,19 +320,25 @@ CORPUS_START, CORPUS_END = "19960101", "19991231"
 
 @query
 def item_sentences(spark, d):
-    return corpus.item_sentences(fx.corpus_clicks(spark, d), fx.catalog(spark, d), CORPUS_START, CORPUS_END)
+    return corpus.item_sentences(fx.corpus_clicks(spark, d, CORPUS_START, CORPUS_END), fx.catalog(spark, d), CORPUS_START, CORPUS_END)
 
 
 @query
 def co_click_edges(spark, d):
-    return corpus.co_click_edges(fx.interactions(spark, d), _start())
+    return corpus.co_click_edges(fx.interactions(spark, d, _start()), _start())
 
 
 # ---- evaluation ------------------------------------------------------------------------------------
-def _ranked_offers(spark, d):
-    o = _offers(spark, d).select(F.col("main_offer").alias("main_id"), F.col("sim_offer").alias("sim_id"), "score")
-    r = rr.top_candidates(o, None, n=1 << 30)
-    return r.select(F.col("main_id").alias("main_offer"), "rank", F.col("sim_id").alias("sim_offer"))
+def _ordered_offers(spark, d):
+    """Offer pairs whose ``rank`` ascends along each list: the evaluation orders only what it keeps."""
+    return _offers(spark, d).select("main_offer", (-F.col("score")).alias("rank"), "sim_offer")
+
+
+def _rounded(df, *cols):
+    return df.withColumns({c: F.round(c, 6) for c in cols})
+
+
+SUMMARY = ("mean", "stddev", "min", "max")
 
 
 def _relevance(spark, d):
@@ -297,18 +347,25 @@ def _relevance(spark, d):
 
 @query
 def ndcg_at_k(spark, d):
-    return ev_.ndcg_at_k(_ranked_offers(spark, d), _relevance(spark, d), k=40)
+    return _rounded(ev_.ndcg_at_k(_ordered_offers(spark, d), _relevance(spark, d), k=40), "ndcg")
 
 
 @query
 def ndcg_summary(spark, d):
-    return ev_.summary(ev_.ndcg_at_k(_ranked_offers(spark, d), _relevance(spark, d), k=40))
+    return _rounded(ev_.summary(ev_.ndcg_at_k(_ordered_offers(spark, d), _relevance(spark, d), k=40)), *SUMMARY)
 
 
 @query
 def evaluate_many(spark, d):
-    return ev_.evaluate_many({"cf_offers": _ranked_offers(spark, d), "price_rerank": _price_lists(spark, d)},
-                             _relevance(spark, d), k=40)
+    return _rounded(ev_.evaluate_many({"cf_offers": _ordered_offers(spark, d), "price_rerank": _price_lists(spark, d)},
+                                      _relevance(spark, d), k=40), *SUMMARY)
+
+
+@query
+def evaluate_paths(spark, d):
+    path = tio.scratch_path(spark, "evaluated")
+    tio.write_ranked_lists(_price_lists(spark, d), path)
+    return _rounded(ev_.evaluate_paths(spark, {"price_rerank": path}, _relevance(spark, d), k=40), *SUMMARY)
 
 
 # ---- user recommendations --------------------------------------------------------------------------
@@ -318,7 +375,17 @@ def _window_start_s() -> int:
 
 def _user_lists(spark, d):
     return rec.user_recommendations(_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
-                                    save_count=300, min_limit=10, window_start_s=_window_start_s())
+                                    save_count=300, min_limit=10)
+
+
+@query
+def user_recommendations_by_category(spark, d):
+    """Triggers joined on the item's category: a user's items of one category share a list."""
+    cat = fx.catalog(spark, d).select("item_id", F.col("subcate_id").alias("category"))
+    items = _candidates(spark, d).join(cat, F.col("main_id") == F.col("item_id")).groupBy("category", "sim_id").agg(F.max("score").alias("score"))
+    lists = rr.top_candidates(items.withColumnRenamed("category", "main_id"), None, n=60)
+    b = beh.latest_behaviour(_behaviour(spark, d)).join(cat, "item_id")
+    return rec.user_recommendations(lists, b, save_count=40, min_limit=10, join_key="category")
 
 
 @query
@@ -345,7 +412,7 @@ def stage_counts(spark, d):
 
 @query
 def day_shift(spark, d):
-    e = dates.window_filter(fx.interactions(spark, d), "ymd", LOOKBACK_DAYS, AS_OF)
+    e = dates.window_filter(fx.interactions(spark, d, _start()), "ymd", LOOKBACK_DAYS, AS_OF)
     return e.select("event_id", "ymd", dates.day_shift("ymd", 7).alias("ymd_back"))
 
 
@@ -379,3 +446,38 @@ def scored_list_roundtrip(spark, d):
 @query
 def staged_roundtrip(spark, d):
     return tio.stage(_item_sim(spark, d), "item_cf")
+
+
+@query
+def extension_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "extension")
+    tio.write_extensions(rr.extend_lists(base=_ctr_lists(spark, d), new=_price_lists(spark, d)), path)
+    return tio.read_extensions(spark, path)
+
+
+@query
+def edge_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "edges")
+    tio.write_rows(corpus.co_click_edges(fx.interactions(spark, d, _start()), _start()), path, sep=" ")
+    return tio.read_rows(spark, path, "src string, dst string, weight bigint", sep=" ")
+
+
+@query
+def sentence_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "sentences")
+    tio.write_sentences(item_sentences(spark, d), path)
+    return spark.read.text(path).select(F.col("value").alias("sentence"))
+
+
+@query
+def feature_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "features")
+    tio.write_rows(offer_features(spark, d), path)
+    return tio.read_rows(spark, path, "offer_id string, subcate_id string, month_sales bigint, features string, ctr double")
+
+
+@query
+def user_lists_roundtrip(spark, d):
+    path = tio.scratch_path(spark, "users")
+    tio.write_user_lists(user_recommendations_json(spark, d), path)
+    return tio.read_user_lists(spark, path)

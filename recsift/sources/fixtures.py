@@ -10,26 +10,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from recsift.functions.dates import epoch_millis
-from recsift.operators.layout import spread
+from recsift.sources.tables import load
 
 
-# Tables with row-heavy derivations; at small scale they can be a single row group.
-_SPREAD = {"events", "lineitem", "orders"}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return load(spark, f"{sf_dir}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df) if name in _SPREAD else df
+def _events(spark: SparkSession, sf_dir: str, start: str | None, end: str | None) -> DataFrame:
+    return load(spark, f"{sf_dir}/events.parquet", date_col="ts", start=start, end=end)
 
 
 def _k(props="props"):
     return F.get_json_object(F.col(props), "$.k").cast("bigint")
 
 
-def orders_log(spark, sf_dir) -> DataFrame:
-    """``tx``: one row per line item, user = customer, item = part."""
+def orders_log(spark, sf_dir, start=None, end=None) -> DataFrame:
+    """``tx``: one row per line item, user = customer, item = part; optionally of a date range."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    o = load(spark, f"{sf_dir}/orders.parquet", date_col="o_orderdate", start=start, end=end).select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
         F.col("o_custkey").cast("string").alias("user_id"),
@@ -40,9 +39,9 @@ def orders_log(spark, sf_dir) -> DataFrame:
     )
 
 
-def external_actions(spark, sf_dir) -> DataFrame:
+def external_actions(spark, sf_dir, start=None, end=None) -> DataFrame:
     """``ext``: external action log from ``events``: errors as footprints, purchases as orders."""
-    e = table(spark, sf_dir, "events")
+    e = _events(spark, sf_dir, start, end)
     et = F.col("event_type")
     return e.select(
         F.col("user_id").cast("string").alias("user_id"),
@@ -53,9 +52,9 @@ def external_actions(spark, sf_dir) -> DataFrame:
     )
 
 
-def interactions(spark, sf_dir) -> DataFrame:
+def interactions(spark, sf_dir, start=None, end=None) -> DataFrame:
     """``ev``: app log rows from ``events``; item = ``props.k``."""
-    e = table(spark, sf_dir, "events").withColumn("k", _k())
+    e = _events(spark, sf_dir, start, end).withColumn("k", _k())
     k = F.col("k")
     et = F.col("event_type")
     return e.select(
@@ -73,8 +72,21 @@ def interactions(spark, sf_dir) -> DataFrame:
     )
 
 
-def catalog(spark, sf_dir) -> DataFrame:
-    """``cat``: one catalog row per part; offer = part key + 1 000 000."""
+def catalog(spark, sf_dir, fan: bool = False) -> DataFrame:
+    """``cat``: one catalog row per part; offer = part key + 1 000 000.
+
+    ``fan`` adds rows: a second offer for every fourth item, a second category for every sixth.
+    """
+    one = _catalog(spark, sf_dir)
+    if not fan:
+        return one
+    k = F.col("item_id").cast("bigint")
+    offers = one.where(k % 4 == 0).withColumn("offer_id", (k + 2000000).cast("string"))
+    categories = one.where(k % 6 == 0).withColumn("subcate_id", F.lit("Brand#99"))
+    return one.unionByName(offers).unionByName(categories)
+
+
+def _catalog(spark, sf_dir) -> DataFrame:
     p = table(spark, sf_dir, "part")
     pk = F.col("p_partkey")
     raw = F.col("p_retailprice") * ((pk % 10) + 1) / F.lit(50.0)
@@ -96,13 +108,16 @@ def catalog(spark, sf_dir) -> DataFrame:
     )
 
 
-def offer_status(spark, sf_dir) -> DataFrame:
-    """``ost``: status rows for most offers (some have none)."""
+def offer_status(spark, sf_dir, fan: bool = False) -> DataFrame:
+    """``ost``: status rows for most offers (some have none); ``fan``: for the second offers too."""
     p = table(spark, sf_dir, "part")
     pk = F.col("p_partkey")
-    return p.where(pk % 23 != 22).select(
+    one = p.where(pk % 23 != 22).select(
         (pk + 1000000).cast("string").alias("offer_id"),
         F.when(pk % 17 == 0, 1).otherwise(0).alias("is_del"))
+    if not fan:
+        return one
+    return one.unionByName(p.where(pk % 4 == 0).select((pk + 2000000).cast("string").alias("offer_id"), F.lit(0).alias("is_del")))
 
 
 def shops(spark, sf_dir) -> DataFrame:
@@ -117,9 +132,9 @@ def tickets(spark, sf_dir) -> DataFrame:
     return c.select("ticket_id", F.when(F.col("ticket_id") == 7, 0).otherwise(1).alias("status"))
 
 
-def train_log(spark, sf_dir) -> DataFrame:
+def train_log(spark, sf_dir, start=None, end=None) -> DataFrame:
     """``tlog``: training-log rows from ``events`` with a flat JSON feature bag."""
-    e = table(spark, sf_dir, "events").withColumn("k", _k())
+    e = _events(spark, sf_dir, start, end).withColumn("k", _k())
     k = F.col("k")
     uid = F.col("user_id")
     n = k % 60
@@ -150,9 +165,9 @@ def train_log(spark, sf_dir) -> DataFrame:
     )
 
 
-def corpus_clicks(spark, sf_dir) -> DataFrame:
+def corpus_clicks(spark, sf_dir, start=None, end=None) -> DataFrame:
     """``cx``: purchase lines as app click rows carrying category columns (for the corpus job)."""
-    tx = orders_log(spark, sf_dir)
+    tx = orders_log(spark, sf_dir, start, end)
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
     j = tx.join(p, tx.item_id == p.p_partkey.cast("string"))
     ln = F.col("line_no")

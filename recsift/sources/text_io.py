@@ -68,10 +68,57 @@ def read_scored_lists(spark: SparkSession, path: str) -> DataFrame:
     return p.select("main_offer", *cols)
 
 
+def write_extensions(df: DataFrame, path: str) -> None:
+    """``main \\t id,id,... \\t flag`` per main id from ``(main_offer, pos, sim_offer, has_base)`` (overwrite).
+
+    A main id without entries has an empty list.
+    """
+    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", "sim_offer"))
+    lists = df.groupBy("main_offer", "has_base").agg(F.array_sort(F.collect_list(entry)).alias("l"))
+    lists.select(F.concat_ws("\t", F.col("main_offer").cast("string"),
+                             F.array_join(F.transform("l", lambda x: x["sim_offer"].cast("string")), ","),
+                             F.col("has_base").cast("string")).alias("value")).write.mode("overwrite").text(path)
+
+
+def read_extensions(spark: SparkSession, path: str) -> DataFrame:
+    """``(main_offer, pos, sim_offer, has_base)``; an empty list gives one row with null ``pos``."""
+    f = spark.read.text(path).select(F.split("value", "\t", -1).alias("f")).where(F.size("f") == 3)
+    ids = F.when(F.col("f")[1] != "", F.split(F.col("f")[1], ","))
+    e = f.select(F.col("f")[0].alias("main_offer"), F.col("f")[2].cast("int").alias("has_base"), F.posexplode_outer(ids).alias("p", "sim_offer"))
+    return e.select("main_offer", (F.col("p") + 1).cast("bigint").alias("pos"), "sim_offer", "has_base")
+
+
+def write_rows(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """One line per row: the columns in order, joined by ``sep``; null is empty (overwrite).
+
+    For feature rows (tab) and edge lines (space), whose fields never hold the separator.
+    """
+    df.select(F.array_join(F.array(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]), sep).alias("value")) \
+        .write.mode("overwrite").text(path)
+
+
+def read_rows(spark: SparkSession, path: str, schema: str, sep: str = "\t") -> DataFrame:
+    """Rows written by ``write_rows``; ``schema`` is DDL, empty fields are null, lines of another width drop."""
+    fields = [c.strip().split(" ") for c in schema.split(",")]
+    f = spark.read.text(path).select(F.split("value", f"[{sep}]", -1).alias("f")).where(F.size("f") == len(fields))
+    return f.select(*[F.when(F.col("f")[i] != "", F.col("f")[i]).cast(kind).alias(name) for i, (name, kind) in enumerate(fields)])
+
+
+def write_sentences(df: DataFrame, path: str) -> None:
+    """Corpus lines: the sentences of ``(user_id, sentence, ...)``, one per line (overwrite)."""
+    df.select(F.col("sentence").alias("value")).write.mode("overwrite").text(path)
+
+
+def read_user_lists(spark: SparkSession, path: str) -> DataFrame:
+    """``(user_id, rec_json)`` from tab-separated lines."""
+    at = F.instr("value", "\t")
+    return spark.read.text(path).select(F.substring("value", F.lit(1), at - 1).alias("user_id"), F.substring("value", at + 1, F.length("value")).alias("rec_json"))
+
+
 def write_user_lists(df: DataFrame, path: str, enabled: bool = True) -> None:
     """Tab-separated ``user \\t json`` rows (overwrite), skipped when ``enabled`` is false."""
     if enabled:
-        df.write.mode("overwrite").option("sep", "\t").option("quote", "").csv(path)
+        df.select(F.concat_ws("\t", *df.columns).alias("value")).write.mode("overwrite").text(path)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -42,30 +42,14 @@ def test_bucketize_cases(spark):
         assert one(spark, binning.bucketize(F.lit(v), edges)) == want, v
 
 
-def test_bucketize_matches_binary_search_model():
-    import random
-
-    def model(arr, lo, hi, x):
-        mid = (lo + hi) // 2
-        if lo >= mid:
-            return lo + 1
-        if arr[lo] == x:
-            return lo + 1
-        if arr[lo] < x < arr[mid]:
-            return model(arr, lo, mid, x)
-        if arr[mid] <= x < arr[hi]:
-            return model(arr, mid, hi, x)
-        if arr[hi] <= x:
-            return hi + 1
-        return -1
-
-    rnd = random.Random(7)
+def test_bucket_is_the_number_of_edges_up_to_the_value(spark):
     for edges in (binning.SCORE_EDGES, binning.RATE_EDGES, binning.PRICE_EDGES, binning.COMMISSION_EDGES):
-        for _ in range(2000):
-            x = rnd.choice([rnd.uniform(-5, 320), rnd.choice(edges), -1.0])
-            want = model(list(edges), 0, len(edges) - 1, x)
-            got = sum(1 for e in edges if e <= x) or -1
-            assert got == want, (edges, x)
+        values = [e + d for e in edges for d in (-0.01, 0.0, 0.01)] + [-5.0, -1.0, 1e6]
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        got = {r.x: r.b for r in df.select("x", binning.bucketize_number(F.col("x"), edges).alias("b")).collect()}
+        for v in values:
+            below = [e for e in edges if e <= v]
+            assert got[v] == (len(below) if below else -1), (edges, v)
 
 
 def test_hash_sequence_padding(spark):

@@ -2,10 +2,11 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
-from recsift.operators import corpus, ctr, evaluate, recommend, rerank, similarity
-from recsift.sources import text_io
+from recsift.operators import corpus, ctr, evaluate, features, pairs, recommend, rerank, similarity
+from recsift.sources import tables, text_io
 
 CAT_SCHEMA = "item_id string, status int, product_type int, subcate_id string"
 
@@ -145,7 +146,7 @@ def test_ndcg_cases(spark):
     g = lambda r: 2 ** r - 1
     dcg = g(0.1) / math.log(2) + g(0.3) / math.log(3) + g(0.5) / math.log(4)
     idcg = g(0.5) / math.log(2) + g(0.3) / math.log(3) + g(0.1) / math.log(4)
-    assert math.isclose(got["rev"], round(dcg / idcg, 6))
+    assert math.isclose(got["rev"], dcg / idcg)
     summ = evaluate.summary(evaluate.ndcg_at_k(lists, rel, k=40)).first()
     assert summ.n == 3 and summ.max == 1.0
 
@@ -197,3 +198,76 @@ def test_swing_overlap_chunking_is_exact(spark):
     b = similarity.swing_scores(orders, max_array=2).select("item_i", "item_j", F.round("score", 9).alias("s"))
     assert a.count() > 0
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_category_key_shares_a_list_between_triggers(spark):
+    cands = _cands(spark, {"c1": ["a", "b"], "c2": ["b", "z"]})
+    beh = spark.createDataFrame([("u", "i1", "c1", 2, 50), ("u", "i2", "c1", 2, 40), ("u", "i3", "c2", 1, 60)],
+                                "user_id string, item_id string, category string, trigger_type int, time int")
+    out = recommend.user_recommendations(cands, beh, join_key="category")
+    got = _rows(out, "tpos", "trigger_item", "time", "pos", "item_id")
+    assert got == [(1, "c1", 50, 1, "a"), (1, "c1", 50, 2, "b"), (2, "c1", 40, None, None), (3, "c2", 60, 1, "z")]
+
+
+@pytest.mark.parametrize("modules,kept", [((), {"bad1", "bad2", "ok"}), (("bad1",), {"bad2", "ok"}), (("bad1", "bad2"), {"ok"})])
+def test_sentence_exclusion_lists(spark, modules, kept):
+    rows = [(f"user{m:>10}", f"10{i}", f"s{i}", m) for m in ("bad1", "bad2", "ok") for i in range(6)]
+    df = spark.createDataFrame(rows, "user_id string, offer_id string, subcate_id string, cur_module string").select(
+        "*", F.lit("x").alias("cate_id3"), F.lit("coupon_click").alias("event_name"), F.lit("click").alias("event_type"),
+        F.lit("home").alias("cur_page"), F.lit("20240101").alias("ymd"))
+    cat = spark.createDataFrame([(f"10{i}",) for i in range(6)], "offer_id string").withColumn("status", F.lit(1))
+    out = corpus.item_sentences(df, cat, "20240101", "20240101", excluded_modules=modules, excluded_pages=modules)
+    assert {r.user_id[4:].strip() for r in out.collect()} == kept
+
+
+def test_pairs_of_a_hot_group_are_exact_and_spread(spark):
+    rows = [("hot", f"i{k:04d}", k) for k in range(600)] + [(f"u{k}", f"i{k % 7:04d}", k % 7) for k in range(50)] + [(None, "i1", 1), ("n", None, 2)]
+    df = spark.createDataFrame(rows, "user_id string, item_id string, size int")
+    got = pairs.basket_pairs(df, ["user_id"], carry=["size"], block_items=64)
+    assert got.where("user_id = 'hot'").count() == 600 * 599 // 2
+    assert got.distinct().count() == got.count() and got.where("item_i >= item_j OR size_i >= size_j").count() == 0
+    groups = got.where("user_id = 'hot'").groupBy(F.pmod(F.xxhash64("item_i"), F.lit(10)), F.pmod(F.xxhash64("item_j"), F.lit(10))).count()
+    assert groups.count() > 50  # many block pairs, each a join key of its own
+
+
+def test_frequency_index_is_the_global_rank(spark):
+    import random
+    r = random.Random(3)
+    values = [f"{'abcdefgh'[int(r.expovariate(0.5)) % 8] * r.randint(1, 6)}{int(r.expovariate(0.1))}" for _ in range(3000)] + [None] * 5
+    got = {x.v: (x.n, x.idx) for x in features.frequency_index(spark.createDataFrame([(v,) for v in values], "v string"), "v").collect()}
+    count = {v: values.count(v) for v in set(values)}
+    order = sorted(count, key=lambda v: (-count[v], v is not None, v or ""))
+    assert got == {v: (count[v], i) for i, v in enumerate(order)}
+
+
+def test_text_sinks(spark, tmp_path):
+    df = spark.createDataFrame([("m1", 2, "b", 0), ("m1", 1, "a", 0), ("m2", None, None, 1)], "main_offer string, pos bigint, sim_offer string, has_base int")
+    text_io.write_extensions(df, str(tmp_path / "x"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "x")).collect()) == ["m1\ta,b\t0", "m2\t\t1"]
+    assert sorted(map(tuple, text_io.read_extensions(spark, str(tmp_path / "x")).collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    rows = spark.createDataFrame([("a", None, 1.5), ("b", 3, None)], "a string, n bigint, x double")
+    text_io.write_rows(rows, str(tmp_path / "r"))
+    assert sorted(map(tuple, text_io.read_rows(spark, str(tmp_path / "r"), "a string, n bigint, x double").collect())) == [("a", None, 1.5), ("b", 3, None)]
+    text_io.write_user_lists(rows.limit(0), str(tmp_path / "off"), enabled=False)
+    assert not (tmp_path / "off").exists()
+
+
+def test_load_prunes_by_date(spark, tmp_path):
+    df = spark.createDataFrame([(str(20240100 + d), d) for d in range(1, 11)], "ymd string, n int")
+    df.write.partitionBy("ymd").parquet(str(tmp_path / "t"))
+    got = tables.load(spark, str(tmp_path / "t"), ["n"], "ymd", "20240103", "20240105")
+    assert sorted(r.n for r in got.collect()) == [3, 4, 5] and got.columns == ["n"]
+
+
+def test_staging_needs_a_shared_folder_off_local_masters(monkeypatch):
+    from recsift.plans import session
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        class _jsc:
+            sc = staticmethod(lambda: type("S", (), {"getCheckpointDir": staticmethod(lambda: type("O", (), {"isDefined": staticmethod(lambda: False)}))})())
+
+    fake = type("Session", (), {"conf": type("C", (), {"get": staticmethod(lambda k, d=None: None)}), "sparkContext": Context})
+    with pytest.raises(ValueError):
+        session.staging_dir(fake)

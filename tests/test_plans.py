@@ -1,4 +1,4 @@
-"""Plan checks: no Python evaluation, no Cartesian products, pushed-down scans."""
+"""Plan checks: no Python evaluation, no Cartesian products, no job while planning, pruned and filtered scans."""
 
 import pytest
 
@@ -22,3 +22,32 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan \
         or "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,props:string>" in plan
+
+
+WRITES = ("roundtrip", "evaluate_paths")
+
+
+@pytest.mark.parametrize("name", sorted(q for q in QUERIES if not q.endswith(WRITES)))
+def test_building_a_query_runs_nothing(spark, name):
+    """Only reading parquet schemas may start a job; those run no stage over rows of a plan."""
+    sc = spark.sparkContext
+    sc.setJobGroup(f"plan-{name}", name)
+    try:
+        QUERIES[name](spark, SF)
+        jobs = sc.statusTracker().getJobIdsForGroup(f"plan-{name}")
+        stages = [s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+        infos = [i for i in map(sc.statusTracker().getStageInfo, stages) if i]
+        assert all(i.numTasks == 1 and i.name.startswith("parquet") for i in infos), infos
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["valid_interactions", "latest_behaviour", "ctr_plain", "label_dedup", "item_sentences", "item_cf_events"])
+def test_date_bounds_reach_the_scan(spark, name):
+    plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan or "GreaterThanOrEqual(o_orderdate," in plan
+
+
+@pytest.mark.parametrize("name", ["category_index", "item_index"])
+def test_no_sort_of_all_values_in_one_task(spark, name):
+    assert "SinglePartition" not in QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
