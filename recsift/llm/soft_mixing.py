@@ -13,6 +13,7 @@ so a round is two distributed sums and the driver holds only those numbers.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -44,39 +45,53 @@ def _heat(scores: np.ndarray, tokens: np.ndarray, truth: np.ndarray, prior: np.n
     return min(((float(t), a) for a in (0.0, 0.5, 1.0) for t in np.geomspace(0.01, 1000, 61)), key=loss)
 
 
-def memberships(docs: DataFrame, labels: DataFrame, max_labels: int = importance.MAX_LABELS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, *keep, tokens, p_clean, p_low, p_toxic)`` for every row of ``docs (doc_id, text, ...)``."""
+class Model(NamedTuple):
+    """A fitted classifier: a table of log ratios and a prior per domain, and the heat."""
+
+    tables: np.ndarray
+    prior: np.ndarray
+    heat: tuple[float, float]
+
+
+def _scored(tables: np.ndarray, ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    scores, tokens = np.zeros((len(ids), len(DOMAINS))), np.zeros(len(ids), np.int64)
+    for first, last, cell, row in importance.cells(texts):
+        for k, table in enumerate(tables):
+            scores[first:last, k] = np.bincount(row, table[cell], last - first)
+        tokens[first:last] = np.bincount(row[cell < importance.TABLES[0][0]], minlength=last - first)
+    return scores, tokens
+
+
+def classifier(docs: DataFrame, labels: DataFrame, max_labels: int = importance.MAX_LABELS) -> Model:
+    """Fits the classifier on the labelled rows of ``docs (doc_id, text)``."""
     known = importance.labelled(labels, max_labels)
     domain = np.where(known["toxic"], 2, np.where(known["good"], 0, 1))
     n = importance.counts(docs, known["id"], np.where(known["held_out"], 0, domain + 1).astype(np.int8), len(DOMAINS))
     tables = np.stack([importance.log_ratio(n[k + 1], n[0]) if n[k + 1].sum() else np.zeros(n.shape[1], np.float32) for k in range(len(DOMAINS))])
     prior = (np.bincount(domain[~known["held_out"]], minlength=len(DOMAINS)) + 1.0) / ((~known["held_out"]).sum() + len(DOMAINS))
     shared = docs.sparkSession.sparkContext.broadcast(tables)  # importance.SIZE numbers a domain
-
-    def scored(ids: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        scores, tokens = np.zeros((len(ids), len(DOMAINS))), np.zeros(len(ids), np.int64)
-        for first, last, cell, row in importance.cells(texts):
-            for k, table in enumerate(shared.value):
-                scores[first:last, k] = np.bincount(row, table[cell], last - first)
-            tokens[first:last] = np.bincount(row[cell < importance.TABLES[0][0]], minlength=last - first)
-        return scores, tokens
-
     calibrate = known["id"][known["held_out"]]
 
     def held_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             b = b.filter(pa.array(importance.positions(b.column(0), calibrate) >= 0))
-            scores, tokens = scored(b.column(0), b.column(1))
+            scores, tokens = _scored(shared.value, b.column(0), b.column(1))
             yield pa.record_batch([b.column(0), pa.array(tokens), *(pa.array(scores[:, k]) for k in range(len(DOMAINS)))], names=["doc_id", "tokens", *DOMAINS])
 
     pairs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     got = pairs.mapInArrow(held_out, "doc_id long, tokens long, " + ", ".join(f"{d} double" for d in DOMAINS)).dropDuplicates(["doc_id"]).toPandas()  # at most max_labels rows
     truth = domain[np.searchsorted(known["id"], got.doc_id.to_numpy(np.int64))] if len(got) else np.zeros(0, int)
-    heat = _heat(got[list(DOMAINS)].to_numpy(float), got.tokens.to_numpy(float), truth, prior)
+    return Model(tables, prior, _heat(got[list(DOMAINS)].to_numpy(float), got.tokens.to_numpy(float), truth, prior))
+
+
+def memberships(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(doc_id, *keep, tokens, p_clean, p_low, p_toxic)`` for every row of ``docs (doc_id, text, ...)``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model.tables)
+    prior, heat = model.prior, model.heat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            scores, tokens = scored(b.column("doc_id"), b.column("text"))
+            scores, tokens = _scored(shared.value, b.column("doc_id"), b.column("text"))
             p = posterior(scores, tokens, prior, heat)
             yield pa.RecordBatch.from_arrays([b.column(c) for c in ("doc_id", *keep)] + [pa.array(tokens)] + [pa.array(p[:, k]) for k in range(len(DOMAINS))],
                                              names=["doc_id", *keep, "tokens", *(f"p_{d}" for d in DOMAINS)])
@@ -90,12 +105,23 @@ def _stepped(rate: Column, step: np.ndarray) -> Column:
     return F.greatest(F.lit(0.0), rate - sum((F.col(f"p_{d}") * float(s) for d, s in zip(DOMAINS, step)), F.lit(0.0)))
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, rounds: int = 60, tolerance: float = 1e-9) -> DataFrame:
-    """``members`` with ``rate``: nonnegative document rates by projected gradient.
+def with_rates(members: DataFrame, steps: list[np.ndarray]) -> DataFrame:
+    """``members`` with ``rate``: all ``steps`` taken from rate 1. A rate follows from the posterior alone."""
+    if not steps:
+        return members.withColumn("rate", F.lit(1.0))
+    taken = F.array(*(F.array(*(F.lit(float(x)) for x in step)) for step in steps))
+    down = lambda s: sum((F.col(f"p_{d}") * F.get(s, F.lit(k)) for k, d in enumerate(DOMAINS)), F.lit(0.0))
+    return members.withColumn("rate", F.aggregate(taken, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - down(s))))
 
-    ``members`` is read in every round, so it should be a stored table. Stops when the totals are within
-    ``tolerance`` of the targets, in shares of all tokens, or when no step lowers the error, as happens where
-    no rates reach the targets (a domain without tokens). No tokens at all: every rate is 1.
+
+def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, rounds: int = 60, tolerance: float = 1e-9,
+              progress: float = 1e-3) -> list[np.ndarray]:
+    """The steps of the projected gradient, one number per domain each; see ``with_rates``.
+
+    ``members`` is read in every round, so it should be a stored table; only its tokens and posteriors are used.
+    Stops when the totals are within ``tolerance`` of the targets, in shares of all tokens, or when no
+    step lowers the error by the share ``progress``, as happens where no rates reach the targets (a
+    domain without tokens). No tokens at all: no steps.
     """
     share = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS])
     p = [F.col(f"p_{d}") for d in DOMAINS]
@@ -106,12 +132,13 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, round
 
     tokens = sums(members, [F.lit(1.0)])[0]
     if not tokens:
-        return members.withColumn("rate", F.lit(1.0))
+        return []
 
     def metric(df: DataFrame, rate: Column) -> np.ndarray:
         return np.linalg.pinv(sums(df, [F.when(rate > 0, a * b).otherwise(0.0) for a in p for b in p]).reshape(size, size) / tokens)
 
-    table, rate = members.withColumn("rate", F.lit(1.0)), F.col("rate")
+    table, rate = members.select("tokens", *p, F.lit(1.0).alias("rate")), F.col("rate")
+    steps: list[np.ndarray] = []
     whole = metric(table, rate)
     total = sums(table, [rate * x for x in p]) / tokens
     error = lambda s: float((s - share) @ whole @ (s - share))
@@ -119,15 +146,17 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, round
         if np.abs(total - share).max() <= tolerance:
             break
         near = metric(table, rate)
-        tried = [_stepped(rate, x * (m @ (total - share))) for m, x in ((whole, 1.0), (whole, 4.0), (whole, 16.0), (near, 0.25), (near, 0.5), (near, 1.0))]
+        moves = [x * (m @ (total - share)) for m, x in ((whole, 1.0), (whole, 4.0), (whole, 16.0), (near, 0.25), (near, 0.5), (near, 1.0))]
+        tried = [_stepped(rate, m) for m in moves]
         totals = sums(table, [r * x for r in tried for x in p]).reshape(len(tried), size) / tokens
         best = min(range(len(tried)), key=lambda i: error(totals[i]))
-        if error(total) - error(totals[best]) <= tolerance**2:
+        if error(totals[best]) > (1 - progress) * error(total):
             break
+        steps.append(moves[best])
         rate, total = tried[best], totals[best]
         if at % STAGE_EVERY == 0:
             table, rate = staged(table.withColumn("rate", rate), "rates"), F.col("rate")
-    return table.withColumn("rate", rate)
+    return steps
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, keep: tuple[str, ...] = (), max_labels: int = importance.MAX_LABELS) -> DataFrame:
@@ -137,7 +166,10 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     most ``max_labels`` labelled rows of ``labels (doc_id, quality, toxic)``, a fifth of which only set the
     temperature; posteriors and rates cover every row and whole texts. Null or empty texts have no tokens
     and the prior as posterior. Rows with a null id are unlabelled; repeated rows each get the same rate.
-    Without labels all domains are equally likely for all. An empty table gives no rows. Columns other
-    than ``keep`` are ignored.
+    Without labels all domains are equally likely for all. An empty table gives no rows. ``keep`` names
+    columns to carry along (their rows are scored again on the way rather than stored); others are ignored.
     """
-    return fit_rates(staged(memberships(docs, labels, max_labels, keep), "members"), targets)
+    model = classifier(docs, labels, max_labels)
+    narrow = staged(memberships(docs, model), "members")
+    steps = fit_rates(narrow, targets)
+    return with_rates(memberships(docs, model, keep) if keep else narrow, steps)

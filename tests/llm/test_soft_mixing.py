@@ -33,7 +33,7 @@ def test_targets_that_push_rates_to_zero(spark):
     rows = [(i, int(n[i]), *map(float, p[i])) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, tokens long, p_clean double, p_low double, p_toxic double")
     share = {"clean": 0.9, "low": 0.08, "toxic": 0.02}
-    got = soft_mixing.fit_rates(df, share).orderBy("doc_id").toPandas().rate.to_numpy()
+    got = soft_mixing.with_rates(df, soft_mixing.fit_rates(df, share)).orderBy("doc_id").toPandas().rate.to_numpy()
     assert (got >= 0).all() and (got == 0).any()
     gap = np.abs((got * n) @ p / n.sum() - [share[d] for d in DOMAINS]).max()
     assert gap < 1e-6
