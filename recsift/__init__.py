@@ -7,7 +7,6 @@ Sub-packages:
 * ``functions`` - column-expression builders (hashing, bucketing, CTR, dates, prices).
 * ``operators`` - whole-table operators and composite jobs (item CF, Swing, re-rank, NDCG, ...).
 * ``plans``     - session set-up and the registry of named queries with their SQL twins.
-* ``streaming`` - intentionally empty: the studied jobs are batch only.
 """
 
 __version__ = "0.1.0"
