@@ -10,6 +10,10 @@ the keys' frequencies: a key held by every document is one entry per block.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +21,32 @@ from pyspark.sql import functions as F
 BLOCK_BYTES = 16 << 20
 
 
-def block_count(docs: DataFrame, text_col: str = "text") -> int:
+def block_count(docs: DataFrame, text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks, and as many buckets: the session's shuffle partitions, or more for larger texts."""
     size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // BLOCK_BYTES)
+    return max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + size // block_bytes)
 
 
 def in_blocks(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(block, doc_id, text)`` dealt by block, null texts empty.
+    """``(block, doc_id, packed)`` dealt by block; ``texts`` unpacks the texts, null ones as empty.
 
+    Texts travel compressed, as they are dealt only to stand beside the answers for their block.
     Identical plans built from it share one exchange.
     """
-    own = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return own.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"), "doc_id", "text").repartition(n, "block")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pack = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            packed = pa.array([pack((t.as_py() or "").encode()) for t in b.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), packed], names=["block", "doc_id", "packed"])
+
+    own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    dealt = own.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("block"), "doc_id", "text")
+    kind = docs.schema[id_col].dataType.simpleString()
+    return dealt.mapInArrow(run, f"block int, doc_id {kind}, packed binary").repartition(n, "block")
+
+
+def texts(packed: pa.ChunkedArray) -> Iterator[str]:
+    """The texts of a block, one after the other."""
+    unpack = zstandard.ZstdDecompressor().decompress
+    for x in packed:
+        yield unpack(x.as_py()).decode()

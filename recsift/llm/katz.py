@@ -28,7 +28,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.blocks import block_count, in_blocks
+from recsift.llm.blocks import block_count, in_blocks, texts
 from recsift.llm.word_hash import batches_of_words, mixed
 
 #: Ids of the end of a text and of what stands before its first word; words are 64-bit hashes.
@@ -74,7 +74,7 @@ class Block:
         self.held_out = np.array([is_held_out(i.as_py()) for i in f["doc_id"]], bool)
         docs = len(self.held_out)
         hashes, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for first, _, h, _, r in batches_of_words(f["text"].combine_chunks()):
+        for first, _, h, _, r in batches_of_words(pa.array(texts(f["packed"]), pa.large_string())):
             hashes.append(h)
             rows.append(r + first)
         h, r = np.concatenate(hashes), np.concatenate(rows)

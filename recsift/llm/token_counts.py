@@ -19,10 +19,11 @@ from pathlib import Path
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recsift.llm.blocks import block_count, in_blocks
+from recsift.llm.blocks import block_count, in_blocks, texts
 
 BLANK = "▁"
 PRE_TOKEN = re.compile(f"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
@@ -56,11 +57,12 @@ def piece_counts(model: bytes, tokens: list[str]) -> list[int]:
     return [len(x) - extra for x in sp.encode(["\n" + t.replace(BLANK, " ") for t in tokens], num_threads=1)]
 
 
-def _sent(texts: pa.ChunkedArray, buckets: int) -> list[list[str]]:
-    """The distinct pre-tokens of a block, dealt into buckets, sorted."""
+def _sent(packed: pa.ChunkedArray, buckets: int) -> list[list[str]]:
+    """The distinct pre-tokens of a block without the line feed, dealt into buckets, sorted."""
     distinct: set[str] = set()
-    for t in texts:
-        distinct.update(pre_tokens(t.as_py()))
+    for t in texts(packed):
+        distinct.update(pre_tokens(t))
+    distinct.discard("\n")
     out: list[list[str]] = [[] for _ in range(buckets)]
     for t in sorted(distinct):
         out[xxhash.xxh64_intdigest(t) % buckets].append(t)
@@ -77,35 +79,39 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     """
     model = Path(model_path).read_bytes()
     check_boundaries(model)
+    line_feed = piece_counts(model, ["\n"])[0]
     n = block_count(docs, text_col)
     blocks = in_blocks(docs, n, id_col, text_col)
 
     def send(f: pa.Table) -> pa.Table:
-        sent = _sent(f["text"], n)
+        sent = _sent(f["packed"], n)
+        pack = zstandard.ZstdCompressor(level=3).compress
         used = [k for k, t in enumerate(sent) if t]
         return pa.table({"bucket": pa.array(used, pa.int32()), "block": pa.array([f["block"][0].as_py()] * len(used), pa.int32()),
-                         "tokens": pa.array([sent[k] for k in used], pa.list_(pa.string()))})
+                         "tokens": pa.array([pack("\n".join(sent[k]).encode()) for k in used], pa.binary())})
 
     def reply(f: pa.Table) -> pa.Table:
-        tokens = f["tokens"].combine_chunks()
-        each = tokens.flatten().dictionary_encode()
-        sizes = np.array(piece_counts(model, each.dictionary.to_pylist()), np.int32)[each.indices.to_numpy()]
-        return pa.table({"block": f["block"], "bucket": f["bucket"], "sizes": pa.ListArray.from_arrays(tokens.offsets, pa.array(sizes))})
+        each = [t.split("\n") for t in texts(f["tokens"])]
+        distinct = sorted(set().union(*each))
+        size = dict(zip(distinct, piece_counts(model, distinct)))
+        pack = zstandard.ZstdCompressor(level=3).compress
+        sizes = [pack(np.array([size[t] for t in ts], np.int32).tobytes()) for ts in each]
+        return pa.table({"block": f["block"], "bucket": f["bucket"], "sizes": pa.array(sizes, pa.binary())})
 
     def total(f: pa.Table, replies: pa.Table) -> pa.Table:
-        sent = _sent(f["text"], n)
-        size: dict[str, int] = {}
-        for bucket, sizes in zip(replies["bucket"].to_pylist(), replies["sizes"]):
-            size.update(zip(sent[bucket], sizes.as_py()))
+        sent = _sent(f["packed"], n)
+        unpack = zstandard.ZstdDecompressor().decompress
+        size = {"\n": line_feed}
+        for bucket, sizes in zip(replies["bucket"].to_pylist(), replies["sizes"].to_pylist()):
+            size.update(zip(sent[bucket], np.frombuffer(unpack(sizes), np.int32).tolist()))
         n_bytes, n_tokens = [], []
-        for t in f["text"]:
-            text = t.as_py()
+        for text in texts(f["packed"]):
             n_bytes.append(len(text.encode()))
             n_tokens.append(sum(size[t] * k for t, k in Counter(pre_tokens(text)).items()))
         return pa.table({"doc_id": f["doc_id"], "n_bytes": pa.array(n_bytes, pa.int64()), "n_tokens": pa.array(n_tokens, pa.int64())})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    sent = blocks.groupBy("block").applyInArrow(send, "bucket int, block int, tokens array<string>")
-    replies = sent.groupBy("bucket").applyInArrow(reply, "block int, bucket int, sizes array<int>")
+    sent = blocks.groupBy("block").applyInArrow(send, "bucket int, block int, tokens binary")
+    replies = sent.groupBy("bucket").applyInArrow(reply, "block int, bucket int, sizes binary")
     out = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(total, f"doc_id {kind}, n_bytes long, n_tokens long")
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
