@@ -18,12 +18,10 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.llm.common import staged
+from recsift.llm.common import fresh, staged
 
 #: Rows up to which a table made from the benchmark is broadcast; beyond, Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
-#: SimHash counters are summed in lanes of 20 bits, three to a long: windows up to a million shingles.
-LANE, LANES = 20, 3
 
 
 def words(text: Column) -> Column:
@@ -49,20 +47,20 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
 
-def _lanes(h: Column) -> list[Column]:
-    """The 64 bits of ``h`` spread over lanes of longs, so that sums of the longs are 64 counters."""
-    out = []
-    for lo in range(0, 64, LANES):
-        parts = [F.shiftleft(F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1).cast("long")), LANE * k) for k, b in enumerate(range(lo, min(lo + LANES, 64)))]
+def _lanes(h: Column, wide: int) -> list[Column]:
+    """The 64 bits of ``h`` in lanes of ``wide`` bits, as many to a long as fit, so that sums of the longs are 64 counters."""
+    out, each = [], 63 // wide
+    for lo in range(0, 64, each):
+        parts = [F.shiftleft(F.shiftrightunsigned(h, b).bitwiseAND(F.lit(1).cast("long")), wide * k) for k, b in enumerate(range(lo, min(lo + each, 64)))]
         out.append(sum(parts[1:], parts[0]))
     return out
 
 
-def _fingerprint(lanes: list[Column], n: Column) -> Column:
+def _fingerprint(lanes: list[Column], n: Column, wide: int) -> Column:
     """A bit is set if over half of the ``n`` shingles have it."""
-    bits = []
+    bits, each = [], 63 // wide
     for b in range(64):
-        ones = F.shiftrightunsigned(lanes[b // LANES], LANE * (b % LANES)).bitwiseAND(F.lit((1 << LANE) - 1).cast("long"))
+        ones = F.shiftrightunsigned(lanes[b // each], wide * (b % each)).bitwiseAND(F.lit((1 << wide) - 1).cast("long"))
         bits.append(F.when(ones * 2 > n, F.shiftleft(F.lit(1).cast("long"), b)).otherwise(F.lit(0).cast("long")))
     while len(bits) > 1:  # a shallow tree
         bits = [a.bitwiseOR(b) for a, b in zip(bits[::2], bits[1::2])]
@@ -132,20 +130,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         "key", "w", "m", "starts", "run",
         F.explode_outer(F.array_distinct(F.flatten(F.transform("starts", lambda s: F.sequence(s, F.least(s + F.col("m"), F.col("n")) - 1))))).alias("p"))
     rows = every.select("key", "w", "m", "p", F.array_contains("starts", F.col("p")).alias("is_start"), F.get("run", F.col("p")).alias("h"))
-    lanes = [f"l{i}" for i in range(len(_lanes(F.col("h"))))]
-    laned = rows.select("*", *(x.alias(c) for x, c in zip(_lanes(F.col("h")), lanes)))
+    most = item.agg(F.max("m")).first()[0]
+    wide = int(most).bit_length()  # a window has at most ``most`` shingles, and so has each counter
+    lanes = [f"l{i}" for i in range(len(_lanes(F.col("h"), wide)))]
+    laned = rows.select("*", *(x.alias(c) for x, c in zip(_lanes(F.col("h"), wide), lanes)))
     # Frames of m shingles for any m: positions are scaled so that m of them make ``unit``, rounded down
     # (neighbours stay at least 2 apart, and what is m apart stays exactly ``unit`` apart).
-    unit = 2 * item.agg(F.max("m")).first()[0]
+    unit = 2 * most
     frame = Window.partitionBy("key", "w", "m").orderBy(F.expr(f"CAST(p AS BIGINT) * {unit} DIV m")).rangeBetween(0, unit - 1)
     slid = laned.select("key", "w", "m", "p", "is_start", F.count(F.lit(1)).over(frame).alias("size"), F.collect_list("h").over(frame).alias("window"),
                         *(F.sum(c).over(frame).alias(c) for c in lanes)).where("is_start")
-    windows = slid.select("key", "w", "m", F.col("p").alias("start"), "window", _fingerprint([F.col(c) for c in lanes], F.col("size")).alias("fp"))
+    windows = slid.select("key", "w", "m", F.col("p").alias("start"), "window", _fingerprint([F.col(c) for c in lanes], F.col("size"), wide).alias("fp"))
 
     summed = item.select("item_id", "w", "m", "item", F.explode("item").alias("h")).select(
-        "item_id", "w", "m", "item", *(x.alias(c) for x, c in zip(_lanes(F.col("h")), lanes))).groupBy("item_id", "w", "m", "item").agg(
+        "item_id", "w", "m", "item", *(x.alias(c) for x, c in zip(_lanes(F.col("h"), wide), lanes))).groupBy("item_id", "w", "m", "item").agg(
         *(F.sum(c).alias(c) for c in lanes))
-    marked = summed.select("item_id", "w", "m", "item", _fingerprint([F.col(c) for c in lanes], F.col("m")).alias("item_fp"))
+    marked = summed.select("item_id", "w", "m", "item", _fingerprint([F.col(c) for c in lanes], F.col("m"), wide).alias("item_fp"))
     size, reach = 64 // blocks, radius // blocks
     flips = F.array(*(F.lit(sum(1 << b for b in at)).cast("long") for e in range(reach + 1) for at in combinations(range(size), e)))
     probes = marked.select("*", F.posexplode(F.array(*(_block(F.col("item_fp"), i, blocks) for i in range(blocks)))).alias("block", "value")).select(
@@ -168,5 +168,6 @@ def _all(parts: list[DataFrame]) -> DataFrame:
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, **kw) -> DataFrame:
     """The rows of ``docs (doc_id, text, ...)``, all columns, that hold no benchmark item."""
-    bad = leaks(docs, benchmark, **kw).select(F.col("key").alias("_leak_key")).distinct()
-    return docs.join(bad, _key() == F.col("_leak_key"), "left_anti")
+    name = fresh(docs, "leak_key")
+    bad = leaks(docs, benchmark, **kw).select(F.col("key").alias(name)).distinct()
+    return docs.join(bad, _key() == F.col(name), "left_anti")
