@@ -31,6 +31,8 @@ from pyspark.sql import functions as F
 from recsift.llm.blocks import block_count, in_blocks, texts
 from recsift.llm.word_hash import batches_of_words, mixed
 
+#: Text per block; its tokens and pairs are held as arrays of eight bytes each.
+BLOCK_BYTES = 12 << 20
 #: Ids of the end of a text and of what stands before its first word; words are 64-bit hashes.
 END, START = np.uint64(1), np.uint64(2)
 #: Counts up to this are discounted.
@@ -153,7 +155,7 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     mass to unseen ones (no count is below the cut), one occurrence is added to the total for them. An
     empty table gives no rows; other columns are ignored. Words are told apart by 64-bit hashes.
     """
-    n = block_count(docs, text_col)
+    n = block_count(docs, text_col, BLOCK_BYTES)
     blocks = in_blocks(docs, n, id_col, text_col)
     answer = "block int, kind int, bucket int, a binary, b binary, sums array<long>"
 
@@ -224,14 +226,22 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         return answers(out)
 
     def answer_histories(f: pa.Table, told: pa.Table) -> pa.Table:
-        if not len(f):
-            return answers([])
-        distinct, _, rank, parts = gathered(f)
-        sums = np.zeros((len(distinct), SUMS), np.int64)
-        for a, b in zip(told["a"].to_pylist(), told["b"].to_pylist()):
-            at = unpacked_up(a)
-            sums[at] += unpack(b).reshape(SUMS, -1).T
-        return answers([(block, HISTORY, bucket, pack(sums[rank[p]].T.ravel()), None, None) for block, bucket, p in zip(f["block"].to_pylist(), f["bucket"].to_pylist(), parts)])
+        """Sums what pair buckets told; their totals, all sent to one place, are summed and passed on."""
+        out, heads, given = [], [], []
+        for kind, a, b, c in zip(*(told[c].to_pylist() for c in ("kind", "a", "b", "sums"))):
+            if kind == TOTALS:
+                given.append(c)
+            else:
+                heads.append((unpacked_up(a), unpack(b).reshape(SUMS, -1).T))
+        if given:
+            out.append((None, TOTALS, PAIRS, None, None, np.sum(given, 0).tolist()))
+        if len(f):
+            distinct, _, rank, parts = gathered(f)
+            sums = np.zeros((len(distinct), SUMS), np.int64)
+            for at, x in heads:
+                sums[at] += x
+            out += [(block, HISTORY, bucket, pack(sums[rank[p]].T.ravel()), None, None) for block, bucket, p in zip(f["block"].to_pylist(), f["bucket"].to_pylist(), parts)]
+        return answers(out)
 
     def score(f: pa.Table, known: pa.Table) -> pa.Table:
         b = Block(f)
@@ -273,16 +283,16 @@ def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     to_blocks = word_answers.where("block IS NOT NULL")
     pairs = blocks.groupBy("block").cogroup(to_blocks.groupBy("block")).applyInArrow(send_pairs, "to int, block int, h binary, w binary, seen binary, count binary")
     pair_answers = pairs.groupBy("to").applyInArrow(answer_pairs, answer)
-    told = pair_answers.where(F.col("kind") == HISTORY)
+    told = pair_answers.where(F.col("kind") != PAIRS)
     histories = sent.groupBy("bucket").cogroup(told.groupBy("bucket")).applyInArrow(answer_histories, answer)
-    totals = word_answers.where("block IS NULL").unionByName(pair_answers.where(f"kind = {TOTALS}"))
+    totals = word_answers.where("block IS NULL").unionByName(histories.where("block IS NULL"))
     # Every block needs the sums over all buckets, a few numbers per table.
     summed = totals.select("bucket", F.posexplode("sums").alias("at", "x")).groupBy("bucket", "at").agg(F.sum("x").alias("x"))
     listed = summed.groupBy("bucket").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("s"))
     none = F.lit(None).cast("binary")
     everywhere = listed.select(F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("block"), F.lit(TOTALS).alias("kind"), "bucket", none.alias("a"), none.alias("b"),
                                F.col("s.x").alias("sums"))
-    known = to_blocks.unionByName(pair_answers.where(F.col("kind") == PAIRS)).unionByName(histories).unionByName(everywhere)
+    known = to_blocks.unionByName(pair_answers.where(F.col("kind") == PAIRS)).unionByName(histories.where("block IS NOT NULL")).unionByName(everywhere)
     kind = docs.schema[id_col].dataType.simpleString()
     out = blocks.groupBy("block").cogroup(known.groupBy("block")).applyInArrow(
         score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
