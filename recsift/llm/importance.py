@@ -5,6 +5,10 @@ gather inflected and rare forms), and pairs of neighbouring words. The
 raw model is counted over all documents, the target model over documents that labels name as good. A
 document's log weight sums, over its n-grams, the log ratio of the models; documents are drawn without
 replacement in proportion to their weights by Gumbel top-k: add Gumbel noise, take the largest.
+
+A few insults in clean prose hardly move that sum, so what tells toxic from good text is weighed by
+itself: a third model is counted over documents labelled toxic, and a document's toxicity is the sum per
+word of the log ratios, toxic to good, of those n-grams alone that are much likelier in toxic text.
 """
 
 from __future__ import annotations
@@ -28,6 +32,10 @@ SIZE = sum(buckets for buckets, _ in TABLES)
 MAX_LABELS = 200_000
 #: One in so many labelled documents is kept out of the models, to calibrate on.
 HELD_OUT = 5
+#: Log ratio, toxic to good, from which an n-gram counts for toxicity.
+EVIDENCE = 1.0
+#: Taken off the keys of documents above the limit of toxicity, so that they are drawn after all others.
+LAST = 1e9
 
 
 def labelled(labels: DataFrame, bound: int = MAX_LABELS) -> dict[str, np.ndarray]:
@@ -104,6 +112,21 @@ def log_ratio(part: np.ndarray, whole: np.ndarray) -> np.ndarray:
     return out
 
 
+def toxic_limit(good: np.ndarray, toxic: np.ndarray, keep_good: float) -> float:
+    """The toxicity up to which texts pass: the least share of ``good`` above it plus share of ``toxic`` up to it.
+
+    At least a share ``keep_good`` of the good passes, so that few toxic labels cannot cost many good
+    texts. Halfway to the next value seen; infinite where no limit tells the two apart.
+    """
+    if not len(good) or not len(toxic):
+        return np.inf
+    seen = np.unique(np.r_[good, toxic])
+    seen = seen[seen >= np.quantile(good, keep_good, method="inverted_cdf")]
+    loss = np.searchsorted(np.sort(toxic), seen, "right") / len(toxic) - np.searchsorted(np.sort(good), seen, "right") / len(good)
+    best = int(loss.argmin())
+    return float(seen[best:best + 2].mean()) if loss[best] < 0 else np.inf
+
+
 def gumbel(ids: pa.Array, seed: int) -> np.ndarray:
     """Standard Gumbel noise, the same for the same id and seed on every run."""
     u = np.array([(xxhash.xxh64_intdigest(str(i), seed=seed) + 0.5) / 2.0**64 for i in ids.to_pylist()])
@@ -129,9 +152,14 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
              seed: int = 7, max_labels: int = MAX_LABELS, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, *keep, n_words, log_weight, gumbel_key, kept)`` for every row of ``docs``.
 
+    Rows above the limit of toxicity are drawn last: their keys are lowered by ``LAST``. The limit is where
+    labelled good and toxic documents, held out from the models, are told apart best, but a share
+    ``keep_good`` of the good ones pass (``toxic_limit``).
+
     ``kept`` marks the ``k`` rows with the largest keys (ties at the last place are all kept). Without
-    ``k`` it is the number of rows whose key reaches what a share ``keep_good`` of labelled good documents
-    reach; these are held out from the models, so that the limit holds for unseen good text as well.
+    ``k`` it marks the rows up to the limit of toxicity whose key, over the root of the number of words,
+    reaches what a share ``keep_good`` of the held-out good documents up to that limit reach. Neither
+    limit moves with the length of a text. Without held-out labels of both kinds none is toxic.
 
     The target model comes from at most ``max_labels`` labelled rows of ``labels (doc_id, quality,
     toxic)``; the raw model, the weights and the selection cover every document and its whole text. Null
@@ -142,34 +170,45 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     """
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     known = labelled(labels, max_labels)
-    group = (known["good"] & ~known["held_out"]).astype(np.int8)
-    n = counts(own, known["id"], group, 1)
-    ratio = log_ratio(n[1], n[0]) if n[1].sum() else np.zeros(n.shape[1], np.float32)
+    kind = np.where(known["good"], 1, np.where(known["toxic"], 2, 0)).astype(np.int8)
+    n = counts(own, known["id"], np.where(known["held_out"], 0, kind), 2)
+    ratio, toxic = (log_ratio(n[g], n[0]) if n[g].sum() else np.zeros(n.shape[1], np.float32) for g in (1, 2))
     ids = known["id"]
-    calibrate = known["good"] & known["held_out"]
-    shared = docs.sparkSession.sparkContext.broadcast(ratio)  # SIZE numbers
+    calibrate = np.where(known["held_out"], kind, 0).astype(np.int8)
+    shared = docs.sparkSession.sparkContext.broadcast((ratio, np.where(toxic - ratio >= EVIDENCE, toxic - ratio, 0)))  # SIZE numbers each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = shared.value
+        table, evidence = shared.value
         for b in batches:
-            weight, words = np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
+            weight, toxicity, words = np.zeros(b.num_rows), np.zeros(b.num_rows), np.zeros(b.num_rows, np.int64)
             for first, last, cell, row in cells(b.column(1)):
                 weight[first:last] = np.bincount(row, table[cell], last - first)
+                toxicity[first:last] = np.bincount(row, evidence[cell], last - first)
                 words[first:last] = np.bincount(row[cell < TABLES[0][0]], minlength=last - first)
             at = positions(b.column(0), ids)
-            good = np.where(at >= 0, calibrate[at] if len(calibrate) else False, False)
-            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(words), pa.array(weight), pa.array(weight + gumbel(b.column(0), seed)), pa.array(good)],
-                                             names=["doc_id", *b.schema.names[2:], "n_words", "log_weight", "gumbel_key", "held_out_good"])
+            held_out = np.where(at >= 0, calibrate[at] if len(calibrate) else 0, 0).astype(np.int8)
+            yield pa.RecordBatch.from_arrays([b.column(0), *b.columns[2:], pa.array(words), pa.array(weight), pa.array(weight + gumbel(b.column(0), seed)),
+                                              pa.array(toxicity / np.maximum(words, 1)), pa.array(held_out)],
+                                             names=["doc_id", *b.schema.names[2:], "n_words", "log_weight", "gumbel_key", "toxicity", "held_out"])
 
     def weighed(*carried: str) -> DataFrame:
         kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in carried)
         taken = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_text"), *carried)
-        return taken.mapInArrow(run, f"doc_id long, {kinds}n_words long, log_weight double, gumbel_key double, held_out_good boolean")
+        return taken.mapInArrow(run, f"doc_id long, {kinds}n_words long, log_weight double, gumbel_key double, toxicity double, held_out byte")
 
     scores = staged(weighed(), "weights")
+    per_root = F.col("gumbel_key") / F.sqrt(F.greatest("n_words", F.lit(1)))
+    seen = scores.where("held_out > 0").groupBy("doc_id").agg(F.max(F.struct("held_out", "toxicity", per_root.alias("key"))).alias("x")).select("x.*").toPandas()  # at most max_labels rows
+    good = seen[seen.held_out == 1]
+    most = toxic_limit(good.toxicity.to_numpy(), seen[seen.held_out == 2].toxicity.to_numpy(), keep_good)
+    drawn = F.col("gumbel_key") - F.when(F.col("toxicity") > most, LAST).otherwise(0.0)
     if k is not None:
-        limit = kth_largest(scores, "gumbel_key", k) if 0 < k < scores.count() else (np.inf if k <= 0 else -np.inf)
+        own_keys = scores.select(drawn.alias("gumbel_key"))
+        limit = kth_largest(own_keys, "gumbel_key", k) if 0 < k < scores.count() else (np.inf if k <= 0 else -np.inf)
+        kept = drawn >= float(limit)
     else:
-        limit = scores.where("held_out_good").agg(F.percentile_approx("gumbel_key", 1 - keep_good, 100_000)).first()[0] if n[1].sum() else None
-    kept = F.lit(True) if limit is None else F.col("gumbel_key") >= float(limit)
-    return (weighed(*keep) if keep else scores).select("doc_id", *keep, "n_words", "log_weight", "gumbel_key", kept.alias("kept"))
+        keys = good[good.toxicity <= most].key.to_numpy()
+        kept = F.col("toxicity") <= most
+        if len(keys) and n[1].sum():
+            kept &= per_root >= float(np.quantile(keys, 1 - keep_good, method="inverted_cdf"))
+    return (weighed(*keep) if keep else scores).select("doc_id", *keep, "n_words", "log_weight", drawn.alias("gumbel_key"), kept.alias("kept"))

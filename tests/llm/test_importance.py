@@ -103,6 +103,37 @@ def test_query_keeps_good_and_rejects_low_text(spark):
     assert share([i for i, q, t in rows if not q]) < 0.15
 
 
+def test_toxic_text_is_rejected_at_any_length(spark):
+    import duckdb
+    sf = "/root/testdata/sf0.1"
+    got = {r.doc_id: (r.kept, r.n_words) for r in queries.QUERIES["op5_importance"](spark, sf).collect()}
+    rows = duckdb.sql(f"SELECT doc_id, quality, toxic FROM '{sf}/labels.parquet'").fetchall()
+    known = importance.labelled(spark.read.parquet(f"{sf}/labels.parquet"))
+    unseen = set(known["id"][known["held_out"]].tolist())
+    share = lambda ids: np.mean([got[i][0] for i in ids])
+    toxic, good = [i for i, q, t in rows if t], [i for i, q, t in rows if q and not t]
+    assert share(toxic) < 0.03 and share([i for i in toxic if i in unseen]) < 0.05 and share([i for i in toxic if got[i][1] > 1000]) < 0.05
+    assert share(good) > 0.97 and share([i for i in good if i in unseen]) > 0.95 and share([i for i in good if got[i][1] > 1000]) > 0.97
+    assert share([i for i, q, t in rows if not q]) < 0.03
+
+
+def test_toxic_limit():
+    limit = lambda good, toxic, keep=0.5: importance.toxic_limit(np.array(good), np.array(toxic), keep)
+    assert limit([0.0, 0.0, 0.1], [0.1, 0.1, 0.5]) == pytest.approx(0.05)
+    assert limit([0.0, 0.0, 0.1], [0.1, 0.1, 0.5], 0.98) == pytest.approx(0.3)
+    assert limit([0.0, 0.1], [0.3]) == pytest.approx(0.2)
+    assert limit([0.0] * 3, [0.0] * 2) == limit([0.0] * 3, []) == limit([], [0.1]) == np.inf
+
+
+def test_toxic_rows_are_drawn_last(spark):
+    plain = [(i, " ".join(f"w{(i * 7 + j) % 40}" for j in range(60))) for i in range(200)]
+    docs = [(i, t + " vile scum trash" if i % 4 == 0 else t) for i, t in plain]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i, _ in docs if i < 160], "doc_id long, quality int, toxic int")
+    assert {r.doc_id for r in importance.resample(d, lab, k=150).collect() if r.kept} == {i for i, _ in docs if i % 4}
+    assert not any(r.kept for r in importance.resample(d, lab).collect() if r.doc_id % 4 == 0)
+
+
 def test_gumbel_noise_is_standard():
     g = importance.gumbel(pa.array(range(20_000)), 3)
     assert abs(g.mean() - 0.5772) < 0.05 and abs(g.std() - np.pi / 6**0.5) < 0.05
