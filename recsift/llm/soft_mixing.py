@@ -3,16 +3,17 @@
 Domains are what labels say of a document: clean, low (quality) or toxic. A classifier fitted on the
 labelled rows, naive Bayes over hashed n-grams with a temperature, gives every document a posterior over
 the domains. Rates r >= 0 then minimise the squared error of the expected totals S = sum of r * tokens *
-posterior against the targets, by projected gradient from r = 1. The error is weighted by the inverse of
-G = sum of tokens * posterior * posterior', for which a step of length one always descends and, while no
-rate reaches zero, is exact. Longer steps, and steps in the metric of the rates still above zero, are
-tried in the same pass, and the best is taken. A gradient is the posterior times one number per domain,
-so a round is two distributed sums and the driver holds only those numbers.
+posterior against the targets, and of all such rates they are the nearest to 1: a ridge (``RIDGE`` times
+the mean squared distance from 1) is added to the error. They are one projected step from r = 1, r =
+max(0, 1 - posterior . step), with one number per domain. That small problem is convex and is solved to a
+gradient tolerance by Newton's method, for ever smaller ridges. A round is two distributed sums, and the
+driver holds only those numbers.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import warnings
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -26,8 +27,10 @@ from recsift.llm.common import staged
 DOMAINS = ("clean", "low", "toxic")
 #: Shares of all tokens that the mixture is to have.
 TARGETS = {"clean": 0.86, "low": 0.08, "toxic": 0.06}
-#: Steps after which the rates so far are written out, so that expressions stay short.
-STAGE_EVERY = 6
+#: Weights of the distance from rate 1 against the error of the totals, solved one after the other.
+RIDGE = (1e-2, 1e-4, 1e-6, 1e-8, 1e-10)
+#: Lengths of Newton's step tried in one pass.
+TRIED = (1.0, 0.5, 0.25, 2.0**-4, 2.0**-7, 2.0**-11, 2.0**-16, 2.0**-22)
 
 
 def posterior(scores: np.ndarray, tokens: np.ndarray, prior: np.ndarray, heat: tuple[float, float]) -> np.ndarray:
@@ -63,12 +66,20 @@ def _scored(tables: np.ndarray, ids: pa.Array, texts: pa.Array) -> tuple[np.ndar
 
 
 def classifier(docs: DataFrame, labels: DataFrame, max_labels: int = importance.MAX_LABELS) -> Model:
-    """Fits the classifier on the labelled rows of ``docs (doc_id, text)``."""
+    """Fits the classifier on the labelled rows of ``docs (doc_id, text)``; labels of other documents count for nothing."""
     known = importance.labelled(labels, max_labels)
     domain = np.where(known["toxic"], 2, np.where(known["good"], 0, 1))
     n = importance.counts(docs, known["id"], np.where(known["held_out"], 0, domain + 1).astype(np.int8), len(DOMAINS))
     tables = np.stack([importance.log_ratio(n[k + 1], n[0]) if n[k + 1].sum() else np.zeros(n.shape[1], np.float32) for k in range(len(DOMAINS))])
-    prior = (np.bincount(domain[~known["held_out"]], minlength=len(DOMAINS)) + 1.0) / ((~known["held_out"]).sum() + len(DOMAINS))
+
+    def there(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = np.unique(importance.positions(b.column(0), known["id"]))
+            yield pa.record_batch([pa.array(at[at >= 0].astype(np.int64))], names=["at"])
+
+    here = docs.select(F.col("doc_id").cast("long").alias("doc_id")).mapInArrow(there, "at long").distinct().toPandas()["at"].to_numpy(np.int64)  # at most max_labels rows
+    fitted = here[~known["held_out"][here]]
+    prior = (np.bincount(domain[fitted], minlength=len(DOMAINS)) + 1.0) / (len(fitted) + len(DOMAINS))
     shared = docs.sparkSession.sparkContext.broadcast(tables)  # importance.SIZE numbers a domain
     calibrate = known["id"][known["held_out"]]
 
@@ -101,10 +112,6 @@ def memberships(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> Da
     return taken.mapInArrow(run, f"{kinds}, tokens long, " + ", ".join(f"p_{d} double" for d in DOMAINS))
 
 
-def _stepped(rate: Column, step: np.ndarray) -> Column:
-    return F.greatest(F.lit(0.0), rate - sum((F.col(f"p_{d}") * float(s) for d, s in zip(DOMAINS, step)), F.lit(0.0)))
-
-
 def with_rates(members: DataFrame, steps: list[np.ndarray]) -> DataFrame:
     """``members`` with ``rate``: all ``steps`` taken from rate 1. A rate follows from the posterior alone."""
     if not steps:
@@ -114,49 +121,65 @@ def with_rates(members: DataFrame, steps: list[np.ndarray]) -> DataFrame:
     return members.withColumn("rate", F.aggregate(taken, F.lit(1.0), lambda r, s: F.greatest(F.lit(0.0), r - down(s))))
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, rounds: int = 60, tolerance: float = 1e-9,
-              progress: float = 1e-3) -> list[np.ndarray]:
-    """The steps of the projected gradient, one number per domain each; see ``with_rates``.
+def solved(totals: Callable[[list[np.ndarray]], np.ndarray], active: Callable[[np.ndarray], np.ndarray], share: np.ndarray, tolerance: float) -> np.ndarray:
+    """The step whose rates minimise the error; ``totals`` gives the totals of steps, ``active`` a step's sum of
+    posterior * posterior' where the rate is above zero.
+
+    The step is the minimum of a convex function with gradient share - totals + ridge * step. Of the lengths
+    ``TRIED`` the longest that does not overshoot is taken. Ends where no entry of the gradient exceeds
+    ``tolerance``, or after 12 rounds without a fall by a tenth; warns if that is above a hundred times it.
+    """
+    step, before = np.zeros(len(share)), None
+    for ridge in RIDGE:
+        starts = [step] + ([step * (before / ridge)] if before else [])
+        grads = [share - t + ridge * x for t, x in zip(totals(starts), starts)]
+        step, grad = min(zip(starts, grads), key=lambda x: np.abs(x[1]).max())
+        best, least, stale = step, np.abs(grad).max(), 0
+        while least > tolerance and stale < 12:
+            down = -np.linalg.solve(active(step) + ridge * np.eye(len(share)), grad)
+            tried = [step + t * down for t in TRIED]
+            grads = [share - t + ridge * x for t, x in zip(totals(tried), tried)]
+            at = next((i for i, g in enumerate(grads) if g @ down <= 0.1 * abs(grad @ down)), len(tried) - 1)
+            step, grad = tried[at], grads[at]
+            stale += 1
+            if np.abs(grad).max() < 0.9 * least:
+                best, least, stale = step, np.abs(grad).max(), 0
+        step, before = best, ridge
+    if least > 100 * tolerance:
+        warnings.warn(f"mixing rates: largest entry of the gradient {least:.1e}, tolerance {tolerance:.1e}", stacklevel=2)
+    return step
+
+
+def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, tolerance: float = 1e-9) -> list[np.ndarray]:
+    """The one step from rate 1, a number per domain, in a list; see ``with_rates``.
 
     ``members`` is read in every round, so it should be a stored table; only its tokens and posteriors are used.
-    Stops when the totals are within ``tolerance`` of the targets, in shares of all tokens, or when no
-    step lowers the error by the share ``progress``, as happens where no rates reach the targets (a
-    domain without tokens). No tokens at all: no steps.
+    Where targets are reachable the totals meet them. Where they are not, the totals' plain squared error
+    is the least, and the rates are then large for few documents. ``tolerance`` bounds the gradient, in
+    shares of all tokens. No tokens at all: no steps.
     """
     share = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS])
     p = [F.col(f"p_{d}") for d in DOMAINS]
     size = len(DOMAINS)
 
-    def sums(df: DataFrame, cols: list[Column]) -> np.ndarray:
-        return np.array(df.agg(*(F.coalesce(F.sum(F.col("tokens") * c), F.lit(0.0)) for c in cols)).first(), float)
+    def sums(cols: list[Column]) -> np.ndarray:
+        return np.array(members.agg(*(F.coalesce(F.sum(F.col("tokens") * c), F.lit(0.0)) for c in cols)).first(), float)
 
-    tokens = sums(members, [F.lit(1.0)])[0]
+    tokens = sums([F.lit(1.0)])[0]
     if not tokens:
         return []
 
-    def metric(df: DataFrame, rate: Column) -> np.ndarray:
-        return np.linalg.pinv(sums(df, [F.when(rate > 0, a * b).otherwise(0.0) for a in p for b in p]).reshape(size, size) / tokens)
-
-    table, rate = members.select("tokens", *p, F.lit(1.0).alias("rate")), F.col("rate")
-    steps: list[np.ndarray] = []
-    whole = metric(table, rate)
-    total = sums(table, [rate * x for x in p]) / tokens
-    error = lambda s: float((s - share) @ whole @ (s - share))
-    for at in range(1, rounds + 1):
-        if np.abs(total - share).max() <= tolerance:
-            break
-        near = metric(table, rate)
-        moves = [x * (m @ (total - share)) for m, x in ((whole, 1.0), (whole, 4.0), (whole, 16.0), (near, 0.25), (near, 0.5), (near, 1.0))]
-        tried = [_stepped(rate, m) for m in moves]
-        totals = sums(table, [r * x for r in tried for x in p]).reshape(len(tried), size) / tokens
-        best = min(range(len(tried)), key=lambda i: error(totals[i]))
-        if error(totals[best]) > (1 - progress) * error(total):
-            break
-        steps.append(moves[best])
-        rate, total = tried[best], totals[best]
-        if at % STAGE_EVERY == 0:
-            table, rate = staged(table.withColumn("rate", rate), "rates"), F.col("rate")
-    return steps
+    def rate(step: np.ndarray) -> Column:
+        return F.greatest(F.lit(0.0), F.lit(1.0) - sum((x * float(v) for x, v in zip(p, step)), F.lit(0.0)))
+
+    def totals(steps: list[np.ndarray]) -> np.ndarray:
+        return sums([r * x for r in map(rate, steps) for x in p]).reshape(len(steps), size) / tokens
+
+    def active(step: np.ndarray) -> np.ndarray:
+        r = rate(step)
+        return sums([F.when(r > 0, a * b).otherwise(0.0) for a in p for b in p]).reshape(size, size) / tokens
+
+    return [solved(totals, active, share, tolerance)]
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, keep: tuple[str, ...] = (), max_labels: int = importance.MAX_LABELS) -> DataFrame:

@@ -1,9 +1,13 @@
+import numpy as np
+
 import corpus_pipeline as cp
 from recsift.llm import importance
+from recsift.llm.soft_mixing import DOMAINS, TARGETS
 from recsift.llm.trigram_secrets import BASE
 from tests.llm import brute
 from tests.llm.test_simhash_gph import expected as components
 from tests.llm.test_simhash_windows import expected as held
+from tests.llm.test_soft_mixing import best
 from tests.llm.test_trigram_secrets import expected as secrets
 
 SF = "/root/testdata/sf0.01"
@@ -50,3 +54,9 @@ def test_run_and_edge_rows(spark, tmp_path):
     got = cp.run(spark, str(tmp_path)).collect()
     assert {r.doc_id for r in got} == {None, 1, 2} and len(got) == 4
     assert [n for n, _ in cp.STAGES] and list(got[0].asDict())[:5] == list(cp.COLUMNS)
+
+
+def test_totals_are_the_targets_or_the_nearest(spark):
+    last = cp.run(spark, SF).toPandas()
+    p = last[[f"p_{d}" for d in DOMAINS]].to_numpy()
+    assert best(p, last.tokens.to_numpy(float), last.rate.to_numpy(), np.array([TARGETS[d] for d in DOMAINS]))

@@ -47,3 +47,39 @@ def test_edge_rows(spark):
     assert {r.doc_id for r in got if r.rate == got[0].rate} >= {got[0].doc_id}
     assert len(soft_mixing.mix(d, lab.limit(0)).collect()) == 5
     assert soft_mixing.mix(d.limit(0), lab).collect() == []
+
+
+def best(p, n, rate, share, atol=1e-4):
+    """Whether no rates >= 0 bring the totals nearer to ``share``: the optimum's conditions over the cone of posteriors."""
+    total = (rate * n) @ p / n.sum()
+    off = total - share
+    return abs(off @ total) < atol and (p[n > 0] @ off).min() > -atol
+
+
+def fitted(spark, p, n):
+    df = spark.createDataFrame([(i, int(n[i]), *map(float, p[i])) for i in range(len(n))], "doc_id long, tokens long, p_clean double, p_low double, p_toxic double")
+    return soft_mixing.with_rates(df, soft_mixing.fit_rates(df)).orderBy("doc_id").toPandas().rate.to_numpy()
+
+
+def test_reachable_targets_far_from_the_input_are_met(spark):
+    g = np.random.default_rng(1)
+    p, n = g.dirichlet([1.0] * 3, 5000), g.integers(0, 500, 5000)
+    rate = fitted(spark, p, n)
+    assert (rate >= 0).all() and np.allclose((rate * n) @ p / n.sum(), [TARGETS[d] for d in DOMAINS], atol=1e-6)
+
+
+@pytest.mark.parametrize("floor", [[0.2, 0.5, 0.3], [0.0, 1.0, 0.0]])
+def test_unreachable_targets_give_the_least_squared_error(spark, floor):
+    g = np.random.default_rng(2)
+    p, n = 0.6 * g.dirichlet([1.0] * 3, 300) + 0.4 * np.array(floor), g.integers(1, 500, 300)
+    rate = fitted(spark, p, n)
+    share = np.array([TARGETS[d] for d in DOMAINS])
+    assert np.abs((rate * n) @ p / n.sum() - share).max() > 0.01 and best(p, n, rate, share)
+    assert not best(p, n, np.ones(300), share)
+
+
+def test_prior_counts_only_labels_of_rows_in_the_input(spark):
+    d = spark.createDataFrame([(i, f"word{i % 5} and more") for i in range(60)], "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i < 60), 0) for i in range(400)], "doc_id long, quality int, toxic int")
+    prior = soft_mixing.classifier(d, lab).prior
+    assert prior[0] > 0.9 and prior[1] == prior[2] and np.isclose(prior.sum(), 1)
