@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recsift.llm import chat_prefix, html_main, importance, katz, line_frequency, simhash_gph, simhash_windows, soft_mixing, token_counts, trigram_secrets
+from recsift.llm import chat_prefix, filter_audit, hard_negatives, html_main, importance, katz, line_frequency, pivot_search, simhash_gph, simhash_windows, soft_mixing, token_counts, trigram_secrets
 from recsift.llm.oracle import ORACLE  # noqa: F401  (read by the entry module)
 
 
@@ -62,6 +62,20 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.katz_scores(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_soft_mixing": op1_soft_mixing,
     "op2_line_frequency": op2_line_frequency,
@@ -73,4 +87,7 @@ QUERIES = {
     "op8_simhash_windows": op8_simhash_windows,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_katz": op10_katz,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_pivot_search": op12_pivot_search,
+    "op13_hard_negatives": op13_hard_negatives,
 }
