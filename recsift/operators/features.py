@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from recsift.functions.binning import (COMMISSION_EDGES, NUMBER_PATTERN, PRICE_EDGES, RATE_EDGES,
                                        SCORE_EDGES, bucketize_number)
 from recsift.functions.hashing import hash_feature, hash_sequence_parts, sequence_parts
+from recsift.sources.text_io import stage
 
 # Fixed values that must equal the studied jobs: which features are bucketed, with which edges,
 # and the feature-name presets of the two export variants.
@@ -103,25 +104,38 @@ def offer_features(train_log: DataFrame, catalog: DataFrame, ctr: DataFrame, sta
 def frequency_index(df: DataFrame, col: str) -> DataFrame:
     """Frequency-ordered index of the values of a column: ``(col, n, idx)``, most frequent = 0.
 
-    Ties are broken by value; null is a value of its own and comes first among its ties. An index is
-    a sum of offsets over ever finer classes: counts of the same binary magnitude, equal counts, equal
-    first letters, then the place among these; each is a window within the next coarser class, so no
-    sort sees all values.
+    Ties are broken by value; null is a value of its own and comes first among its ties. The counted values
+    are dealt over partitions by sampled ranges of (count, value) and written in order, so an index is the
+    place in its partition plus the sizes of those before it, one number each: however many values share a
+    count or their first letters, no task holds more than its range.
     """
-    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n")).select(
-        col, "n", F.floor(F.log2("n")).cast("int").alias("_mag"), F.substring(F.col(col).cast("string"), 1, 4).alias("_head"))
-    heads = counts.groupBy("_mag", "n", "_head").agg(F.count(F.lit(1)).alias("_c"))
-    levels = heads.groupBy("_mag", "n").agg(F.sum("_c").alias("_c"))
-    mags = levels.groupBy("_mag").agg(F.sum("_c").alias("_c"))
-    # The sum of all larger magnitudes: each of at most 63 hands its size to every smaller one.
-    above = (mags.select(F.explode(F.sequence(F.lit(0), F.col("_mag"))).alias("_to"), "_mag", "_c")
-             .groupBy(F.col("_to").alias("_mag")).agg(F.sum(F.when(F.col("_mag") > F.col("_to"), F.col("_c")).otherwise(0)).alias("_a")))
-    before = lambda w: F.coalesce(F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    at_level = levels.join(above, "_mag").select(
-        "n", (F.col("_a") + before(Window.partitionBy("_mag").orderBy(F.col("n").desc()))).alias("_l"))
-    at_head = heads.select("n", "_head", before(Window.partitionBy("n").orderBy("_head")).alias("_h"))
-    place = F.row_number().over(Window.partitionBy("n", "_head").orderBy(F.col(col)))
-    ranked = counts.select(col, "n", "_head", place.alias("_p")).alias("r")
-    met = ranked.join(at_head.alias("h"), (F.col("r.n") == F.col("h.n")) & F.col("r._head").eqNullSafe(F.col("h._head")))
-    return (met.join(at_level.alias("l"), F.col("r.n") == F.col("l.n"))
-            .select(F.col(f"r.{col}").alias(col), F.col("r.n").alias("n"), (F.col("_l") + F.col("_h") + F.col("_p") - 1).cast("bigint").alias("idx")))
+    order = [F.col("n").desc(), F.col(col).asc_nulls_first()]
+    counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+    # The id is the partition's number above 33 bits for the place in it; stored, both stay as they were.
+    placed = stage(counts.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "frequency")
+    placed = placed.select(col, "n", F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_place"))
+    first, upto = [], 0
+    for r in sorted(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("size")).collect()):  # a row per partition
+        first.append((r["_part"], upto))
+        upto += r["size"]
+    starts = df.sparkSession.createDataFrame(first, "_part bigint, _first bigint")
+    return placed.join(F.broadcast(starts), "_part").select(col, "n", (F.col("_first") + F.col("_place")).alias("idx"))
+
+
+#: What the readers give where a feature is null and where its key is absent; a number that cannot be read counts as null.
+DEFAULTS = {"string": ("null", "None"), "int": (0, 0), "float": (0.0, 0.0)}
+
+
+def read_feature(name: str, kind: str = "string", map_col: str = "fmap"):
+    """A feature out of a parsed bag with a default instead of null: ``kind`` is ``string``, ``int`` or ``float``.
+
+    An absent key, or a bag that could not be parsed, gives the second value of ``DEFAULTS``, a null value the first.
+    """
+    if kind not in DEFAULTS:
+        raise ValueError(f"kind must be one of {sorted(DEFAULTS)}")
+    null, absent = (F.lit(x) for x in DEFAULTS[kind])
+    fmap = F.col(map_col)
+    raw = F.element_at(fmap, F.lit(name))
+    to = {"string": "string", "int": "int", "float": "double"}[kind]
+    value = raw if kind == "string" else java_trim(raw).try_cast(to)
+    return F.when(F.coalesce(F.map_contains_key(fmap, F.lit(name)), F.lit(False)), F.coalesce(value, null.cast(to))).otherwise(absent.cast(to))

@@ -1,9 +1,11 @@
 """Co-occurrence pairs inside groups.
 
 Every item of a group is dealt into one of the group's blocks by its hash; a group has as many blocks as
-its size asks for, so most have one. Pairs come from an equi-join on (group, block, block), one join
-key per pair of blocks, so a hot group is spread over many tasks by its own size and nothing is ever
-collected per group. Aggregations right after the join are partially combined before the next shuffle.
+its size asks for, so most have one. The items of one block, or of two, are gathered into a list, one for
+each pair of blocks, and pairs come from the list. A hot group is thus many lists of bounded length on
+many tasks, and no group is ever gathered whole. Rows are shuffled once, and no side is joined with
+itself; only groups of several blocks, few rows, are joined to learn their number of blocks.
+Aggregations right after are partially combined before the next shuffle.
 """
 
 from __future__ import annotations
@@ -28,34 +30,35 @@ def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item
     ``nullable_groups`` compare null-safe (a null is a group of its own); rows with a null in
     another group column, or a null item, pair with nothing.
     """
-    base = df.select(*group_cols, item_col, *carry)
+    there = F.col(item_col).isNotNull()
+    for g in group_cols:
+        there = there if g in nullable_groups else there & F.col(g).isNotNull()
+    base = df.where(there).select(*group_cols, item_col, *carry)
     if distinct:
         base = base.distinct()
-
-    def same(a: str, b: str):
-        return [F.col(f"{a}.{g}").eqNullSafe(F.col(f"{b}.{g}")) if g in nullable_groups
-                else F.col(f"{a}.{g}") == F.col(f"{b}.{g}") for g in group_cols]
-
     blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int")
-    sizes = base.groupBy(*group_cols).agg(blocks.alias("_blocks"))
-    dealt = (base.alias("pb").join(sizes.alias("ps"), same("pb", "ps"))
-             .select(*[F.col(f"pb.{c}").alias(c) for c in base.columns], "_blocks",
-                     F.pmod(F.xxhash64(f"pb.{item_col}"), F.col("_blocks")).cast("int").alias("_block")))
-    # An item meets the later blocks from the left and the earlier ones from the right.
-    left = dealt.select("*", F.col("_block").alias("_p"), F.explode(F.sequence("_block", F.col("_blocks") - 1)).alias("_q"))
-    right = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("_block"))).alias("_p"), F.col("_block").alias("_q"))
-    a, b = F.col(f"pa.{item_col}"), F.col(f"pc.{item_col}")
-    met = left.alias("pa").join(right.alias("pc"), [*same("pa", "pc"), F.col("pa._p") == F.col("pc._p"), F.col("pa._q") == F.col("pc._q"),
-                                                    (F.col("pa._p") != F.col("pa._q")) & (a != b) | (a < b)])
-    first = a < b
+    split = base.groupBy(*group_cols).agg(blocks.alias("_blocks")).where("_blocks > 1").alias("ps")
+    same = [F.col(f"pb.{g}").eqNullSafe(F.col(f"ps.{g}")) if g in nullable_groups else F.col(f"pb.{g}") == F.col(f"ps.{g}") for g in group_cols]
+    dealt = base.alias("pb").join(split, same, "left").select(*[F.col(f"pb.{c}").alias(c) for c in base.columns], "_blocks")
+    dealt = dealt.withColumn("_block", F.when(F.col("_blocks").isNotNull(), F.pmod(F.xxhash64(item_col), "_blocks")).otherwise(0).cast("int"))
+    # An item is in the list of every pair of blocks that its own is part of.
+    pair_of = lambda q: F.struct(F.least("_block", q).alias("p"), F.greatest("_block", q).alias("q"))
+    keys = F.when(F.col("_blocks").isNull(), F.array(pair_of(F.lit(0)))).otherwise(F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), pair_of))
+    member = dealt.select(*group_cols, F.struct("_block", F.col(item_col).alias("_item"), *carry).alias("_x"), F.explode(keys).alias("_k"))
+    lists = member.groupBy(*group_cols, "_k").agg(F.sort_array(F.collect_list("_x")).alias("_l"))
+    one = F.col("_k.p") == F.col("_k.q")
+    lists = lists.withColumn("_n", F.when(~one, F.size(F.filter("_l", lambda x: x["_block"] == F.col("_k.p")))))
+    left = lists.select(*group_cols, "_l", "_n", F.posexplode("_l").alias("_at", "_a")).where(F.col("_n").isNull() | (F.col("_at") < F.col("_n")))
+    later = F.slice("_l", F.coalesce(F.col("_n") + 1, F.col("_at") + 2), F.size("_l"))
+    met = left.select(*group_cols, "_a", F.explode(later).alias("_b")).where("_a._item <> _b._item")
+    first = F.col("_a._item") < F.col("_b._item")
 
     def ordered(c: str, i, j):
-        x, y = F.col(f"pa.{c}"), F.col(f"pc.{c}")
+        x, y = F.col(f"_a.{c}"), F.col(f"_b.{c}")
         return [F.when(first, x).otherwise(y).alias(i), F.when(first, y).otherwise(x).alias(j)]
 
-    out = [F.col(f"pa.{g}").alias(g) for g in group_cols] + ordered(item_col, "item_i", "item_j")
     carried = [ordered(c, f"{c}_i", f"{c}_j") for c in carry]
-    return met.select(*out, *[x for x, _ in carried], *[y for _, y in carried])
+    return met.select(*group_cols, *ordered("_item", "item_i", "item_j"), *[x for x, _ in carried], *[y for _, y in carried])
 
 
 def symmetrize(df: DataFrame, left: str, right: str, paired: Sequence[tuple[str, str]] = (),

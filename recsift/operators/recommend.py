@@ -54,24 +54,23 @@ def user_recommendations(candidates: DataFrame, behaviour: DataFrame, save_count
     most ``save_count`` items are kept per user. A trigger whose entries were all taken keeps one
     row with null ``pos`` / ``item_id``.
 
-    Every candidate list gets a marker at rank 0, so a trigger's row and its entries come from the
-    one join of triggers and candidates; the marker stays where no entry does.
+    A trigger's entries become one array, at most its quota long; how many items the earlier triggers hold is
+    a running sum over one row per trigger, and the array is cut by it. A window thus never holds entries
+    of several triggers.
     """
-    marks = candidates.where(F.col("rank") == 1).select("main_id", F.lit(0).cast("bigint").alias("rank"),
-                                                        F.lit(None).cast(candidates.schema["sim_id"].dataType).alias("sim_id"),
-                                                        F.lit(None).cast("double").alias("score")).distinct()
-    c = candidates.select("main_id", F.col("rank").cast("bigint").alias("rank"), "sim_id", F.col("score").cast("double").alias("score"))
-    e = _entries(c.unionByName(marks), _triggers(candidates, behaviour, save_count, min_limit, join_key))
-    mark = F.col("rank") == 0
-    first = F.row_number().over(Window.partitionBy("user_id", "item_id").orderBy("tpos", "rank"))
-    e = e.withColumn("occ", first).where(mark | (F.col("occ") == 1))
-    so_far = Window.partitionBy("user_id").orderBy("tpos", "rank").rowsBetween(Window.unboundedPreceding, 0)
-    e = e.withColumn("kept", F.count(F.when(~mark, 1)).over(so_far)).where(mark | (F.col("kept") <= save_count))
-    per_trigger = Window.partitionBy("user_id", "tpos")
-    e = e.withColumn("place", F.row_number().over(per_trigger.orderBy("rank")) - 1).withColumn("rows", F.count(F.lit(1)).over(per_trigger))
-    return (e.where(~mark | (F.col("rows") == 1))
-            .select("user_id", "trigger_item", "trigger_type", "time", "tpos",
-                    F.when(~mark, F.col("place")).cast("bigint").alias("pos"), "item_id"))
+    c = candidates.select(F.col("main_id").alias("trigger_item"), F.col("rank").cast("bigint").alias("rank"), F.col("sim_id").alias("item_id"))
+    e = _triggers(candidates, behaviour, save_count, min_limit, join_key).join(c, "trigger_item").where(F.col("rank") <= F.greatest("quota", F.lit(1)))
+    # A trigger with a quota of 0 keeps its first entry here, for its row; such entries take no item.
+    allowed = F.col("rank") <= F.col("quota")
+    first = F.row_number().over(Window.partitionBy("user_id", "item_id").orderBy(allowed.desc(), "tpos", "rank"))
+    own = F.when(F.col("allowed") & (F.col("occ") == 1), F.struct("rank", "item_id"))
+    lists = (e.withColumn("allowed", allowed).withColumn("occ", first)
+             .groupBy("user_id", "trigger_item", "trigger_type", "time", "tpos").agg(F.array_sort(F.collect_list(own)).alias("l")))
+    earlier = Window.partitionBy("user_id").orderBy("tpos").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.greatest(F.lit(save_count) - F.coalesce(F.sum(F.size("l")).over(earlier), F.lit(0)), F.lit(0)).cast("int")
+    cut = lists.withColumn("left", left).withColumn("l", F.slice("l", F.lit(1), F.col("left")))
+    return (cut.select("user_id", "trigger_item", "trigger_type", "time", "tpos", F.posexplode_outer("l").alias("p", "x"))
+            .select("user_id", "trigger_item", "trigger_type", "time", "tpos", (F.col("p") + 1).cast("bigint").alias("pos"), F.col("x.item_id").alias("item_id")))
 
 
 def user_recommendations_json(long_form: DataFrame) -> DataFrame:

@@ -94,17 +94,20 @@ def extend_lists(base: DataFrame, new: DataFrame, depth: int = 200) -> DataFrame
     For every main offer of ``new``: when the baseline has no list, the first ``depth`` entries
     of the new list with ``has_base = 0``; otherwise the new top ``depth`` minus the baseline top
     ``depth`` in new-list order with ``has_base = 1``. A main whose difference is empty keeps one
-    row with null ``pos`` / ``sim_offer``. Inputs are long form ``(main_offer, rank, sim_offer)``.
+    row with null ``pos`` / ``sim_offer``. Inputs are long form ``(main_offer, rank, sim_offer)``, ranked
+    from 1; each is read once.
     """
-    new_top = new.where(F.col("rank") <= depth).select("main_offer", "rank", "sim_offer")
-    base_top = base.where(F.col("rank") <= depth).select("main_offer", "sim_offer")
-    flags = (new.select("main_offer").distinct()
-             .join(base.select("main_offer").distinct().withColumn("has_base", F.lit(1)), "main_offer", "left")
-             .select("main_offer", F.coalesce("has_base", F.lit(0)).alias("has_base")))
-    added = new_top.join(base_top, ["main_offer", "sim_offer"], "left_anti")
-    w = Window.partitionBy("main_offer").orderBy("rank")
-    added = added.select("main_offer", F.row_number().over(w).cast("bigint").alias("pos"), "sim_offer")
-    return flags.join(added, "main_offer", "left").select("main_offer", "pos", "sim_offer", "has_base")
+    tagged = new.where(F.col("rank") <= depth).select("main_offer", "sim_offer", F.col("rank").cast("bigint").alias("rank")).unionByName(
+        base.where(F.col("rank") <= depth).select("main_offer", "sim_offer", F.lit(None).cast("bigint").alias("rank")))
+    # One aggregation says which list holds a pair; what follows sees at most 2 * depth rows a main offer.
+    pairs = tagged.groupBy("main_offer", "sim_offer").agg(F.min("rank").alias("rank"), F.max(F.col("rank").isNull()).alias("old"))
+    added = F.col("rank").isNotNull() & ~F.col("old")
+    main = Window.partitionBy("main_offer")
+    placed = pairs.select("main_offer", "sim_offer", added.alias("added"), F.count("rank").over(main).alias("listed"),
+                          F.max("old").over(main).cast("int").alias("has_base"), F.count(F.when(added, 1)).over(main).alias("n"),
+                          F.row_number().over(main.orderBy(F.when(added, F.col("rank")).asc_nulls_last(), "sim_offer")).cast("bigint").alias("place"))
+    kept = placed.where((F.col("listed") > 0) & (F.col("added") | (F.col("n") == 0) & (F.col("place") == 1)))
+    return kept.select("main_offer", F.when(F.col("added"), F.col("place")).alias("pos"), F.when(F.col("added"), F.col("sim_offer")).alias("sim_offer"), "has_base")
 
 
 def top_candidates(sim: DataFrame, valid: DataFrame | None = None, n: int | None = 400, main_col: str = "main_id",

@@ -7,21 +7,27 @@ from pyspark.sql import functions as F
 
 from recsift.operators.filters import active_users, item_support, valid_interactions
 from recsift.operators.pairs import basket_pairs, symmetrize
+from recsift.sources.text_io import stage
+
+
+def _rows(interactions: DataFrame) -> DataFrame:
+    return interactions.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
+
+
+def _cf_pairs_base(users: DataFrame, nor: DataFrame, catalog: DataFrame, category_col: str) -> DataFrame:
+    cats = (catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))
+            .select("item_id", F.col(category_col).alias("category")))
+    return users.join(nor, "item_id").join(cats, "item_id").select("user_id", "category", "item_id", "nor").distinct()
 
 
 def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, max_user_rows: int,
-             min_support: int, category_col: str, strict_users: bool) -> dict:
-    r = interactions.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
-    active = active_users(r, min_user_rows, max_user_rows).select("user_id")
-    nor = item_support(r, min_support, min_user_rows, max_user_rows)
+             min_support: int, category_col: str, strict_users: bool) -> DataFrame:
+    r = _rows(interactions)
     # The studied job forms pairs from all users (the activity bounds only shape the norms);
     # strict_users applies them to the pair base too.
     ui = r.distinct()
-    users = ui.join(active, "user_id", "left_semi") if strict_users else ui
-    cats = (catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))
-            .select("item_id", F.col(category_col).alias("category")))
-    base = users.join(nor, "item_id").join(cats, "item_id").select("user_id", "category", "item_id", "nor").distinct()
-    return {"rows": r, "active": active, "nor": nor, "base": base}
+    users = ui.join(active_users(r, min_user_rows, max_user_rows).select("user_id"), "user_id", "left_semi") if strict_users else ui
+    return _cf_pairs_base(users, item_support(r, min_support, min_user_rows, max_user_rows), catalog, category_col)
 
 
 def _cf_scores(base: DataFrame) -> DataFrame:
@@ -41,21 +47,29 @@ def item_cf(interactions: DataFrame, catalog: DataFrame, min_user_rows: int = 2,
     (user, category) groups holding both items, ``nor`` the number of distinct active users of an
     item (kept when >= ``min_support``) and ``score = co / sqrt(nor_i * nor_j)``.
     """
-    return _cf_scores(_cf_base(interactions, catalog, min_user_rows, max_user_rows, min_support, category_col, strict_users)["base"])
+    return _cf_scores(_cf_base(interactions, catalog, min_user_rows, max_user_rows, min_support, category_col, strict_users))
 
 
-def item_cf_stage_counts(interactions: DataFrame, catalog: DataFrame, **kw) -> DataFrame:
+def item_cf_stage_counts(interactions: DataFrame, catalog: DataFrame, min_user_rows: int = 2, max_user_rows: int = 2000, min_support: int = 5,
+                         category_col: str = "subcate_id", strict_users: bool = False) -> DataFrame:
     """Row counts of the item-CF stages as a ``(stage, rows)`` table.
 
-    One plan: the counts are branches over the same frames, whose shuffles Spark shares.
+    The job runs once, stage by stage, each written for the next; the input is read once. Counts of what is
+    stored come from the files' footers, that of the input from the rows that each (user, item) stands for.
     """
-    b = _cf_base(interactions, catalog, kw.get("min_user_rows", 2), kw.get("max_user_rows", 2000),
-                 kw.get("min_support", 5), kw.get("category_col", "subcate_id"), kw.get("strict_users", False))
-    parts = [("interactions", b["rows"]), ("active_users", b["active"]), ("supported_items", b["nor"]),
-             ("pair_base", b["base"]), ("directed_pairs", _cf_scores(b["base"]))]
+    count = F.count(F.lit(1)).alias("rows")
+    held = stage(_rows(interactions).groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n")), "held")
+    users = held.select("user_id", "item_id")
+    active = held.groupBy("user_id").agg(F.sum("n").alias("n")).where(F.col("n").between(min_user_rows, max_user_rows))
+    active = stage(active.select("user_id"), "active")
+    support = users.join(active, "user_id", "left_semi").groupBy("item_id").agg(F.count(F.lit(1)).alias("nor"))
+    nor = stage(support.where(F.col("nor") >= min_support), "support")
+    base = stage(_cf_pairs_base(users.join(active, "user_id", "left_semi") if strict_users else users, nor, catalog, category_col), "base")
+    parts = [("interactions", held.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))), ("active_users", active.agg(count)),
+             ("supported_items", nor.agg(count)), ("pair_base", base.agg(count)), ("directed_pairs", _cf_scores(base).agg(count))]
     out = None
     for name, df in parts:
-        c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
+        c = df.select(F.lit(name).alias("stage"), "rows")
         out = c if out is None else out.unionByName(c)
     return out
 
@@ -65,57 +79,66 @@ def pair_support(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
     Users need at least ``min_rows`` rows; support counts distinct users holding both items.
     """
-    _, pu = _swing_user_pairs(orders, min_rows, min_users)
-    return _support_band(pu, min_users, max_users)
-
-
-def _support_band(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
+    pu = _swing_user_pairs(_active_baskets(orders, min_rows), min_users)
     return (pu.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("support"))
             .where((F.col("support") >= min_users) & (F.col("support") <= max_users)))
 
 
-def _swing_user_pairs(orders: DataFrame, min_rows: int, min_users: int):
-    """All (user, item) rows of active users, and their item pairs.
+def _active_baskets(orders: DataFrame, min_rows: int) -> DataFrame:
+    """Distinct ``(user_id, item_id)`` of users with at least ``min_rows`` rows, written once.
 
-    Items with fewer than ``min_users`` users cannot be in a supported pair, so they form none.
+    Swing reads it for item support, for pairs and for overlaps; stored, its inputs are read and planned
+    once, and a lost executor re-reads the table.
     """
-    r = orders.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
-    heavy = r.groupBy("user_id").agg(F.count("item_id").alias("n")).where(F.col("n") >= min_rows).select("user_id")
-    ui = r.join(heavy, "user_id", "left_semi").distinct()
+    held = _rows(orders).groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
+    heavy = held.groupBy("user_id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_rows).select("user_id")
+    return stage(held.select("user_id", "item_id").join(heavy, "user_id", "left_semi"), "baskets")
+
+
+def _swing_user_pairs(ui: DataFrame, min_users: int) -> DataFrame:
+    """``(user_id, item_i, item_j)``; items with fewer than ``min_users`` users cannot be in a supported pair and form none."""
     held = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_users).select("item_id")
-    return ui, basket_pairs(ui.join(held, "item_id", "left_semi"), ["user_id"], "item_id", distinct=False)
+    return basket_pairs(ui.join(held, "item_id", "left_semi"), ["user_id"], "item_id", distinct=False)
 
 
 def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFrame:
     """``(u, v, overlap)`` = |I_u & I_v| for the given user pairs.
 
-    A user's items are dealt by hash into chunks of about ``max_array``, as many as the basket's size
-    asks for; every chunk becomes one array, and the overlap of a user pair is the sum of
-    ``size(array_intersect)`` over its chunk pairs. Typical users have one chunk, so a pair costs one
-    array intersection; a huge basket costs more chunk pairs but no array grows with it.
+    A user's items are dealt by hash into chunks of about ``max_array``, a power of two of them, as many as
+    the basket's size asks for; every chunk becomes one array. Chunks of two users nest: of a user with
+    fewer chunks, each meets only those chunks of the other that hold the same hashes, so a pair costs as
+    many array intersections as the larger basket has chunks. Typical users have one chunk.
     """
     if max_array < 1:
         raise ValueError("max_array must be at least 1")
-    sizes = ui.groupBy("user_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_array)).alias("chunks"))
-    chunked = ui.join(sizes, "user_id").withColumn("chunk", F.pmod(F.xxhash64("item_id"), F.col("chunks")))
-    chunks = chunked.groupBy("user_id", "chunk").agg(F.collect_list("item_id").alias("items"))
-    cu = chunks.select(F.col("user_id").alias("u"), F.col("items").alias("iu"))
-    cv = chunks.select(F.col("user_id").alias("v"), F.col("items").alias("iv"))
-    return (needed.join(cu, "u").join(cv, "v")
-            .groupBy("u", "v").agg(F.sum(F.size(F.array_intersect("iu", "iv"))).cast("bigint").alias("overlap")))
+    sizes = ui.groupBy("user_id").agg(F.pow(F.lit(2), F.ceil(F.log2(F.ceil(F.count(F.lit(1)) / F.lit(max_array))))).cast("int").alias("chunks"))
+    chunked = ui.join(sizes, "user_id").withColumn("chunk", F.pmod(F.xxhash64("item_id"), F.col("chunks")).cast("int"))
+    chunks = chunked.groupBy("user_id", "chunks", "chunk").agg(F.collect_list("item_id").alias("items"))
+    cu = chunks.select(F.col("user_id").alias("u"), F.col("chunks").alias("nu"), F.col("chunk").alias("ku"), F.col("items").alias("iu"))
+    cv = chunks.select(F.col("user_id").alias("v"), F.col("chunks").alias("nv"), F.col("chunk").alias("kv"), F.col("items").alias("iv"))
+    fewer = F.least("nu", "nv")
+    met = needed.join(cu, "u").join(cv, "v").where(F.pmod("ku", fewer) == F.pmod("kv", fewer))
+    return met.groupBy("u", "v").agg(F.sum(F.size(F.array_intersect("iu", "iv"))).cast("bigint").alias("overlap"))
+
+
+def _pair_users(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
+    """``(item_i, item_j, us)``: the sorted users of every item pair whose support is in the band.
+
+    Of each pair one user more than the band allows is kept, already before the shuffle; those that have
+    that many are out, so no list grows with a popular pair, and pairs are shuffled once for band and users.
+    """
+    w = Window.partitionBy("item_i", "item_j").orderBy("user_id")
+    few = pu.withColumn("n", F.row_number().over(w)).where(F.col("n") <= max_users + 1)
+    users = few.groupBy("item_i", "item_j").agg(F.array_sort(F.collect_list("user_id")).alias("us"))
+    return users.where(F.size("us").between(min_users, max_users))
 
 
 def _band_user_pairs(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
     """``(item_i, item_j, u, v)`` with u < v for every item pair whose support is in the band.
 
-    Pairs are counted with a partial aggregate, the band's pairs are joined back to their users, and
-    only then are users gathered, at most ``max_users`` per pair; their 2-combinations come from
-    the sorted array without a self-join.
+    The 2-combinations of a pair's users, at most ``max_users``, come from the sorted array without a self-join.
     """
-    band = _support_band(pu, min_users, max_users).select("item_i", "item_j")
-    held = pu.join(band, ["item_i", "item_j"], "left_semi")
-    users = held.groupBy("item_i", "item_j").agg(F.array_sort(F.collect_list("user_id")).alias("us"))
-    first = users.select("item_i", "item_j", "us", F.posexplode("us").alias("p", "u"))
+    first = _pair_users(pu, min_users, max_users).select("item_i", "item_j", "us", F.posexplode("us").alias("p", "u"))
     return first.select("item_i", "item_j", "u",
                         F.explode(F.slice("us", F.col("p") + 2, max_users)).alias("v"))
 
@@ -129,8 +152,8 @@ def swing_scores(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
     pair, at most one per two of its ``max_users`` users, are added in ascending order, so the
     score does not depend on how rows were shuffled.
     """
-    ui, pu = _swing_user_pairs(orders, min_rows, min_users)
-    up = _band_user_pairs(pu, min_users, max_users)
+    ui = _active_baskets(orders, min_rows)
+    up = _band_user_pairs(_swing_user_pairs(ui, min_users), min_users, max_users)
     overlap = _user_overlaps(up.select("u", "v").distinct(), ui, max_array)
     terms = (up.join(overlap, ["u", "v"])
              .groupBy("item_i", "item_j")
@@ -159,7 +182,8 @@ def swing(orders: DataFrame, catalog: DataFrame, min_rows: int = 2, min_users: i
     both = symmetrize(j, "main_offer", "sim_offer", keep=["score"])
     best = both.groupBy("main_offer", "sim_offer").agg(F.max("score").alias("score"))
     w = Window.partitionBy("main_offer").orderBy(F.col("score").desc(), F.col("sim_offer").asc())
-    ranked = (best.withColumn("rank", F.row_number().over(w))
+    # The length counts up to what decides, so a popular offer's list is cut before it is shuffled.
+    ranked = (best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= max(depth, min_len))
               .withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("main_offer"))))
     return (ranked.where((F.col("rank") <= depth) & (F.col("n") >= min_len))
             .select("main_offer", F.col("rank").cast("bigint").alias("rank"), "sim_offer", "score"))

@@ -21,6 +21,7 @@ from recsift.operators import filters as flt
 from recsift.operators import rerank as rr
 from recsift.operators import similarity as sim
 from recsift.sources import fixtures as fx
+from recsift.sources import tables
 from recsift.sources import text_io as tio
 
 QUERIES: dict = {}
@@ -140,16 +141,17 @@ def _item_sim(spark, d, fan=False):
     return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d, fan))
 
 
-def _offers(spark, d, distinct=True, fan=False):
-    return rr.translate_and_filter(_item_sim(spark, d, fan), _servable(spark, d, fan), fx.catalog(spark, d, fan), distinct)
+def _offers(spark, d, distinct=True, fan=False, item_sim=None):
+    item_sim = _item_sim(spark, d, fan) if item_sim is None else item_sim
+    return rr.translate_and_filter(item_sim, _servable(spark, d, fan), fx.catalog(spark, d, fan), distinct)
 
 
-def _price_lists(spark, d, fan=False):
-    return rr.price_rerank(_offers(spark, d, fan=fan), fx.catalog(spark, d, fan))
+def _price_lists(spark, d, fan=False, offers=None):
+    return rr.price_rerank(_offers(spark, d, fan=fan) if offers is None else offers, fx.catalog(spark, d, fan))
 
 
-def _ctr_lists(spark, d):
-    return rr.ctr_rerank(_offers(spark, d, distinct=False), _ctr(spark, d, "plain"), fx.catalog(spark, d))
+def _ctr_lists(spark, d, item_sim=None):
+    return rr.ctr_rerank(_offers(spark, d, distinct=False, item_sim=item_sim), _ctr(spark, d, "plain"), fx.catalog(spark, d))
 
 
 @query
@@ -167,9 +169,15 @@ def ctr_rerank(spark, d):
     return _ctr_lists(spark, d)
 
 
+def _extensions(spark, d):
+    """Both lists come from one stored similarity table, so it is planned and made once."""
+    s = tio.stage(_item_sim(spark, d), "item_sim")
+    return rr.extend_lists(base=_ctr_lists(spark, d, s), new=_price_lists(spark, d, offers=_offers(spark, d, item_sim=s)))
+
+
 @query
 def extend_lists(spark, d):
-    return rr.extend_lists(base=_ctr_lists(spark, d), new=_price_lists(spark, d))
+    return _extensions(spark, d)
 
 
 def _candidates(spark, d):
@@ -297,6 +305,14 @@ def sequence_features(spark, d):
     return feat.with_sequence_features(t, ["Sq:sq"]).drop("predictor_json")
 
 
+@query
+def feature_defaults(spark, d):
+    """Features read with defaults: ``Se`` and ``Zz`` lack in some or all bags, ``Sm`` is empty in some."""
+    t = _tlog_map(spark, d)
+    return t.select("trace_id", "user_id", "offer_id", feat.read_feature("Se").alias("s_se"), feat.read_feature("Sm", "int").alias("i_sm"),
+                    feat.read_feature("Sf", "float").alias("x_sf"), feat.read_feature("Zz").alias("s_zz"), feat.read_feature("Zz", "float").alias("x_zz"))
+
+
 @query
 def label_dedup(spark, d):
     return feat.label_dedup(fx.train_log(spark, d, TRAIN_START, TRAIN_END), TRAIN_START, TRAIN_END)
@@ -329,9 +345,10 @@ def co_click_edges(spark, d):
 
 
 # ---- evaluation ------------------------------------------------------------------------------------
-def _ordered_offers(spark, d):
+def _ordered_offers(spark, d, offers=None):
     """Offer pairs whose ``rank`` ascends along each list: the evaluation orders only what it keeps."""
-    return _offers(spark, d).select("main_offer", (-F.col("score")).alias("rank"), "sim_offer")
+    offers = _offers(spark, d) if offers is None else offers
+    return offers.select("main_offer", (-F.col("score")).alias("rank"), "sim_offer")
 
 
 def _rounded(df, *cols):
@@ -357,7 +374,8 @@ def ndcg_summary(spark, d):
 
 @query
 def evaluate_many(spark, d):
-    return _rounded(ev_.evaluate_many({"cf_offers": _ordered_offers(spark, d), "price_rerank": _price_lists(spark, d)},
+    offers = tio.stage(_offers(spark, d), "offers")  # both list sets are made of it
+    return _rounded(ev_.evaluate_many({"cf_offers": _ordered_offers(spark, d, offers), "price_rerank": _price_lists(spark, d, offers=offers)},
                                       _relevance(spark, d), k=40), *SUMMARY)
 
 
@@ -373,8 +391,13 @@ def _window_start_s() -> int:
     return dates.window_start_seconds(AS_OF, LOOKBACK_DAYS)
 
 
+def _stored_candidates(spark, d):
+    """Candidates give the triggers and their entries: stored, they are made once."""
+    return tio.stage(_candidates(spark, d), "candidates")
+
+
 def _user_lists(spark, d):
-    return rec.user_recommendations(_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
+    return rec.user_recommendations(_stored_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
                                     save_count=300, min_limit=10)
 
 
@@ -383,14 +406,14 @@ def user_recommendations_by_category(spark, d):
     """Triggers joined on the item's category: a user's items of one category share a list."""
     cat = fx.catalog(spark, d).select("item_id", F.col("subcate_id").alias("category"))
     items = _candidates(spark, d).join(cat, F.col("main_id") == F.col("item_id")).groupBy("category", "sim_id").agg(F.max("score").alias("score"))
-    lists = rr.top_candidates(items.withColumnRenamed("category", "main_id"), None, n=60)
+    lists = tio.stage(rr.top_candidates(items.withColumnRenamed("category", "main_id"), None, n=60), "category_lists")
     b = beh.latest_behaviour(_behaviour(spark, d)).join(cat, "item_id")
     return rec.user_recommendations(lists, b, save_count=40, min_limit=10, join_key="category")
 
 
 @query
 def trigger_quota(spark, d):
-    return rec.trigger_quota(_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
+    return rec.trigger_quota(_stored_candidates(spark, d), beh.latest_behaviour(_behaviour(spark, d)),
                              save_count=300, min_limit=10, window_start_s=_window_start_s())
 
 
@@ -451,7 +474,7 @@ def staged_roundtrip(spark, d):
 @query
 def extension_roundtrip(spark, d):
     path = tio.scratch_path(spark, "extension")
-    tio.write_extensions(rr.extend_lists(base=_ctr_lists(spark, d), new=_price_lists(spark, d)), path)
+    tio.write_extensions(_extensions(spark, d), path)
     return tio.read_extensions(spark, path)
 
 
@@ -469,6 +492,15 @@ def sentence_roundtrip(spark, d):
     return spark.read.text(path).select(F.col("value").alias("sentence"))
 
 
+@query
+def dated_table_roundtrip(spark, d):
+    """Valid interactions written in folders by day; a range of days read back."""
+    path = tio.scratch_path(spark, "dated")
+    tables.save(valid_interactions(spark, d), path)
+    t = tables.load(spark, path, ["user_id", "item_id", "offer_id", "event_time", "ymd"], "ymd", "20240112", "20240118")
+    return t.withColumn("ymd", F.col("ymd").cast("string"))  # folder names are read as numbers
+
+
 @query
 def feature_roundtrip(spark, d):
     path = tio.scratch_path(spark, "features")

@@ -28,3 +28,14 @@ def load(spark: SparkSession, path: str, columns: Sequence[str] | None = None, d
             df = df.where(c >= F.lit(start).cast(kind)) if start else df
             df = df.where(c <= F.lit(end).cast(kind)) if end else df
     return df.select(*columns) if columns else df
+
+
+def save(df: DataFrame, path: str, date_col: str = "ymd", mode: str = "overwrite") -> None:
+    """Parquet folders ``date_col=value`` under ``path``, as ``load`` prunes them.
+
+    With ``overwrite`` only the dates in ``df`` are replaced, so a day can be written again alone. Rows are
+    dealt so that a date goes to few files: tasks write whole ranges of dates, and a date too large
+    for one task is several.
+    """
+    own = df.repartition(F.col(date_col), F.pmod(F.xxhash64(*[c for c in df.columns if c != date_col] or [date_col]), F.lit(8)))
+    own.write.partitionBy(date_col).option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path)

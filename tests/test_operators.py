@@ -53,6 +53,15 @@ def test_item_cf_is_symmetric_and_bounded_by_norms(spark):
         assert r.co <= max(r.nor_i, r.nor_j) + 1
 
 
+def test_stage_counts_of_full_and_empty_inputs(spark):
+    inter, cat = _cf_inputs(spark, heavy_rows=3000)
+    got = {r.stage: r.rows for r in similarity.item_cf_stage_counts(inter, cat).collect()}
+    assert got == {"interactions": 3023, "active_users": 6, "supported_items": 4, "pair_base": 33, "directed_pairs": 4}
+    got = {r.stage: r.rows for r in similarity.item_cf_stage_counts(inter, cat.limit(0)).collect()}
+    assert got == {"interactions": 3023, "active_users": 6, "supported_items": 4, "pair_base": 0, "directed_pairs": 0}
+    assert {r.rows for r in similarity.item_cf_stage_counts(inter.limit(0), cat).collect()} == {0}
+
+
 def test_ctr_policies(spark):
     ev = []
     def add(offer, ev_name, n):
@@ -200,6 +209,24 @@ def test_swing_overlap_chunking_is_exact(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def test_swing_overlap_of_a_basket_of_100000_items_is_exact(spark):
+    """Chunks nest: a basket of 256 chunks meets one of 1 and one of 2 chunks, each item counted once."""
+    items = spark.range(100_000).select(F.concat(F.lit("i"), F.col("id").cast("string")).alias("item_id"), "id")
+    ui = items.select(F.lit("big").alias("user_id"), "item_id").unionByName(items.where("id % 100 < 1").select(F.lit("mid").alias("user_id"), "item_id"))
+    ui = ui.unionByName(items.where("id % 20000 = 3").select(F.lit("few").alias("user_id"), "item_id"))
+    needed = spark.createDataFrame([("big", "mid"), ("big", "few"), ("few", "mid"), ("big", "big")], "u string, v string")
+    got = _rows(similarity._user_overlaps(needed, ui, 512), "u", "v", "overlap")
+    assert got == [("big", "big", 100_000), ("big", "few", 5), ("big", "mid", 1000), ("few", "mid", 0)]
+
+
+def test_users_of_a_popular_pair_are_cut_not_gathered(spark):
+    rows = [(f"u{k:05d}", "A", "B") for k in range(5000)] + [(f"u{k:05d}", "A", "C") for k in range(99)] + [("u1", "B", "C"), ("u2", "B", "C")]
+    pu = spark.createDataFrame(rows, "user_id string, item_i string, item_j string").repartition(8)
+    users = similarity._pair_users(pu, 3, 99)
+    assert [(r.item_i, r.item_j, len(r.us)) for r in users.collect()] == [("A", "C", 99)]
+    assert "WindowGroupLimit" in users._jdf.queryExecution().executedPlan().toString()
+
+
 def test_category_key_shares_a_list_between_triggers(spark):
     cands = _cands(spark, {"c1": ["a", "b"], "c2": ["b", "z"]})
     beh = spark.createDataFrame([("u", "i1", "c1", 2, 50), ("u", "i2", "c1", 2, 40), ("u", "i3", "c2", 1, 60)],
@@ -240,6 +267,51 @@ def test_frequency_index_is_the_global_rank(spark):
     assert got == {v: (count[v], i) for i, v in enumerate(order)}
 
 
+def test_frequency_index_of_values_seen_once_with_a_common_prefix_spreads(spark):
+    values = spark.range(40_000).select(F.concat(F.lit("same-prefix-"), F.lpad(F.col("id").cast("string"), 8, "0")).alias("v"))
+    kept = {}
+    stage = features.stage
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # these few rows would be one partition
+    try:
+        features.stage = lambda df, name: kept.setdefault("t", stage(df, name))
+        got = features.frequency_index(values, "v").orderBy("idx").collect()
+    finally:
+        features.stage = stage
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert [r.v for r in got] == sorted(r.v for r in got) and [r.idx for r in got] == list(range(40_000))
+    sizes = [r["count"] for r in kept["t"].groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 30_000
+
+
+def test_extension_marks_and_lists_of_one_side(spark):
+    schema = "main_offer string, rank bigint, sim_offer string"
+    new = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 3, "z")], schema)
+    base = spark.createDataFrame([("a", 1, "z"), ("a", 2, "x"), ("only_base", 1, "x")], schema)
+    assert _rows(rerank.extend_lists(base, new, depth=2), "main_offer", "pos", "sim_offer", "has_base") == [("a", 1, "y", 1)]
+    assert rerank.extend_lists(base, new.limit(0)).collect() == []
+
+
+def test_quota_of_zero_keeps_the_trigger(spark):
+    cands = _cands(spark, {"t1": ["a", "b"], "t2": ["a", "c"]})
+    out = recommend.user_recommendations(cands, _beh(spark, [("u", "t1", 1, 10), ("u", "t2", 1, 5)]), save_count=1, min_limit=1)
+    assert _rows(out, "tpos", "trigger_item", "pos", "item_id") == [(1, "t1", None, None), (2, "t2", None, None)]
+
+
+def test_features_read_with_defaults(spark):
+    rows = [(1, '{"s": "x", "i": 7, "f": 2.5}'), (2, '{"s": null, "i": null, "f": null}'), (3, "{}"), (4, None), (5, '{"s": "", "i": "no", "f": " 3 "}')]
+    t = spark.createDataFrame(rows, "id int, predictor_json string").withColumn("fmap", features.feature_map())
+    got = _rows(t.select("id", features.read_feature("s").alias("s"), features.read_feature("i", "int").alias("i"), features.read_feature("f", "float").alias("f")), "id", "s", "i", "f")
+    assert got == [(1, "x", 7, 2.5), (2, "null", 0, 0.0), (3, "None", 0, 0.0), (4, "None", 0, 0.0), (5, "", 0, 3.0)]
+
+
+def test_a_day_is_written_again_alone(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.save(spark.createDataFrame([("20240101", 1), ("20240102", 2)], "ymd string, n int"), path)
+    tables.save(spark.createDataFrame([("20240102", 5), ("20240103", 3)], "ymd string, n int"), path)
+    got = tables.load(spark, path, ["ymd", "n"], "ymd", "20240101", "20240103")
+    assert sorted((str(r.ymd), r.n) for r in got.collect()) == [("20240101", 1), ("20240102", 5), ("20240103", 3)]
+
+
 def test_text_sinks(spark, tmp_path):
     df = spark.createDataFrame([("m1", 2, "b", 0), ("m1", 1, "a", 0), ("m2", None, None, 1)], "main_offer string, pos bigint, sim_offer string, has_base int")
     text_io.write_extensions(df, str(tmp_path / "x"))
