@@ -45,11 +45,10 @@ def labelled(labels: DataFrame, bound: int = MAX_LABELS) -> dict[str, np.ndarray
     """
     one = labels.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     rows = one.where("quality IS NOT NULL OR toxic IS NOT NULL").select(
-        "doc_id", F.coalesce("quality", F.lit(1)).alias("quality"), F.coalesce("toxic", F.lit(0)).alias("toxic"), F.xxhash64("doc_id").alias("h")).orderBy(
-        "h").limit(bound).toPandas().sort_values("doc_id")
-    h = rows.h.to_numpy(np.int64)
-    return {"id": rows.doc_id.to_numpy(np.int64), "good": (rows.quality.to_numpy() > 0) & (rows.toxic.to_numpy() == 0), "toxic": rows.toxic.to_numpy() > 0,
-            "held_out": (h.view(np.uint64) >> np.uint64(40)) % np.uint64(HELD_OUT) == 0}
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("quality", F.lit(1)).cast("long").alias("quality"), F.coalesce("toxic", F.lit(0)).cast("long").alias("toxic"),
+        F.xxhash64("doc_id").alias("h")).orderBy("h").limit(bound).toArrow().sort_by("doc_id")
+    ids, quality, toxic, h = (rows[c].to_numpy() for c in ("doc_id", "quality", "toxic", "h"))
+    return {"id": ids, "good": (quality > 0) & (toxic == 0), "toxic": toxic > 0, "held_out": (h.view(np.uint64) >> np.uint64(40)) % np.uint64(HELD_OUT) == 0}
 
 
 def positions(ids: pa.Array, known: np.ndarray) -> np.ndarray:
@@ -198,16 +197,16 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
     scores = staged(weighed(), "weights")
     per_root = F.col("gumbel_key") / F.sqrt(F.greatest("n_words", F.lit(1)))
-    seen = scores.where("held_out > 0").groupBy("doc_id").agg(F.max(F.struct("held_out", "toxicity", per_root.alias("key"))).alias("x")).select("x.*").toPandas()  # at most max_labels rows
-    good = seen[seen.held_out == 1]
-    most = toxic_limit(good.toxicity.to_numpy(), seen[seen.held_out == 2].toxicity.to_numpy(), keep_good)
+    seen = scores.where("held_out > 0").groupBy("doc_id").agg(F.max(F.struct("held_out", "toxicity", per_root.alias("key"))).alias("x")).select("x.*").toArrow()  # at most max_labels rows
+    which, toxicity, own_key = (seen[c].to_numpy() for c in ("held_out", "toxicity", "key"))
+    most = toxic_limit(toxicity[which == 1], toxicity[which == 2], keep_good)
     drawn = F.col("gumbel_key") - F.when(F.col("toxicity") > most, LAST).otherwise(0.0)
     if k is not None:
         own_keys = scores.select(drawn.alias("gumbel_key"))
         limit = kth_largest(own_keys, "gumbel_key", k) if 0 < k < scores.count() else (np.inf if k <= 0 else -np.inf)
         kept = drawn >= float(limit)
     else:
-        keys = good[good.toxicity <= most].key.to_numpy()
+        keys = own_key[(which == 1) & (toxicity <= most)]
         kept = F.col("toxicity") <= most
         if len(keys) and n[1].sum():
             kept &= per_root >= float(np.quantile(keys, 1 - keep_good, method="inverted_cdf"))

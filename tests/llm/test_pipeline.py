@@ -2,7 +2,7 @@ import numpy as np
 
 import corpus_pipeline as cp
 from recsift.llm import importance
-from recsift.llm.soft_mixing import DOMAINS, TARGETS
+from recsift.llm.soft_mixing import DOMAINS
 from recsift.llm.trigram_secrets import BASE
 from tests.llm import brute
 from tests.llm.test_simhash_gph import expected as components
@@ -58,5 +58,10 @@ def test_run_and_edge_rows(spark, tmp_path):
 
 def test_totals_are_the_targets_or_the_nearest(spark):
     last = cp.run(spark, SF).toPandas()
-    p = last[[f"p_{d}" for d in DOMAINS]].to_numpy()
-    assert best(p, last.tokens.to_numpy(float), last.rate.to_numpy(), np.array([TARGETS[d] for d in DOMAINS]))
+    p, n, rate = last[[f"p_{d}" for d in DOMAINS]].to_numpy(), last.tokens.to_numpy(float), last.rate.to_numpy()
+    before = n @ p / n.sum()
+    share = np.array([0, before[1] * cp.FACTORS["low"], before[2] * cp.FACTORS["toxic"]])
+    share[0] = 1 - share.sum()
+    assert best(p, n, rate, share, cp.MAX_RATE)
+    assert np.allclose((rate * n) @ p / n.sum(), share, atol=1e-6)  # within reach
+    assert (rate[n > 0] > 0).mean() > 0.9
