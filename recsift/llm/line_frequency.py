@@ -1,8 +1,8 @@
 """Quality rules: base counts per text, and lines that too many documents of a host share.
 
 Lines are normalised (A-Z to lower case, digits to 0, white space to one space) and hashed. Per host,
-the distinct documents with a line are counted; lines in more than ``max(min_docs, share * documents
-of the host)`` are boilerplate and removed. A document that loses too many of its words is rejected.
+the distinct documents with a line are counted; lines in more than ``max_docs`` of them are boilerplate and
+removed, however large the host. A document that loses too many of its words is rejected.
 """
 
 from __future__ import annotations
@@ -51,8 +51,8 @@ def measures(text: str | None) -> tuple[int, int, int, int, int, dict[int, int]]
     return (len(words), len(text) - sum(map(text.count, SPACE)), sum(map(text.count, SYMBOLS)), doubled, repeated_words(words), lines)
 
 
-def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", min_docs: int = 50,
-               share: float = 0.02, min_words: int = 50, max_repeat_pct: int = 50, max_removed_pct: int = 50) -> DataFrame:
+def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", max_docs: int = 50,
+               min_words: int = 50, max_repeat_pct: int = 50, max_removed_pct: int = 50) -> DataFrame:
     """One row per row of ``docs``: base counts, words lost to shared lines, and the verdict.
 
     ``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, removed_words,
@@ -78,9 +78,8 @@ def line_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         run, f"doc_id {kind}, host string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, lines array<struct<h:long,w:long>>")
     own = staged(measured.withColumn("row", F.monotonically_increasing_id()), "lines")
     each = own.select("row", "doc_id", "host", F.inline("lines"))
-    hosts = own.groupBy("host").agg((F.count_distinct("doc_id") + F.max(F.col("doc_id").isNull().cast("int"))).alias("docs"))
     counts = each.groupBy("host", "h", "doc_id").agg(F.lit(1).alias("one")).groupBy("host", "h").agg(F.count(F.lit(1)).alias("n"))
-    often = counts.where(F.col("n") > min_docs).join(hosts, "host").where(F.col("n") > F.col("docs") * share).select("host", "h")
+    often = counts.where(F.col("n") > max_docs).select("host", "h")
     lost = each.join(often, ["host", "h"]).groupBy("row").agg(F.sum("w").alias("removed_words"))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_pct * F.col("n_words"))
     removed = F.coalesce("removed_words", F.lit(0)).cast("long")

@@ -21,10 +21,7 @@ line AS (
 worded AS (
   SELECT row, doc_id, host, raw, regexp_replace(array_to_string(ws, ' '), '[0-9]', '0', 'g') AS line, len(ws) AS n FROM line WHERE len(ws) > 0),
 dup AS (SELECT row, count(*) - count(DISTINCT raw) AS n FROM worded GROUP BY row),
-hosts AS (SELECT host, count(DISTINCT doc_id) AS docs FROM base GROUP BY host),
-often AS (
-  SELECT host, line FROM worded JOIN hosts USING (host) GROUP BY host, line, docs
-  HAVING count(DISTINCT doc_id) > 50 AND count(DISTINCT doc_id) > docs * 0.02),
+often AS (SELECT host, line FROM worded GROUP BY host, line HAVING count(DISTINCT doc_id) > 50),
 lost AS (SELECT row, sum(n) AS n FROM worded JOIN often USING (host, line) GROUP BY row),
 all_ AS (
   SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
