@@ -1,11 +1,12 @@
 """Main text of web pages by tree scoring.
 
 A page is parsed into a tree (unclosed paragraphs and list items are closed as browsers do). Every
-block of text passes points for its length and commas to its ancestors, fewer the farther they are;
-a container's points are discounted by the share of its text that is link text. The container with
-the most points and those of its siblings that hold text of their own are kept. Menus, page headers,
+block of text passes points for its length and commas to its ancestors, half as many with each container
+on the way; a container's points are discounted by the share of its text that is link text. The container
+with the most points and all of its siblings whose text is not mostly links are kept. Menus, page headers,
 footers, side columns, notices, adverts, forms, scripts, styles and reader comments are cut out first
-and never score.
+and never score; what a class or id alone calls so is not cut if it holds nearly all of the page's text. Sums run
+once over the tree, so a page costs time in proportion to its size, however deep it nests.
 """
 
 from __future__ import annotations
@@ -30,12 +31,16 @@ MARKS = frozenset("""ad ads advert adverts advertisement advertising alert banne
 complementary consent contentinfo cookie cookies disclaimer disqus footer gdpr header legal login masthead menu modal nav navbar
 navigation newsletter notice notices overlay pager pagination popup promo promoted promotion related replies respond share sharing
 sidebar signup skyscraper social sponsor sponsored subscribe subscription toolbar widget""".split())
+#: Of these the ones that also mark by ending a compound name, as in ``site-footer``; the others are often about the article.
+ENDINGS = MARKS - frozenset("header legal menu related replies respond share sharing social community consent alert notices".split())
+#: First parts of a compound name that deny or describe what follows.
+DENIED = frozenset("has hide is no non not off with without".split())
 #: An element that starts closes open elements of these kinds, unless one of the stops lies between.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
           "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"table", "tr"}), "th": ({"td", "th"}, {"table", "tr"}),
           "option": ({"option"}, {"select"})}
 CONTAINER = frozenset("article body blockquote center details div dl figure main ol section table td ul".split())
-WORD = re.compile(r"[A-Za-z]+")
+WORD = re.compile(r"[A-Za-z0-9]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
@@ -52,6 +57,7 @@ class Tree(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.root = self.now = Node("", "", None)
+        self.nodes = [self.root]  # parents before children
 
     def close(self) -> None:
         # An unfinished tag or reference at the end counts as text unless it is a tag.
@@ -72,6 +78,7 @@ class Tree(HTMLParser):
             self._leave(*CLOSES[tag])
         new = Node(tag, " ".join(v for k, v in attrs if k in ("class", "id", "role") and v), self.now)
         self.now.kids.append(new)
+        self.nodes.append(new)
         if tag not in VOID:
             self.now = new
 
@@ -86,11 +93,31 @@ class Tree(HTMLParser):
         self.now.kids.append(data)
 
 
-def _unwanted(n: Node, in_article: bool) -> bool:
-    if n.tag in CUT or n.tag == "header" and not in_article:
-        return True
-    return bool(n.marks) and n.tag not in ("html", "body", "article", "main") and not MARKS.isdisjoint(
-        w.lower() for w in WORD.findall(CAMEL.sub(" ", n.marks)))
+def marked(names: str) -> bool:
+    """Whether a name in class, id or role says that the element is not article text.
+
+    A name does if it is one of ``MARKS`` as a whole, or is compound and ends with one of ``ENDINGS``,
+    unless its first part denies it: ``sidebar`` and ``left-sidebar`` do, ``no-sidebar`` and ``related-work`` do not.
+    """
+    for name in names.split():
+        if name.lower() in MARKS:
+            return True
+        parts = [w.lower() for w in WORD.findall(CAMEL.sub(" ", name))]
+        if len(parts) > 1 and parts[-1] in ENDINGS and parts[0] not in DENIED:
+            return True
+    return False
+
+
+def unwanted(tree: Tree) -> set[Node]:
+    """The elements to cut out: by their kind, or by their names unless nearly all of the page's text is in them."""
+    size = dict.fromkeys(tree.nodes, 0)
+    for n in reversed(tree.nodes):
+        if n.tag not in CUT:
+            size[n] += sum(len(k.strip()) for k in n.kids if isinstance(k, str))
+            if n.up is not None:
+                size[n.up] += size[n]
+    whole = size[tree.root]
+    return {n for n in tree.nodes if n.tag in CUT or n.marks and n.tag not in ("html", "body", "article", "main") and 10 * size[n] <= 9 * whole and marked(n.marks)}
 
 
 class Block:
@@ -100,7 +127,7 @@ class Block:
         self.parts, self.up, self.linked = [], up, 0
 
 
-def blocks(root: Node) -> list[Block]:
+def blocks(root: Node, cut: set[Node]) -> list[Block]:
     """The blocks of text in page order, without the parts that are cut out. Not recursive: pages may nest deeply."""
     out, todo = [], [(root, False, False)]
     now = Block(root)
@@ -115,7 +142,7 @@ def blocks(root: Node) -> list[Block]:
             out.append(now)
             now = Block(n.up)
             continue
-        if _unwanted(n, in_article):
+        if n in cut or n.tag == "header" and not in_article:
             if n.tag in BLOCK:
                 out.append(now)
                 now = Block(now.up)
@@ -141,42 +168,43 @@ def main_text(html: str | None) -> str:
     tree.feed(html)
     tree.close()
     found = []
-    for b in blocks(tree.root):
+    for b in blocks(tree.root, unwanted(tree)):
         if text := " ".join("".join(b.parts).split()):
             found.append((b, text))
-    length: dict[Node, int] = {}
-    linked: dict[Node, int] = {}
+    length, linked, whole, passed = ({} for _ in range(4))
     for b, text in found:
         points = 1 + text.count(",") + min(len(text) / 100, 3.0)
-        n, far = b.up, 0
-        while n is not None:
-            length[n] = length.get(n, 0) + len(text)
-            linked[n] = linked.get(n, 0) + min(b.linked, len(text))
-            if n.tag in CONTAINER:
-                # A whole article element gets all of its blocks' points, however deep they lie.
-                n.points += points if n.tag in ("article", "main") else points / (far + 1)
-                far += 1
-            n = n.up
-    scored = [(n.points * (1 - linked[n] / length[n]), n) for n in length if n.tag in CONTAINER]
+        for sums, x in ((length, len(text)), (linked, min(b.linked, len(text))), (whole, points), (passed, points)):
+            sums[b.up] = sums.get(b.up, 0) + x
+    scored = []
+    for n in reversed(tree.nodes):  # children before parents
+        if n not in length:
+            continue
+        if n.tag in CONTAINER:
+            # A whole article element gets all of its blocks' points, however deep they lie.
+            n.points = whole[n] if n.tag in ("article", "main") else passed[n]
+            passed[n] /= 2
+            scored.append((n.points * (1 - linked[n] / length[n]), n))
+        if n.up is not None:
+            for sums in (length, linked, whole, passed):
+                sums[n.up] = sums.get(n.up, 0) + sums[n]
     if not scored:
         return "\n".join(t for _, t in found)
-    top, best = max(scored, key=lambda x: x[0])  # ties: the first one met, which is the inner one of the earlier block
-    worth = dict((n, s) for s, n in scored)
+    scored.reverse()
+    # Ties: the last one met in page order, which is the inner one.
+    top = max(score for score, _ in scored)
+    best = next(n for score, n in reversed(scored) if score == top)
     keep = {best}
     for k in best.up.kids if best.up is not None and best.tag != "body" else ():
-        if isinstance(k, Node) and k in length and linked[k] < 0.25 * length[k] and (
-                worth.get(k, 0) >= 0.2 * top or k.tag in ("p", "pre", "h1", "h2", "h3", "h4", "h5", "h6")):
+        if isinstance(k, Node) and k in length and 4 * linked[k] < length[k]:
             keep.add(k)
     if best.tag != "body" and best.up is not None and best.up.tag in ("article", "main", "section"):
         keep.add(best.up)
-    out = []
-    for b, text in found:
-        n = b.up
-        while n is not None and n not in keep:
-            n = n.up
-        if n is not None:
-            out.append(text)
-    return "\n".join(out)
+    inside = set()
+    for n in tree.nodes:  # parents before children
+        if n in keep or n.up in inside:
+            inside.add(n)
+    return "\n".join(text for b, text in found if b.up in inside)
 
 
 def extract(pages: DataFrame) -> DataFrame:

@@ -31,12 +31,24 @@ def test_query_finds_every_article(spark):
     (f"<article><header><h1>T</h1></header><p>{P}</p><form>f</form><div class=ad>buy</div></article><div class='cookie-notice'>{P * 4}</div>", f"T\n{P.strip()}"),
     (f"<table><tr><td><a href=x>{P}</a><td>{P}{P}</table>", (P * 2).strip()),
     (f"<article><p>a<b>b</p>c<br>d <!-- no --><style>s</style></article>", "ab\nc d"),
+    (f"<body><nav>menu</nav><div class='content no-sidebar'><h1>T</h1><p>{P}</p></div></body>", f"T\n{P.strip()}"),
+    (f"<body><div class='post-header'><h1>T</h1><p>{P}</p><p>{P}</p></div><footer>f</footer></body>", f"T\n{P.strip()}\n{P.strip()}"),
+    ("<body><div>" + f"<div><p>{P * 3}</p></div>" * 10 + "<div><p>The end.</p></div></div></body>", "\n".join([(P * 3).strip()] * 10 + ["The end."])),
+    (f"<article><p>{P}</p><section class='related-work'><p>{P}</p></section><div class='social-policy'><p>{P}</p></div></article>", "\n".join([P.strip()] * 3)),
+    (f"<body><div><p>{P}</p></div><div class='left-sidebar'>{P}</div><div class='siteFooter'>{P}</div><div><a href=x>{P}</a></div></body>", P.strip()),
     ("<div>" * 3000 + P + "</div>" * 3000, P.strip()),
 ])
 def test_pages(page, text):
     assert html_main.main_text(page) == text
 
 
+def test_time_grows_with_the_page_alone():
+    import time
+    deep = "<body>" + f"<div><p>{P}</p>" * 20_000 + "</div>" * 20_000
+    began = time.perf_counter()
+    assert html_main.main_text(deep).count("\n") > 10 and time.perf_counter() - began < 20
+
+
 def test_edge_rows(spark):
     rows = [(None, None, None, "x"), (1, "u", "", "x"), (1, "u", f"<p>{P * 20_000}", "x"), (1, "u", "<p>é&nbsp;è", "x")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
