@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over ``documents``, each an operator of ``recsift.llm``.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns what it keeps, with the columns of ``documents``;
-the last adds the mixing columns. Between stages the rows are written and read again.
+the last adds the mixing columns. Other columns of the input are not carried along. Between stages the
+rows are written and read again.
 """
 
 from __future__ import annotations
@@ -13,6 +14,8 @@ from recsift.llm import importance, simhash_gph, simhash_windows, soft_mixing, t
 from recsift.llm.common import staged
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: The mixture holds half of the input's expected low and toxic tokens, and draws no document more than four times.
+FACTORS, MAX_RATE = {"low": 0.5, "toxic": 0.5}, 4.0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +50,11 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds to every document its tokens, domain posteriors and the rate at which to draw it."""
-    mixed = soft_mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=COLUMNS[1:])
+    """Adds to every document its tokens, domain posteriors and the rate at which to draw it; none is dropped.
+
+    The earlier stages have removed most low and toxic text, so targets are set against what is left.
+    """
+    mixed = soft_mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=COLUMNS[1:], most=MAX_RATE, factors=FACTORS)
     return mixed.select(*COLUMNS, "tokens", *(f"p_{d}" for d in soft_mixing.DOMAINS), "rate")
 
 
