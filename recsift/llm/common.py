@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from recsift.plans.session import staging_dir
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+def staged(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage: what is computed twice from the result is not computed twice, and a lost
@@ -17,7 +17,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{staging_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

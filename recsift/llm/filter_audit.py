@@ -1,8 +1,9 @@
 """How five document filters interact, from a sparse document-term matrix.
 
 Documents are cut into shards of bounded text. A shard is a block of rows of the document-term matrix in CSR
-form: row pointers, column indices, counts. Its own distinct words travel once to a global dictionary that
-numbers all words of the corpus from 0, and the numbers travel back, so words are hashed and shuffled once
+form: row pointers, column indices, counts. Its own distinct words, sorted and dealt over buckets by their
+hash, travel once to a global dictionary, a row for each bucket; there equal words get one number, and the
+numbers travel back in the same order and replace the shard's own. Words are thus hashed and shuffled once
 per shard, not once per occurrence. The length of a document is the sum of its row, its number of
 distinct words the count of its entries; they decide filters A and B. The other flags are attached, and
 documents are counted by source and set of failed filters: all that the 120 orders need.
@@ -11,12 +12,13 @@ documents are counted by source and set of failed filters: all that the 120 orde
 from __future__ import annotations
 
 import hashlib
-from collections import Counter, defaultdict
+import zlib
 from collections.abc import Iterator
 from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,62 +32,87 @@ UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MARKS = "#$%&*|"
 
 
+def _counted(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, list[str]]:
+    """CSR of ``texts`` (row pointers, indices, counts), the buckets that hold words, and the words of each, sorted
+    and joined by blanks; indices count through these."""
+    lists = pc.ascii_split_whitespace(texts)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary
+    row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy(zero_copy_only=False))
+    own = coded.indices.to_numpy(zero_copy_only=False)
+    real = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # blanks at either end leave an empty word
+    row, own = row[real[own]], own[real[own]]
+    in_order = pc.sort_indices(words).to_numpy()
+    in_order = in_order[real[in_order]]
+    words = words.take(pa.array(in_order))
+    bucket = np.fromiter((zlib.crc32(w) for w in words.cast(pa.large_binary()).to_pylist()), np.int64, len(words)) % buckets
+    by_bucket = np.argsort(bucket, kind="stable")
+    place = np.zeros(len(real), np.int64)
+    place[in_order[by_bucket]] = np.arange(len(by_bucket))
+    n = max(1, len(by_bucket))
+    entry, times = np.unique(row * n + place[own], return_counts=True)
+    found, first = np.unique(bucket[by_bucket], return_index=True)
+    words = words.take(pa.array(by_bucket))
+    blobs = [" ".join(words[lo:hi].to_pylist()) for lo, hi in zip(first, np.r_[first[1:], len(by_bucket)])]
+    return np.searchsorted(entry // n, np.arange(len(texts) + 1)), (entry % n).astype(np.int32), times.astype(np.int32), found.astype(np.int32), blobs
+
+
 def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", shard_bytes: int = SHARD_BYTES) -> DataFrame:
-    """``(shard, doc_id, part, fails, digest, indptr, indices, data, words)``, a row per shard; indices point into ``words``.
+    """``(shard, doc_id, part, fails, digest, indptr, indices, data, buckets, words)``, a row per shard.
 
-    ``fails`` says per document whether C (1) and D (2) fail; ``digest`` is the SHA-256 of the text. To be
-    stored before use, as the shard's number is that of the task.
+    ``indices`` count through the words of the shard, sorted inside buckets: ``words`` has a bucket's words,
+    joined by blanks, for each of ``buckets``. ``fails`` says per document whether C (1) and D (2) fail;
+    ``digest`` is the SHA-256 of the text. To be stored before use, as the shard's number is that of the task.
     """
     kind = docs.schema[id_col].dataType.simpleString()
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
         for b in batches:
+            every = pc.fill_null(b.column(1).cast(pa.large_string()), "")
+            upto = np.r_[0, np.cumsum(pc.binary_length(every).to_numpy(zero_copy_only=False))]
             start = 0
             while start < b.num_rows:
-                words: defaultdict[bytes, int] = defaultdict()
-                words.default_factory = words.__len__
-                indptr, indices, data, fails, digests, size, at = [0], [], [], bytearray(), [], 0, start
-                while at < b.num_rows and (size < shard_bytes or at == start):
-                    text = b.column(1)[at].as_py() or ""
+                end = max(start + 1, int(np.searchsorted(upto, upto[start] + shard_bytes, "right")) - 1)
+                texts = every.slice(start, end - start)
+                fails, digests = bytearray(), []
+                for text in texts.to_pylist():
                     raw = text.encode()
-                    counts = Counter(raw.split())  # bytes are split at ASCII white space alone
-                    indices.extend(map(words.__getitem__, counts))
-                    data.extend(counts.values())
-                    indptr.append(len(indices))
                     caps = len(raw) - len(raw.translate(None, UPPER))
                     fails.append((100 * caps > 2 * len(text)) + 2 * any(m in text for m in MARKS))
                     digests.append(hashlib.sha256(raw).digest())
-                    size, at = size + len(raw), at + 1
-                cols = [[shard], [b.column(0)[start:at]], [b.column(2)[start:at]], [bytes(fails)], [digests], [np.array(indptr, np.int64).tobytes()],
-                        [np.array(indices, np.int32).tobytes()], [np.array(data, np.int32).tobytes()], [list(words)]]
-                kinds = [pa.int64(), pa.list_(b.schema.field(0).type), pa.list_(pa.string()), pa.binary(), pa.list_(pa.binary()), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.string())]
-                cols[1], cols[2] = [cols[1][0].to_pylist()], [cols[2][0].to_pylist()]
-                yield pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds)], names=["shard", "doc_id", "part", "fails", "digest", "indptr", "indices", "data", "words"])
-                start, shard = at, shard + 1
+                indptr, indices, data, buckets, words = _counted(texts, n)
+                cells = [(shard, pa.int64()), (b.column(0).slice(start, end - start).to_pylist(), pa.list_(b.schema.field(0).type)), (b.column(2).slice(start, end - start).to_pylist(), pa.list_(pa.string())),
+                         (bytes(fails), pa.binary()), (digests, pa.list_(pa.binary())), (indptr.astype(np.int64).tobytes(), pa.binary()), (indices.tobytes(), pa.binary()),
+                         (data.tobytes(), pa.binary()), (buckets, pa.list_(pa.int32())), (words, pa.list_(pa.string()))]
+                yield pa.record_batch([pa.array([c], t) for c, t in cells], names=["shard", "doc_id", "part", "fails", "digest", "indptr", "indices", "data", "buckets", "words"])
+                start, shard = end, shard + 1
 
     taken = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"))
-    return taken.mapInArrow(run, f"shard long, doc_id array<{kind}>, part array<string>, fails binary, digest array<binary>, indptr binary, indices binary, data binary, words array<string>")
+    return taken.mapInArrow(run, f"shard long, doc_id array<{kind}>, part array<string>, fails binary, digest array<binary>, indptr binary, indices binary, data binary, "
+                                 "buckets array<int>, words array<string>")
 
 
-def dictionary(local: DataFrame) -> DataFrame:
-    """``(word, word_id)`` for every distinct word of ``shards``, numbered from 0 without gaps.
-
-    Words are dealt over buckets and numbered inside; a bucket's first number follows from the sizes of
-    those before it, one number per bucket.
-    """
+def _dealt(local: DataFrame) -> DataFrame:
+    """``(bucket, shard, at, word, rank)``: every shard's words, dealt over buckets while still joined, and the words' numbers in their bucket."""
+    sent = local.select("shard", F.explode(F.arrays_zip("buckets", "words")).alias("x")).select("shard", F.col("x.buckets").alias("bucket"), "x.words")
     n = int(local.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = local.select(F.explode("words").alias("word")).distinct().withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(n)).cast("int"))
-    placed = staged(words.withColumn("at", F.row_number().over(Window.partitionBy("bucket").orderBy("word"))), "words")
-    sizes = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))  # n rows
-    first = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("first"))
-    return placed.join(F.broadcast(first), "bucket").select("word", (F.col("first") + F.col("at") - 1).alias("word_id"))
+    each = sent.repartition(n, "bucket").select("bucket", "shard", F.posexplode(F.split("words", " ")).alias("at", "word"))
+    return each.withColumn("rank", F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")))
+
 
+def encoded(local: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``shards`` with ``indices`` turned into the 64-bit numbers of the global dictionary, and ``(bucket, first)``.
 
-def encoded(local: DataFrame, words: DataFrame) -> DataFrame:
-    """``shards`` with ``indices`` turned into the 64-bit numbers of the global dictionary, in place of ``words``."""
-    codes = local.select("shard", F.posexplode("words").alias("at", "word")).join(words, "word").groupBy("shard").agg(
-        F.sort_array(F.collect_list(F.struct("at", "word_id")))["word_id"].alias("codes"))  # a shard's own words
+    A word's number is its place in its bucket plus the sizes of the buckets before it, so numbers run from 0
+    without gaps. A shard's numbers travel as one row for each bucket.
+    """
+    ranks = _dealt(local).groupBy("bucket", "shard").agg(F.sort_array(F.collect_list(F.struct("at", "rank")))["rank"].alias("ranks"))
+    ranks = staged(ranks, "ranks", "zstd")
+    sizes = ranks.groupBy("bucket").agg(F.max(F.array_max("ranks")).cast("long").alias("n"))  # a row per bucket
+    first = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("first"))
+    codes = ranks.join(F.broadcast(first), "bucket").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "first", "ranks"))).alias("codes"))  # a shard's own words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -94,19 +121,25 @@ def encoded(local: DataFrame, words: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 codes = b.column("codes")[i].values
                 own = np.frombuffer(b.column(at)[i].as_py(), np.int32)
-                made.append(codes.to_numpy()[own].astype(np.int64).tobytes() if codes is not None else b"")
+                if codes is None:
+                    made.append(b"")
+                    continue
+                _, first_of, ranks = codes.flatten()
+                number = np.repeat(first_of.to_numpy(), ranks.value_lengths().to_numpy()) + ranks.flatten().to_numpy() - 1
+                made.append(number[own].astype(np.int64).tobytes())
             yield b.set_column(at, "indices", pa.array(made, pa.binary())).drop_columns(["codes"])
 
-    slim = local.drop("words")
+    slim = local.drop("buckets", "words")
     kinds = ", ".join(f"{c} {t}" for c, t in slim.dtypes)
-    return slim.join(codes, "shard", "left").select(*slim.columns, "codes").mapInArrow(run, kinds)
+    return slim.join(codes, "shard", "left").select(*slim.columns, "codes").mapInArrow(run, kinds), first
 
 
 def matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
-    """The document-term matrix of all ``docs`` as stored CSR shards, and its dictionary ``(word, word_id)``."""
-    local = staged(shards(docs, id_col, text_col, part_col, shard_bytes), "shards")
-    words = dictionary(local)
-    return staged(encoded(local, words), "csr"), words
+    """The document-term matrix of all ``docs`` as stored CSR shards, and its dictionary ``(word, word_id)``, made when used."""
+    local = staged(shards(docs, id_col, text_col, part_col, shard_bytes), "shards", "zstd")
+    csr, first = encoded(local)
+    words = _dealt(local).select("bucket", "word", "rank").distinct().join(F.broadcast(first), "bucket")
+    return staged(csr, "csr", "zstd"), words.select("word", (F.col("first") + F.col("rank") - 1).alias("word_id"))
 
 
 def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
