@@ -34,6 +34,8 @@ MAX_LABELS = 200_000
 HELD_OUT = 5
 #: Log ratio, toxic to good, from which an n-gram counts for toxicity.
 EVIDENCE = 1.0
+#: Scale of the noise against the tempered log weight.
+TEMPER = 0.05
 #: Taken off the keys of documents above the limit of toxicity, so that they are drawn after all others.
 LAST = 1e9
 
@@ -149,16 +151,19 @@ def kth_largest(scores: DataFrame, col: str, k: int, bins: int = 1024) -> float:
 
 def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int | None = None, keep_good: float = 0.98,
              seed: int = 7, max_labels: int = MAX_LABELS, keep: tuple[str, ...] = ()) -> DataFrame:
-    """``(doc_id, *keep, n_words, log_weight, gumbel_key, kept)`` for every row of ``docs``.
+    """``(doc_id, *keep, n_words, log_weight, gumbel_key, draw_key, kept)`` for every row of ``docs``.
 
     Rows above the limit of toxicity are drawn last: their keys are lowered by ``LAST``. The limit is where
     labelled good and toxic documents, held out from the models, are told apart best, but a share
     ``keep_good`` of the good ones pass (``toxic_limit``).
 
     ``kept`` marks the ``k`` rows with the largest keys (ties at the last place are all kept). Without
-    ``k`` it marks the rows up to the limit of toxicity whose key, over the root of the number of words,
-    reaches what a share ``keep_good`` of the held-out good documents up to that limit reach. Neither
-    limit moves with the length of a text. Without held-out labels of both kinds none is toxic.
+    ``k`` weights are tempered by length, so that long texts do not fill both ends of the order: the key
+    drawn by, ``draw_key``, is the log weight over the root of the number of words, plus ``TEMPER`` times the
+    noise, which draws in proportion to the exponential of the former over ``TEMPER``. The k largest keys
+    up to the limit of toxicity are kept; k is the rows times the share of all held-out labelled documents that
+    pass both that limit and the key which a share ``keep_good`` of the good ones among them reach. With ``k``
+    ``draw_key`` equals ``gumbel_key``. Without held-out labels of both kinds none is toxic.
 
     The target model comes from at most ``max_labels`` labelled rows of ``labels (doc_id, quality,
     toxic)``; the raw model, the weights and the selection cover every document and its whole text. Null
@@ -173,7 +178,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     n = counts(own, known["id"], np.where(known["held_out"], 0, kind), 2)
     ratio, toxic = (log_ratio(n[g], n[0]) if n[g].sum() else np.zeros(n.shape[1], np.float32) for g in (1, 2))
     ids = known["id"]
-    calibrate = np.where(known["held_out"], kind, 0).astype(np.int8)
+    calibrate = np.where(known["held_out"], np.where(kind > 0, kind, 3), 0).astype(np.int8)
     shared = docs.sparkSession.sparkContext.broadcast((ratio, np.where(toxic - ratio >= EVIDENCE, toxic - ratio, 0)))  # SIZE numbers each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,18 +201,21 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         return taken.mapInArrow(run, f"doc_id long, {kinds}n_words long, log_weight double, gumbel_key double, toxicity double, held_out byte")
 
     scores = staged(weighed(), "weights")
-    per_root = F.col("gumbel_key") / F.sqrt(F.greatest("n_words", F.lit(1)))
-    seen = scores.where("held_out > 0").groupBy("doc_id").agg(F.max(F.struct("held_out", "toxicity", per_root.alias("key"))).alias("x")).select("x.*").toArrow()  # at most max_labels rows
+    tempered = F.col("log_weight") / F.sqrt(F.greatest("n_words", F.lit(1))) + TEMPER * (F.col("gumbel_key") - F.col("log_weight"))
+    seen = scores.where("held_out > 0").groupBy("doc_id").agg(F.max(F.struct("held_out", "toxicity", tempered.alias("key"))).alias("x")).select("x.*").toArrow()  # at most max_labels rows
     which, toxicity, own_key = (seen[c].to_numpy() for c in ("held_out", "toxicity", "key"))
     most = toxic_limit(toxicity[which == 1], toxicity[which == 2], keep_good)
-    drawn = F.col("gumbel_key") - F.when(F.col("toxicity") > most, LAST).otherwise(0.0)
-    if k is not None:
-        own_keys = scores.select(drawn.alias("gumbel_key"))
-        limit = kth_largest(own_keys, "gumbel_key", k) if 0 < k < scores.count() else (np.inf if k <= 0 else -np.inf)
-        kept = drawn >= float(limit)
+    lowered = lambda key: key - F.when(F.col("toxicity") > most, LAST).otherwise(0.0)
+    rows = scores.count()
+    if k is None:
+        level, drawn = -np.inf, lowered(tempered)
+        good = own_key[(which == 1) & (toxicity <= most)]
+        if len(good) and n[1].sum():
+            level = float(np.quantile(good, 1 - keep_good, method="inverted_cdf"))
+        passed = (toxicity <= most) & (own_key >= level)
+        wanted = round(rows * float(passed.mean())) if len(passed) else rows
     else:
-        keys = own_key[(which == 1) & (toxicity <= most)]
-        kept = F.col("toxicity") <= most
-        if len(keys) and n[1].sum():
-            kept &= per_root >= float(np.quantile(keys, 1 - keep_good, method="inverted_cdf"))
-    return (weighed(*keep) if keep else scores).select("doc_id", *keep, "n_words", "log_weight", drawn.alias("gumbel_key"), kept.alias("kept"))
+        wanted, drawn = k, lowered(F.col("gumbel_key"))
+    limit = kth_largest(scores.select(drawn.alias("key")), "key", wanted) if 0 < wanted < rows else (np.inf if wanted <= 0 else -np.inf)
+    kept = (drawn >= float(limit)) & ((F.col("toxicity") <= most) if k is None else F.lit(True))
+    return (weighed(*keep) if keep else scores).select("doc_id", *keep, "n_words", "log_weight", lowered(F.col("gumbel_key")).alias("gumbel_key"), drawn.alias("draw_key"), kept.alias("kept"))

@@ -117,6 +117,17 @@ def test_toxic_text_is_rejected_at_any_length(spark):
     assert share([i for i, q, t in rows if not q]) < 0.03
 
 
+def test_query_draws_the_largest_keys_below_the_limit(spark):
+    got = queries.QUERIES["op5_importance"](spark, "/root/testdata/sf0.01").collect()
+    allowed = sorted((r.draw_key for r in got if r.draw_key > -importance.LAST / 2), reverse=True)
+    kept = sorted((r.draw_key for r in got if r.kept), reverse=True)
+    assert 0 < len(kept) < len(allowed) <= len(got) and kept == allowed[:len(kept)]
+    for r in got[:50]:
+        noise = importance.gumbel(pa.array([r.doc_id]), 7)[0]
+        low = importance.LAST if r.draw_key < -importance.LAST / 2 else 0
+        assert r.draw_key == pytest.approx(r.log_weight / max(r.n_words, 1) ** 0.5 + importance.TEMPER * noise - low, abs=1e-6)
+
+
 def test_toxic_limit():
     limit = lambda good, toxic, keep=0.5: importance.toxic_limit(np.array(good), np.array(toxic), keep)
     assert limit([0.0, 0.0, 0.1], [0.1, 0.1, 0.5]) == pytest.approx(0.05)
