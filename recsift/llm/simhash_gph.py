@@ -1,7 +1,7 @@
 """SimHash near-duplicates, found by the generalised pigeonhole principle.
 
 Fingerprints within ``radius`` differing bits link. The 64 bits are dealt into a few partitions that
-hold correlated bits together. A fingerprint gets one threshold per partition; if the thresholds sum
+hold correlated bits together; how many follows from what they are expected to cost. A fingerprint gets one threshold per partition; if the thresholds sum
 to ``radius - partitions + 1``, any fingerprint within the radius is within the threshold in at least
 one partition (were it beyond each, the distances would sum to more than the radius). Thresholds are
 unequal: dynamic programming picks, for each fingerprint, those that promise the fewest candidates. A
@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import partial
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -172,11 +173,32 @@ def allocate(cost: np.ndarray, total: int) -> np.ndarray:
     return out
 
 
-def links(fps: DataFrame, radius: int = 3, partitions: int = 3) -> DataFrame:
-    """``(u, v)``, u < v: all pairs of different fingerprints in ``fps`` (distinct longs) within ``radius`` bits."""
+def expected_cost(n: int, groups: list[list[int]], near: list[list[np.ndarray]], radius: int) -> float:
+    """Candidates and probes that a fingerprint is expected to cost with these groups and the thresholds best on average."""
+    cost = np.zeros((1, len(groups), radius + 2))
+    for i, g in enumerate(groups):
+        share = np.eye(1, radius + 1)[0]
+        for table in near[i]:
+            share = np.convolve(share, table[:, 0] @ table)[:radius + 1]  # a value's own share is that at distance 0
+        cost[0, i, 1:] = np.cumsum(share) * n + PROBE_COST * np.cumsum([comb(len(g), e) for e in range(radius + 1)])
+    limit = allocate(cost, radius - len(groups) + 1)[0]
+    return float(sum(cost[0, i, e + 1] for i, e in enumerate(limit)))
+
+
+def partitioned(fps: DataFrame, radius: int, partitions: int | None) -> tuple[int, list[list[int]], list[list[np.ndarray]]]:
+    """The number of fingerprints, the groups of bits, and their ``_near``: of all numbers of partitions (or the given one)
+    the one of the least expected cost, which falls as fingerprints grow in number. One pass counts for all."""
     n, both = _moments(fps)
-    groups = group_bits(n, both, partitions)
-    near = _near(fps, groups, radius)
+    options = [group_bits(n, both, m) for m in ([partitions] if partitions else range(1, radius + 2))]
+    near = iter(_near(fps, [g for groups in options for g in groups], radius))
+    tables = [[next(near) for _ in groups] for groups in options]
+    best = min(range(len(options)), key=lambda k: expected_cost(n, options[k], tables[k], radius))
+    return n, options[best], tables[best]
+
+
+def links(fps: DataFrame, radius: int = 3, partitions: int | None = None) -> DataFrame:
+    """``(u, v)``, u < v: all pairs of different fingerprints in ``fps`` (distinct longs) within ``radius`` bits."""
+    n, groups, near = partitioned(fps, radius, partitions)
     flips = [[np.array([sum(1 << b for b in at) for at in combinations(range(len(g)), e)], np.int64) for e in range(radius + 1)] for g in groups]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +221,9 @@ def links(fps: DataFrame, radius: int = 3, partitions: int = 3) -> DataFrame:
                 yield pa.record_batch([pa.array(key), pa.array(fp), pa.array(np.zeros(len(fp), bool))], names=["key", "fp", "probe"])
                 for e in range(radius + 1):
                     at = np.flatnonzero(limit[:, i] >= e)
-                    for lo in range(0, len(at), 4096):
-                        rows = at[lo:lo + 4096]
+                    some = max(1, (1 << 18) // len(flips[i][e]))
+                    for lo in range(0, len(at), some):
+                        rows = at[lo:lo + some]
                         probe = ((np.int64(i) << np.int64(BITS - 8)) | (value[rows][:, None] ^ flips[i][e][None, :])).ravel()
                         yield pa.record_batch([pa.array(probe), pa.array(np.repeat(fp[rows], len(flips[i][e]))), pa.array(np.ones(len(probe), bool))],
                                               names=["key", "fp", "probe"])
@@ -213,7 +236,7 @@ def links(fps: DataFrame, radius: int = 3, partitions: int = 3) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3,
-                    partitions: int = 3) -> DataFrame:
+                    partitions: int | None = None) -> DataFrame:
     """``(doc_id, fingerprint, component_id)`` for every row of ``docs``.
 
     Texts are lower-cased (A-Z) and cut into words at ASCII white space; a fingerprint bit is set if
@@ -227,10 +250,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows stay repeated. An empty table gives no rows. Other columns are ignored.
 
     Equal fingerprints are collapsed before the search, so exact copies are never paired. A group of
-    copies is thus one node; only pairs of different fingerprints that truly link are written.
+    copies is thus one node; only pairs of different fingerprints that truly link are written. Without
+    ``partitions`` their number, up to ``radius + 1``, follows from the expected cost: the more fingerprints, the
+    fewer and wider they are, so candidates do not grow with the square.
     """
     staging_dir(docs.sparkSession)
-    if not 1 <= partitions <= radius + 1:
+    if partitions is not None and not 1 <= partitions <= radius + 1:
         raise ValueError("partitions must lie between 1 and radius + 1")
     own = staged(fingerprints(docs, id_col, text_col, shingle), "simhash")
     nodes = own.groupBy("fp").agg(F.min("doc_id").alias("least"))

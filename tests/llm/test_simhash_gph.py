@@ -1,4 +1,5 @@
 import random
+from math import comb
 
 import numpy as np
 import pytest
@@ -65,3 +66,26 @@ def test_components_of_chains_stars_and_loops(spark):
     got = dict(map(tuple, components(spark.createDataFrame(edges, "u long, v long")).collect()))
     real = [(a, b) for a, b in edges if a is not None and a != b]
     assert got == roots({n for e in real for n in e}, real)
+
+
+def test_number_of_partitions_follows_the_number_of_fingerprints():
+    both = np.full((64, 64), 0.25) + np.eye(64) * 0.25  # independent bits
+    chosen = []
+    for n in (10**3, 10**7, 10**10, 10**17):
+        costs = {}
+        for m in range(1, 5):
+            groups = simhash_gph.group_bits(1, both, m)
+            near = [[np.array([[comb(len(s), e) for e in range(4)]] * 2**len(s)) / 2**len(s) for s in simhash_gph._subs(g)] for g in groups]
+            costs[m] = simhash_gph.expected_cost(n, groups, near, 3)
+        chosen.append(min(costs, key=costs.get))
+    assert chosen == sorted(chosen, reverse=True) and chosen[0] == 4 and chosen[2] == 2 and chosen[-1] == 1
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 4])
+def test_links_with_any_number_of_partitions(spark, partitions):
+    g = np.random.default_rng(partitions)
+    base = g.integers(-2**63, 2**63, 40, dtype=np.int64)
+    fps = {int(b) for b in base} | {int(b ^ np.int64(1 << int(i))) for b in base for i in g.integers(0, 63, 3)}
+    df = spark.createDataFrame([(x,) for x in sorted(fps)], "fp long")
+    got = {(r.u, r.v) for r in simhash_gph.links(df, 3, partitions).collect()}
+    assert got == pairs_within(fps, 3)
