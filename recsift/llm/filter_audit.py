@@ -44,16 +44,16 @@ def _counted(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.
     row, own = row[real[own]], own[real[own]]
     in_order = pc.sort_indices(words).to_numpy()
     in_order = in_order[real[in_order]]
-    words = words.take(pa.array(in_order))
-    bucket = np.fromiter((zlib.crc32(w) for w in words.cast(pa.large_binary()).to_pylist()), np.int64, len(words)) % buckets
+    each = words.take(pa.array(in_order)).cast(pa.large_binary()).to_pylist()
+    bucket = np.fromiter(map(zlib.crc32, each), np.int64, len(each)) % buckets
     by_bucket = np.argsort(bucket, kind="stable")
     place = np.zeros(len(real), np.int64)
     place[in_order[by_bucket]] = np.arange(len(by_bucket))
     n = max(1, len(by_bucket))
     entry, times = np.unique(row * n + place[own], return_counts=True)
     found, first = np.unique(bucket[by_bucket], return_index=True)
-    words = words.take(pa.array(by_bucket))
-    blobs = [" ".join(words[lo:hi].to_pylist()) for lo, hi in zip(first, np.r_[first[1:], len(by_bucket)])]
+    order = by_bucket.tolist()
+    blobs = [b" ".join(map(each.__getitem__, order[lo:hi])).decode() for lo, hi in zip(first, np.r_[first[1:], len(order)])]
     return np.searchsorted(entry // n, np.arange(len(texts) + 1)), (entry % n).astype(np.int32), times.astype(np.int32), found.astype(np.int32), blobs
 
 
