@@ -69,8 +69,11 @@ def four_russians(tables: np.ndarray, bytes_: np.ndarray) -> np.ndarray:
 def _cut(rows: DataFrame, dims: int, size: int, planes: int | None) -> DataFrame:
     """``(part, k, label, ids, vectors)`` of at most ``size`` rows of one label; vectors as ``planes`` bit planes, or plain.
 
-    Rows are dealt by label and id, so a label with many rows is many tasks.
+    Rows are dealt by label and id, so a label with many rows is many tasks; ranges that lie side by side
+    are read by one task while they are few tiles.
     """
+    few = 1 + rows.count() // (8 * size)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k = TaskContext.get().partitionId(), 0
         for b in batches:
@@ -82,7 +85,7 @@ def _cut(rows: DataFrame, dims: int, size: int, planes: int | None) -> DataFrame
                 k += 1
 
     order = ["label", "vec_id", "v"]
-    return rows.select("vec_id", "label", "v").repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(
+    return rows.select("vec_id", "label", "v").repartitionByRange(*order).sortWithinPartitions(*order).coalesce(few).mapInArrow(
         run, "part long, k long, label long, ids binary, vectors binary")
 
 

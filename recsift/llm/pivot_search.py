@@ -85,13 +85,16 @@ def keyed(rows: DataFrame, pivots: np.ndarray, **names: str) -> DataFrame:
     return rows.select("vec_id", "v").mapInArrow(run, "vec_id long, v array<int>, pivot int, far long")
 
 
-def cut(rows: DataFrame, dims: int, size: int) -> DataFrame:
-    """Tiles of at most ``size`` rows of ``keyed`` rows, which lie side by side in the order of their keys."""
+def cut(rows: DataFrame, dims: int, size: int, count: int, pure: bool = True) -> DataFrame:
+    """Tiles of at most ``size`` rows of ``keyed`` rows, ``count`` in all, which lie side by side in the order of their keys.
+
+    A ``pure`` tile has one pivot. Ranges that lie side by side are read by one task while they are few tiles.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tile = TaskContext.get().partitionId() << 32
         for b in batches:
             x, far, pivot, ids = as_matrix(b.column("v"), dims), b.column("far").to_numpy(), b.column("pivot").to_numpy(), b.column("vec_id")
-            for lo, hi in slices(pivot, size):
+            for lo, hi in slices(pivot if pure else np.zeros(len(pivot)), size):
                 part = x[lo:hi]
                 yield pa.record_batch([pa.array([v], t) for v, t in (
                     (tile, pa.int64()), (pivot[lo], pa.int32()), (far[lo], pa.int64()), (far[hi - 1], pa.int64()), ((part * part).sum(1).max(), pa.int64()),
@@ -99,13 +102,13 @@ def cut(rows: DataFrame, dims: int, size: int) -> DataFrame:
                 tile += 1
 
     order = ["pivot", "far", "vec_id", "v"]
-    return rows.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, "tile long, pivot int, inner long, outer long, top long, ids binary, vectors binary")
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order).coalesce(1 + count // (8 * size)).mapInArrow(run, "tile long, pivot int, inner long, outer long, top long, ids binary, vectors binary")
 
 
 def build_index(rows: DataFrame, dims: int, pivots: int = PIVOTS, sample: int = SAMPLE, tile: int = TILE) -> Index:
     """The index of all ``rows (vec_id, v)``, whose longest vector has ``dims`` components; its tiles are stored."""
     points = fit_pivots(rows, dims, pivots, sample)
-    return Index(staged(cut(keyed(rows, points), dims, tile), "annuli"), points)
+    return Index(staged(cut(keyed(rows, points), dims, tile, rows.count()), "annuli"), points)
 
 
 def bound(low: Column, high: Column, length: Column) -> Column:
@@ -180,7 +183,8 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, scale: int = 64, id_c
     whole = staged(scaled(rows, scale, id_col, vec_col), "vectors")
     dims = whole.agg(F.max(F.size("v"))).first()[0] or 1
     index = build_index(whole, dims, pivots, sample, tile)
-    queries = staged(cut(keyed(whole.where(is_query), index.pivots), dims, block).select(
+    asked = whole.where(is_query)
+    queries = staged(cut(keyed(asked, index.pivots), dims, block, asked.count(), pure=False).select(
         F.col("tile").alias("block"), F.col("ids").alias("q_ids"), "vectors"), "queries")
     visits = staged(_visits(queries, index, dims), "visits")
     own = Window.partitionBy("block", "query").orderBy(F.desc("score"), "vec_id")
