@@ -161,9 +161,9 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     ``k`` weights are tempered by length, so that long texts do not fill both ends of the order: the key
     drawn by, ``draw_key``, is the log weight over the root of the number of words, plus ``TEMPER`` times the
     noise, which draws in proportion to the exponential of the former over ``TEMPER``. The k largest keys
-    up to the limit of toxicity are kept; k is the rows times the share of all held-out labelled documents that
-    pass both that limit and the key which a share ``keep_good`` of the good ones among them reach. With ``k``
-    ``draw_key`` equals ``gumbel_key``. Without held-out labels of both kinds none is toxic.
+    up to the limit of toxicity are kept; k is the number of rows, over the whole table, whose key reaches what
+    a share ``keep_good`` of the held-out good documents up to that limit reach. With ``k`` ``draw_key`` equals
+    ``gumbel_key``. Without held-out labels of both kinds none is toxic.
 
     The target model comes from at most ``max_labels`` labelled rows of ``labels (doc_id, quality,
     toxic)``; the raw model, the weights and the selection cover every document and its whole text. Null
@@ -178,7 +178,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     n = counts(own, known["id"], np.where(known["held_out"], 0, kind), 2)
     ratio, toxic = (log_ratio(n[g], n[0]) if n[g].sum() else np.zeros(n.shape[1], np.float32) for g in (1, 2))
     ids = known["id"]
-    calibrate = np.where(known["held_out"], np.where(kind > 0, kind, 3), 0).astype(np.int8)
+    calibrate = np.where(known["held_out"], kind, 0).astype(np.int8)
     shared = docs.sparkSession.sparkContext.broadcast((ratio, np.where(toxic - ratio >= EVIDENCE, toxic - ratio, 0)))  # SIZE numbers each
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,8 +212,7 @@ def resample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         good = own_key[(which == 1) & (toxicity <= most)]
         if len(good) and n[1].sum():
             level = float(np.quantile(good, 1 - keep_good, method="inverted_cdf"))
-        passed = (toxicity <= most) & (own_key >= level)
-        wanted = round(rows * float(passed.mean())) if len(passed) else rows
+        wanted = scores.where((drawn >= level) & (F.col("toxicity") <= most)).count()
     else:
         wanted, drawn = k, lowered(F.col("gumbel_key"))
     limit = kth_largest(scores.select(drawn.alias("key")), "key", wanted) if 0 < wanted < rows else (np.inf if wanted <= 0 else -np.inf)
