@@ -199,7 +199,7 @@ def partitioned(fps: DataFrame, radius: int, partitions: int | None) -> tuple[in
 def links(fps: DataFrame, radius: int = 3, partitions: int | None = None) -> DataFrame:
     """``(u, v)``, u < v: all pairs of different fingerprints in ``fps`` (distinct longs) within ``radius`` bits."""
     n, groups, near = partitioned(fps, radius, partitions)
-    flips = [[np.array([sum(1 << b for b in at) for at in combinations(range(len(g)), e)], np.int64) for e in range(radius + 1)] for g in groups]
+    flips = [[np.array([sum(1 << b for b in at) for at in combinations(range(len(g)), e)], np.uint64).view(np.int64) for e in range(radius + 1)] for g in groups]
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
