@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.functions.catalog import MIN_DISCOUNT_RATIO, PRICE_BANDS, discount_ratio, in_price_band
+from recsift.operators.ranking import ranked
 
 
 def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame,
@@ -57,9 +58,8 @@ def rank_by_price(scored: DataFrame, min_discount: float = MIN_DISCOUNT_RATIO, b
     """
     j = (scored.where(discount_ratio("sim_raw_price", "sim_zk_price") > F.lit(float(min_discount)))
          .withColumn("in_band", F.when(in_price_band("zk_price", "sim_zk_price", bands), 1).otherwise(0)))
-    w = Window.partitionBy("main_offer").orderBy(F.col("in_band").desc(), F.col("score").desc(),
-                                                 F.col("sim_offer").asc())
-    return j.select("main_offer", F.row_number().over(w).cast("bigint").alias("rank"), "sim_offer", "score", "in_band")
+    order = [F.col("in_band").desc(), F.col("score").desc(), F.col("sim_offer").asc()]
+    return ranked(j.select("main_offer", "sim_offer", "score", "in_band"), "main_offer", order).select("main_offer", "rank", "sim_offer", "score", "in_band")
 
 
 def price_rerank(sim_offers: DataFrame, catalog: DataFrame, min_sales: int = 10,
@@ -84,8 +84,8 @@ def ctr_rerank(sim_offers: DataFrame, ctr: DataFrame, catalog: DataFrame, scale:
          .where(F.col("score").isNotNull())
          .join(main, "main_offer").join(cand, "sim_offer")
          .where(F.col("sim_month_sales") > min_sales))
-    w = Window.partitionBy("main_offer").orderBy(F.col("score").desc(), F.col("sim_offer").asc())
-    return j.select("main_offer", F.row_number().over(w).cast("bigint").alias("rank"), "sim_offer", "score")
+    return ranked(j.select("main_offer", "sim_offer", "score"), "main_offer", [F.col("score").desc(), F.col("sim_offer").asc()]).select(
+        "main_offer", "rank", "sim_offer", "score")
 
 
 def extend_lists(base: DataFrame, new: DataFrame, depth: int = 200) -> DataFrame:

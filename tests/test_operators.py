@@ -3,9 +3,10 @@
 import math
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recsift.operators import corpus, ctr, evaluate, features, pairs, recommend, rerank, similarity
+from recsift.operators import corpus, ctr, evaluate, features, pairs, ranking, recommend, rerank, similarity
 from recsift.sources import tables, text_io
 
 CAT_SCHEMA = "item_id string, status int, product_type int, subcate_id string"
@@ -312,6 +313,25 @@ def test_a_day_is_written_again_alone(spark, tmp_path):
     assert sorted((str(r.ymd), r.n) for r in got.collect()) == [("20240101", 1), ("20240102", 5), ("20240103", 3)]
 
 
+def test_ranks_of_a_hot_group_come_from_many_tasks(spark):
+    rows = spark.range(300_000).select(F.lit("hot").alias("m"), F.concat(F.lit("o"), F.col("id").cast("string")).alias("o"), (F.col("id") % 7).alias("s"))
+    rows = rows.unionByName(spark.range(50_000).select(F.concat(F.lit("warm"), (F.col("id") % 2).cast("string")).alias("m"), F.col("id").cast("string").alias("o"), F.lit(1).alias("s")))
+    rows = rows.unionByName(spark.range(3000).select((F.col("id") % 500).cast("string").alias("m"), F.col("id").cast("string").alias("o"), F.lit(2).alias("s")))
+    order = [F.col("s").desc(), F.col("o").asc()]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    kept, real = {}, ranking.stage
+    try:
+        ranking.stage = lambda df, name: kept.setdefault(name, real(df, name))
+        got = ranking.ranked(rows, "m", order, hot_rows=20_000)
+        want = rows.withColumn("rank", F.row_number().over(Window.partitionBy("m").orderBy(*order)).cast("bigint"))
+        assert got.count() == 353_000 and got.select("m", "o", "s", "rank").exceptAll(want.select("m", "o", "s", "rank")).count() == 0
+    finally:
+        ranking.stage = real
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    ranges = [r["count"] for r in kept["ranges"].where("m = 'hot'").groupBy(F.shiftright("_at", 33)).count().collect()]
+    assert len(ranges) > 2 and max(ranges) < 150_000
+
+
 def test_text_sinks(spark, tmp_path):
     df = spark.createDataFrame([("m1", 2, "b", 0), ("m1", 1, "a", 0), ("m2", None, None, 1)], "main_offer string, pos bigint, sim_offer string, has_base int")
     text_io.write_extensions(df, str(tmp_path / "x"))

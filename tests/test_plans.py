@@ -27,7 +27,8 @@ def test_scan_prunes_columns(spark):
 WRITES = ("roundtrip", "evaluate_paths")
 #: Jobs that write a table which several of their parts read, by design.
 STORES = ("swing", "swing_same_category", "swing_fan", "pair_support_band", "extend_lists", "evaluate_many", "user_recommendations",
-          "user_recommendations_json", "user_recommendations_by_category", "trigger_quota", "category_index", "item_index", "stage_counts")
+          "user_recommendations_json", "user_recommendations_by_category", "trigger_quota", "category_index", "item_index", "stage_counts", "price_rerank",
+          "price_rerank_fan", "ctr_rerank")
 
 
 def scans(df):
