@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from recsift.llm.common import fresh, staged
 
-#: Rows up to which a table made from the benchmark is broadcast; beyond, Spark shuffles both sides.
+#: Rows, of at most six numbers, up to which a table made from the benchmark is broadcast; beyond, Spark shuffles both sides.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -96,12 +96,13 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     repeated item rows are one item; rows with a null id are reported under null. Empty tables give no rows. Other
     columns are ignored.
 
-    The items' tables are broadcast only if their counted rows are within ``BROADCAST_ROWS``. The documents
+    Tables of the items' hashes and probes, a few numbers a row, are broadcast only if their counted rows are
+    within ``BROADCAST_ROWS``; shingles stay out of them and are fetched for pairs within the radius. The documents
     are cut into shingles once and meet the items' shingles in a semi join; only documents with a shared
     shingle go further, in a staged table.
     """
-    if 64 % blocks or radius >= blocks * (radius // blocks + 1):
-        raise ValueError("blocks must divide 64")
+    if 64 % blocks or not 0 <= radius < 64:
+        raise ValueError("blocks must divide 64, and the radius be 0 to 63 bits")
     items = benchmark.select(F.col(item_col).alias("item_id"), words(F.col(item_text_col)).alias("ws")).where(F.size("ws") > 0).distinct()
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select("doc_id", _key().alias("key"), words(F.col("text")).alias("ws"))
     held = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("key", _key())
@@ -117,7 +118,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     if not item_parts:
         return own.limit(0).select("doc_id", "key", F.lit(None).cast(benchmark.schema[item_col].dataType).alias("item_id"), F.lit(0).alias("start"),
                                    F.lit(0.0).alias("similarity"))
-    item = staged(_all(item_parts).withColumn("m", F.size("item")), "items")
+    item = staged(_all(item_parts).withColumn("m", F.size("item")).withColumn("item_key", F.xxhash64("item_id", "item")), "items")
     doc = staged(_all(doc_parts), "leak-docs")
 
     # Where each window size has a shared shingle, and the windows that hold one.
@@ -138,21 +139,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     # (neighbours stay at least 2 apart, and what is m apart stays exactly ``unit`` apart).
     unit = 2 * most
     frame = Window.partitionBy("key", "w", "m").orderBy(F.expr(f"CAST(p AS BIGINT) * {unit} DIV m")).rangeBetween(0, unit - 1)
-    slid = laned.select("key", "w", "m", "p", "is_start", F.count(F.lit(1)).over(frame).alias("size"), F.collect_list("h").over(frame).alias("window"),
+    slid = laned.select("key", "w", "m", "p", "is_start", F.count(F.lit(1)).over(frame).alias("size"),
                         *(F.sum(c).over(frame).alias(c) for c in lanes)).where("is_start")
-    windows = slid.select("key", "w", "m", F.col("p").alias("start"), "window", _fingerprint([F.col(c) for c in lanes], F.col("size"), wide).alias("fp"))
+    windows = slid.select("key", "w", "m", F.col("p").alias("start"), _fingerprint([F.col(c) for c in lanes], F.col("size"), wide).alias("fp"))
 
-    summed = item.select("item_id", "w", "m", "item", F.explode("item").alias("h")).select(
-        "item_id", "w", "m", "item", *(x.alias(c) for x, c in zip(_lanes(F.col("h"), wide), lanes))).groupBy("item_id", "w", "m", "item").agg(
-        *(F.sum(c).alias(c) for c in lanes))
-    marked = summed.select("item_id", "w", "m", "item", _fingerprint([F.col(c) for c in lanes], F.col("m"), wide).alias("item_fp"))
+    summed = item.select("item_key", "w", "m", F.explode("item").alias("h")).select(
+        "item_key", "w", "m", *(x.alias(c) for x, c in zip(_lanes(F.col("h"), wide), lanes))).groupBy("item_key", "w", "m").agg(*(F.sum(c).alias(c) for c in lanes))
+    marked = summed.select("item_key", "w", "m", _fingerprint([F.col(c) for c in lanes], F.col("m"), wide).alias("item_fp"))
     size, reach = 64 // blocks, radius // blocks
     flips = F.array(*(F.lit(sum(1 << b for b in at)).cast("long") for e in range(reach + 1) for at in combinations(range(size), e)))
     probes = marked.select("*", F.posexplode(F.array(*(_block(F.col("item_fp"), i, blocks) for i in range(blocks)))).alias("block", "value")).select(
-        "item_id", "w", "m", "item", "item_fp", "block", F.explode(F.transform(flips, lambda f: f.bitwiseXOR(F.col("value")))).alias("value"))
+        "item_key", "w", "m", "item_fp", "block", F.explode(F.transform(flips, lambda f: f.bitwiseXOR(F.col("value")))).alias("value"))
     index = windows.select("*", F.posexplode(F.array(*(_block(F.col("fp"), i, blocks) for i in range(blocks)))).alias("block", "value"))
-    close = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= radius
-    found = index.join(_small(probes), ["w", "m", "block", "value"]).where(close).select(
+    apart = F.col("fp").bitwiseXOR(F.col("item_fp"))
+    # A pair that meets in several blocks goes on from the first of them alone.
+    first = F.coalesce(*(F.when(F.bit_count(_block(apart, i, blocks)) <= reach, F.lit(i)) for i in range(blocks)))
+    near = index.join(_small(probes), ["w", "m", "block", "value"]).where((F.bit_count(apart) <= radius) & (F.col("block") == first))
+    # Only pairs within the radius fetch their shingles.
+    cut = near.select("key", "w", "m", "start", "item_key").join(doc.select("key", "w", "run"), ["key", "w"]).select(
+        "key", "start", "item_key", F.slice("run", F.col("start") + 1, F.col("m")).alias("window"))
+    found = cut.join(item.select("item_key", "item_id", "item"), "item_key").select(
         "key", "item_id", "start", weighted_jaccard(F.col("window"), F.col("item")).alias("similarity")).where(F.col("similarity") >= similarity)
     best = found.groupBy("key", "item_id").agg(F.max(F.struct("similarity", (-F.col("start")).alias("back"))).alias("b"))
     named = doc.select("doc_id", "key").distinct()

@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+import pytest
+
 from recsift.llm import queries, simhash_windows
 from tests.llm import brute
 
@@ -62,3 +64,18 @@ def test_edits_short_items_and_edge_rows(spark):
     assert {(1, 1), (2, 1), (4, 1), (9, 2), (12, 6), (11, 7), (14, 1), (None, 1)} <= set(got) and (5, 1) not in got
     assert sorted(r.doc_id for r in simhash_windows.decontaminated(d, b).collect()) == sorted({x[0] for x in docs if x[0]} - {x[0] for x in got})
     assert simhash_windows.leaks(d.limit(0), b).collect() == simhash_windows.leaks(d, b.limit(0)).collect() == []
+
+
+def test_long_text_in_which_every_position_matches(spark):
+    docs, items = [(1, "a b c d e " * 4_000), (2, "a b c d x " * 50)], [(1, "a b c d e a b c d e a b c"), (1, "b c d e a b c"), (2, "a b c d x a b")]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame(items, "item_id long, text string")
+    got = shown(simhash_windows.leaks(d, b))
+    assert got == {(1, 1): (1.0, 0), (2, 2): (1.0, 0)}
+
+
+def test_radius_and_blocks_are_checked(spark):
+    d = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    for bad in ({"blocks": 7}, {"radius": 64}, {"radius": -1}):
+        with pytest.raises(ValueError):
+            simhash_windows.leaks(d, d.withColumnRenamed("doc_id", "item_id"), **bad)
