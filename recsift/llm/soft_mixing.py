@@ -4,7 +4,8 @@ Domains are what labels say of a document: clean, low (quality) or toxic. A clas
 labelled rows gives every document a posterior over the domains: hashed n-gram models tell how much
 likelier a text is in a domain, n-grams that are much likelier there than in clean text are weighed by
 themselves per word (a few insults hardly move a whole text's sum), and a softmax regression on labelled
-rows kept out of the models turns these into probabilities. They are rounded to a grid.
+rows kept out of the models turns these into probabilities. They are rounded to a grid that is finer near
+zero, so that a domain of which little is left still tells documents apart.
 
 Rates r, 0 <= r <= ``MAX_RATE``, minimise the squared error of the expected totals, the sums of r * tokens *
 posterior, against the targets, by projected gradient steps from r = 1 with momentum, in the metric of the
@@ -32,9 +33,11 @@ POSTERIORS = tuple(f"p_{d}" for d in DOMAINS)
 TARGETS = {"clean": 0.86, "low": 0.08, "toxic": 0.06}
 #: The largest rate: no document is drawn more often, in expectation.
 MAX_RATE = 100.0
-#: Posteriors are multiples of 1 / GRID, so there are at most (GRID + 1) * (GRID + 2) / 2 of them.
-GRID = 500
-CELLS = (GRID + 1) * (GRID + 2) // 2
+#: All posteriors of a document but the largest are 0, multiples of 1 / GRID, or, below that, one of FINE levels, each
+#: 2 ** (1 / 4) times the one before; the largest is the rest. So there are at most CELLS of them.
+GRID, FINE = 500, 40
+LEVELS = np.r_[0.0, 2.0 ** (np.arange(-FINE, 0) / 4) / GRID, np.arange(1, GRID // 2 + 1) / GRID]
+CELLS = len(DOMAINS) * len(LEVELS) ** (len(DOMAINS) - 1)
 #: Steps after which the fit ends in any case; its squared error is then within 8 * MAX_RATE ** 2 / STEPS ** 2 of the least.
 STEPS = 200_000
 #: Pull of the regression's weights towards zero, that is of the posteriors towards the prior.
@@ -80,12 +83,12 @@ def posterior(model: Model, x: np.ndarray) -> np.ndarray:
 
 
 def on_grid(p: np.ndarray) -> np.ndarray:
-    """Each row as multiples of 1 / GRID that add up to 1: rounded down, the rest to the largest remainders."""
-    whole = np.floor(p * GRID).astype(np.int64)
-    order = np.argsort(whole - p * GRID, axis=1, kind="stable")
-    left = GRID - whole.sum(1)
-    np.put_along_axis(whole, order, np.take_along_axis(whole, order, 1) + (np.arange(p.shape[1]) < left[:, None]), 1)
-    return whole / GRID
+    """Each row with all but its largest entry at the nearest of ``LEVELS``, and that the rest to 1."""
+    near = LEVELS[np.searchsorted((LEVELS[:-1] + LEVELS[1:]) / 2, p)]
+    top = p.argmax(1)[:, None]
+    np.put_along_axis(near, top, 0.0, 1)
+    np.put_along_axis(near, top, 1 - near.sum(1, keepdims=True), 1)
+    return near
 
 
 def regression(x: np.ndarray, truth: np.ndarray, prior: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -195,13 +198,14 @@ def projected_gradient(p: np.ndarray, share: np.ndarray, target: np.ndarray, mos
     return rate
 
 
-def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, most: float = MAX_RATE, tolerance: float = 1e-9) -> pa.Table:
+def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, most: float = MAX_RATE, tolerance: float = 1e-9, even: bool = False) -> pa.Table:
     """``(p_clean, p_low, p_toxic, rate)``: the rate of every posterior of ``members``.
 
     ``members`` has posteriors on a grid, as ``memberships`` gives them; more than ``CELLS`` different ones are
     refused. Where targets can be reached with rates up to ``most`` the totals meet them. Where they cannot,
     the totals' squared error is the least there is. A rate is then within ``tolerance`` of where the next
-    step would take it. Without any tokens all rates are 1.
+    step would take it. Without any tokens all rates are 1. ``even``: errors are measured in units of the domain's
+    root mean square posterior, so that totals of rare domains weigh as much as those of frequent ones.
     """
     sums = members.groupBy(*POSTERIORS).agg(F.sum("tokens").alias("tokens")).limit(CELLS + 1).toArrow()
     if sums.num_rows > CELLS:
@@ -211,7 +215,10 @@ def fit_rates(members: DataFrame, targets: dict[str, float] | None = None, most:
     if tokens.sum() > 0:
         order = np.lexsort(p.T)
         target = np.array([(targets or TARGETS).get(d, 0.0) for d in DOMAINS])
-        rate[order] = projected_gradient(p[order], tokens[order] / tokens.sum(), target, most, tolerance)
+        share = tokens[order] / tokens.sum()
+        spread = np.sqrt(share @ p[order] ** 2) if even else np.ones(len(DOMAINS))
+        unit = np.where(spread > 0, spread, 1.0)
+        rate[order] = projected_gradient(p[order] / unit, share, target / unit, most, tolerance)
     return pa.table([*(sums[c] for c in POSTERIORS), pa.array(rate)], names=[*POSTERIORS, "rate"])
 
 
@@ -248,11 +255,11 @@ def shifted(members: DataFrame, factors: dict[str, float]) -> dict[str, float]:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, keep: tuple[str, ...] = (), max_labels: int = importance.MAX_LABELS,
-        most: float = MAX_RATE, factors: dict[str, float] | None = None) -> DataFrame:
+        most: float = MAX_RATE, factors: dict[str, float] | None = None, even: bool = False) -> DataFrame:
     """``(doc_id, *keep, tokens, p_clean, p_low, p_toxic, rate)`` for every row of ``docs (doc_id, text, ...)``.
 
     ``targets`` are shares of all tokens per domain (default ``TARGETS``); ``factors`` takes them from the input
-    instead (``shifted``). No rate is above ``most``. The classifier is fitted on at most ``max_labels``
+    instead (``shifted``). No rate is above ``most``; ``even`` is as in ``fit_rates``. The classifier is fitted on at most ``max_labels``
     labelled rows of ``labels (doc_id, quality, toxic)``, a fifth of which only set its regression; posteriors
     and rates cover every row and whole texts. Null or empty texts have no tokens and the prior as
     posterior. Rows with a null id are unlabelled; repeated rows each get the same rate. Ids are integers, or
@@ -262,5 +269,5 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     """
     model = classifier(docs, labels, max_labels)
     narrow = staged(memberships(docs, model), "members")
-    rates = fit_rates(narrow, shifted(narrow, factors) if factors else targets, most)
+    rates = fit_rates(narrow, shifted(narrow, factors) if factors else targets, most, even=even)
     return with_rates(memberships(docs, model, keep) if keep else narrow, rates)

@@ -65,3 +65,4 @@ def test_totals_are_the_targets_or_the_nearest(spark):
     assert best(p, n, rate, share, cp.MAX_RATE)
     assert np.allclose((rate * n) @ p / n.sum(), share, atol=1e-6)  # within reach
     assert (rate[n > 0] > 0).mean() > 0.9
+    assert before[1:].min() > 0 and np.abs((rate * n) @ p / n.sum() / share - 1).max() < 1e-4 and rate.std() > 0  # the stage moves tokens

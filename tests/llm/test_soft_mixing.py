@@ -139,7 +139,22 @@ def test_posteriors_against_one_text_at_a_time(spark):
 def test_grid_keeps_sums_and_stays_near():
     p = np.random.default_rng(0).dirichlet([0.3] * 3, 5000)
     q = soft_mixing.on_grid(p)
-    assert np.allclose(q.sum(1), 1) and (q >= 0).all() and np.abs(p - q).max() < 1 / soft_mixing.GRID and np.allclose(q * soft_mixing.GRID, np.rint(q * soft_mixing.GRID))
+    assert np.allclose(q.sum(1), 1) and (q >= 0).all() and np.abs(p - q).max() < 1 / soft_mixing.GRID
+    rest = q[np.arange(3)[None, :] != p.argmax(1)[:, None]]
+    assert np.isin(rest, soft_mixing.LEVELS).all() and len(np.unique(q, axis=0)) <= soft_mixing.CELLS
+    small = (p < 1 / soft_mixing.GRID) & (p > 1e-5)  # small posteriors are told apart, not rounded to zero
+    assert small.sum() > 500 and np.abs(q[small] / p[small] - 1).max() < 0.1
+
+
+def test_rare_domains_are_shifted_as_well(spark):
+    g = np.random.default_rng(4)
+    rare = 10.0 ** g.uniform(-5, -3, (2000, 2))
+    p, n = soft_mixing.on_grid(np.c_[1 - rare.sum(1), rare]), g.integers(1, 500, 2000)
+    df = spark.createDataFrame([(i, int(n[i]), *map(float, p[i])) for i in range(2000)], "doc_id long, tokens long, p_clean double, p_low double, p_toxic double")
+    share = soft_mixing.shifted(df, {"low": 0.5, "toxic": 0.5})
+    rate = soft_mixing.with_rates(df, soft_mixing.fit_rates(df, share, 4.0, even=True)).orderBy("doc_id").toPandas().rate.to_numpy()
+    want = np.array([share[d] for d in DOMAINS])
+    assert np.abs(((rate * n) @ p / n.sum()) / want - 1).max() < 1e-6 and (rate >= 0).all() and (rate <= 4).all() and (rate > 0).mean() > 0.5
 
 
 def test_recall_of_every_domain_on_labels_never_seen(spark):
