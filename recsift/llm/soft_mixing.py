@@ -157,6 +157,19 @@ def classifier(docs: DataFrame, labels: DataFrame, max_labels: int = importance.
     return Model(tables, told, prior, centre, spread, regression((x - centre) / spread, domain[here][use], prior))
 
 
+def prior_in(docs: DataFrame, labels: DataFrame, max_labels: int = importance.MAX_LABELS) -> np.ndarray:
+    """Shares of the domains among the labelled rows that ``docs`` still has, one added to each count."""
+    known = importance.labelled(labels, max_labels)
+    domain = np.where(known["toxic"], 2, np.where(known["good"], 0, 1))
+    n = np.ones(len(DOMAINS))
+    if len(domain):
+        table = docs.sparkSession.createDataFrame(pa.table({"id": pa.array(known["id"], pa.int64()), "domain": pa.array(domain, pa.int64())}))
+        there = table.join(docs.select(F.col("doc_id").cast("long").alias("id")), "id", "left_semi").groupBy("domain").count()
+        for r in there.collect():  # one row a domain
+            n[r["domain"]] += r["count"]
+    return n / n.sum()
+
+
 def memberships(docs: DataFrame, model: Model, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(doc_id, *keep, tokens, p_clean, p_low, p_toxic)`` for every row of ``docs (doc_id, text, ...)``; posteriors on the grid."""
     shared = docs.sparkSession.sparkContext.broadcast((model.tables, model.evidence))
@@ -255,7 +268,8 @@ def shifted(members: DataFrame, factors: dict[str, float]) -> dict[str, float]:
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, keep: tuple[str, ...] = (), max_labels: int = importance.MAX_LABELS,
-        most: float = MAX_RATE, factors: dict[str, float] | None = None, even: bool = False) -> DataFrame:
+        most: float = MAX_RATE, factors: dict[str, float] | None = None, even: bool = False,
+        train: DataFrame | None = None) -> DataFrame:
     """``(doc_id, *keep, tokens, p_clean, p_low, p_toxic, rate)`` for every row of ``docs (doc_id, text, ...)``.
 
     ``targets`` are shares of all tokens per domain (default ``TARGETS``); ``factors`` takes them from the input
@@ -265,9 +279,12 @@ def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = N
     posterior. Rows with a null id are unlabelled; repeated rows each get the same rate. Ids are integers, or
     texts of integers. Without labels all domains are equally likely for all. Targets that no rates reach give the
     least squared error. An empty table gives no rows. ``keep`` names columns to carry along (their rows
-    are scored again on the way rather than stored); others are ignored.
+    are scored again on the way rather than stored); others are ignored. ``train (doc_id, text)`` holds the labelled
+    texts where ``docs`` has lost most of some domain (default: ``docs``); the prior is that of ``docs`` all the same.
     """
-    model = classifier(docs, labels, max_labels)
+    model = classifier(docs if train is None else train, labels, max_labels)
+    if train is not None:
+        model = model._replace(prior=prior_in(docs, labels, max_labels))
     narrow = staged(memberships(docs, model), "members")
     rates = fit_rates(narrow, shifted(narrow, factors) if factors else targets, most, even=even)
     return with_rates(memberships(docs, model, keep) if keep else narrow, rates)
