@@ -53,9 +53,11 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Adds to every document its tokens, domain posteriors and the rate at which to draw it; none is dropped.
 
     The earlier stages have removed most low and toxic text, so targets are set against what is left, and
-    errors of all domains weigh alike however rare they have become.
+    errors of all domains weigh alike however rare they have become. The classifier learns from the labelled
+    texts of ``documents``, as no example of a domain may be left here.
     """
-    mixed = soft_mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=COLUMNS[1:], most=MAX_RATE, factors=FACTORS, even=True)
+    mixed = soft_mixing.mix(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), keep=COLUMNS[1:], most=MAX_RATE, factors=FACTORS, even=True,
+                            train=spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select(*COLUMNS, "tokens", *(f"p_{d}" for d in soft_mixing.DOMAINS), "rate")
 
 
