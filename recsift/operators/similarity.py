@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from recsift.operators.filters import active_users, item_support, valid_interactions
-from recsift.operators.pairs import basket_pairs, symmetrize
+from recsift.operators.pairs import BLOCK_ITEMS, basket_pairs, symmetrize
 from recsift.sources.text_io import stage
 
 
@@ -79,26 +79,63 @@ def pair_support(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
     Users need at least ``min_rows`` rows; support counts distinct users holding both items.
     """
-    pu = _swing_user_pairs(_active_baskets(orders, min_rows), min_users)
-    return (pu.groupBy("item_i", "item_j").agg(F.count(F.lit(1)).alias("support"))
-            .where((F.col("support") >= min_users) & (F.col("support") <= max_users)))
+    us = _pair_users(_swing_user_pairs(_active_baskets(orders, min_rows), min_users), min_users, max_users)
+    return us.select("item_i", "item_j", F.size("us").cast("bigint").alias("support"))
+
+
+#: Basket entries met by one item up to which one row gathers them.
+HOT_ENTRIES = 200_000
 
 
 def _active_baskets(orders: DataFrame, min_rows: int) -> DataFrame:
-    """Distinct ``(user_id, item_id)`` of users with at least ``min_rows`` rows, written once.
+    """Distinct ``(user_id, item_id, held)`` of users with at least ``min_rows`` rows, written once; ``held``: the user's items.
 
     Swing reads it for item support, for pairs and for overlaps; stored, its inputs are read and planned
     once, and a lost executor re-reads the table.
     """
     held = _rows(orders).groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    heavy = held.groupBy("user_id").agg(F.sum("n").alias("n")).where(F.col("n") >= min_rows).select("user_id")
-    return stage(held.select("user_id", "item_id").join(heavy, "user_id", "left_semi"), "baskets")
+    heavy = held.groupBy("user_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("held")).where(F.col("n") >= min_rows)
+    return stage(held.select("user_id", "item_id").join(heavy.select("user_id", "held"), "user_id"), "baskets")
 
 
-def _swing_user_pairs(ui: DataFrame, min_users: int) -> DataFrame:
-    """``(user_id, item_i, item_j)``; items with fewer than ``min_users`` users cannot be in a supported pair and form none."""
-    held = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_users).select("item_id")
-    return basket_pairs(ui.join(held, "item_id", "left_semi"), ["user_id"], "item_id", distinct=False)
+def _swing_user_pairs(ui: DataFrame, min_users: int, hot_entries: int = HOT_ENTRIES) -> DataFrame:
+    """``(user_id, item_i, item_j)`` of every item pair held by ``min_users`` users or more.
+
+    Most pairs of a large log are held by fewer, so pairs are counted before rows are made of them. Every item
+    gets from each of its users the later items of the basket, as one array of 32-bit hashes; hashes that fewer
+    than ``min_users`` of those arrays hold stand for no supported pair and go. Equal hashes of different items only
+    keep more, and the rest is joined with the baskets by user and hash, which gives back the items. Items that meet
+    over ``hot_entries`` entries of baskets come last in each order: they gather nothing, and their few pairs
+    with each other become rows at once, so no list grows with a popular item.
+    """
+    if min_users < 2:
+        return basket_pairs(ui.select("user_id", "item_id"), ["user_id"], "item_id", distinct=False)
+    items = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("held").alias("met")).where(F.col("n") >= min_users)
+    x = ui.join(items.select("item_id", (F.col("met") > hot_entries).alias("hot")), "item_id").withColumn("h", F.hash("item_id"))
+    hot = basket_pairs(x.where("hot").select("user_id", "item_id"), ["user_id"], "item_id", distinct=False)
+    # Large baskets are dealt into blocks, as in basket_pairs; a list holds the items of a pair of blocks.
+    blocks = F.ceil(F.col("held") / F.lit(BLOCK_ITEMS)).cast("int")
+    dealt = x.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("item_id"), "blocks").cast("int"))
+    pair_of = lambda q: F.struct(F.least("block", q).alias("p"), F.greatest("block", q).alias("q"))
+    member = dealt.select("user_id", F.struct("hot", "item_id", "h", "block").alias("x"),
+                          F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair_of)).alias("k"))
+    lists = member.repartition("user_id", "k").groupBy("user_id", "k").agg(F.sort_array(F.collect_list("x")).alias("l"))
+    lists = lists.select("user_id", "k", "l", F.col("l.h").alias("hs"))
+    later = F.when(F.col("k.p") == F.col("k.q"), F.slice("hs", F.col("at") + 2, F.size("hs"))).otherwise(
+        F.transform(F.filter(F.slice("l", F.col("at") + 2, F.size("l")), lambda y: y["block"] != F.col("x.block")), lambda y: y["h"]))
+    each = lists.select("user_id", "k", "l", "hs", F.posexplode("l").alias("at", "x")).where(~F.col("x.hot") & (F.col("at") + 1 < F.size("hs")))
+    entry = each.select(F.col("x.item_id").alias("item"), F.struct("user_id", later.alias("hs")).alias("e"))
+    # Sorted inside the aggregation, which no filter passes, so once for each item.
+    lists = entry.repartition("item").groupBy("item").agg(F.collect_list("e").alias("es"), F.sort_array(F.flatten(F.collect_list("e.hs"))).alias("all"))
+    again = F.filter("all", lambda h, i: h == F.get("all", i + (min_users - 1)))
+    often = lists.select("item", "es", F.array_distinct(again).alias("often")).where(F.size("often") > 0)
+    left = often.select("item", "often", F.explode("es").alias("e"))
+    left = left.select(F.col("e.user_id").alias("user_id"), "item", F.explode(F.array_intersect("e.hs", "often")).alias("h"))
+    # Equal hashes in two blocks of one basket would come twice.
+    left = left.repartition("user_id", "h").distinct()
+    other = x.select("user_id", "h", F.col("item_id").alias("other"), "hot")
+    met = left.join(other, ["user_id", "h"]).where(F.col("hot") | (F.col("item") < F.col("other")))
+    return met.select("user_id", F.least("item", "other").alias("item_i"), F.greatest("item", "other").alias("item_j")).unionByName(hot)
 
 
 def _user_overlaps(needed: DataFrame, ui: DataFrame, max_array: int) -> DataFrame:

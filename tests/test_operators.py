@@ -1,5 +1,6 @@
 """Hand-made edge cases for the operators (FIXTURES.md part 3)."""
 
+import itertools
 import math
 
 import pytest
@@ -363,3 +364,47 @@ def test_staging_needs_a_shared_folder_off_local_masters(monkeypatch):
     fake = type("Session", (), {"conf": type("C", (), {"get": staticmethod(lambda k, d=None: None)}), "sparkContext": Context})
     with pytest.raises(ValueError):
         session.staging_dir(fake)
+
+
+def _brute_support(rows, lo, hi):
+    held = {}
+    for u, i in rows:
+        held.setdefault(u, set()).add(i)
+    n = {}
+    for items in held.values():
+        for i, j in itertools.combinations(sorted(items), 2):
+            n[i, j] = n.get((i, j), 0) + 1
+    return sorted((i, j, c) for (i, j), c in n.items() if lo <= c <= hi)
+
+
+@pytest.mark.parametrize("hot,block", [(200_000, 256), (0, 256), (60, 256), (60, 3), (200_000, 3)])
+def test_swing_pairs_with_hot_items_and_blocks(spark, monkeypatch, hot, block):
+    """Items that gather, items that do not and baskets of several blocks give every supported pair once."""
+    rows = [(f"u{u}", f"i{i}") for u in range(30) for i in range(20) if (u * 7 + i * i * 3 + u * i) % (2 + i % 5) == 0]
+    monkeypatch.setattr(similarity, "BLOCK_ITEMS", block)
+    ui = similarity._active_baskets(spark.createDataFrame(rows, "user_id string, item_id string"), 1)
+    pu = similarity._swing_user_pairs(ui, 3, hot)
+    assert pu.count() == pu.distinct().count()
+    got = similarity._pair_users(pu, 3, 9).selectExpr("item_i", "item_j", "size(us)").collect()
+    assert sorted(map(tuple, got)) == _brute_support(rows, 3, 9)
+
+
+def test_swing_pairs_ship_only_supported_ones(spark):
+    """Pairs held by too few users never become rows, however many a basket makes."""
+    rows = [(f"u{u}", f"i{u}_{i}") for u in range(4) for i in range(60)] + [(f"u{u}", x) for u in range(4) for x in ("a", "b")]
+    rows += [(f"v{u}", f"i{u % 4}_{i}") for u in range(8) for i in range(60) if (i + u) % 3]
+    ui = similarity._active_baskets(spark.createDataFrame(rows, "user_id string, item_id string"), 1)
+    support = {(i, j) for i, j, _ in _brute_support(rows, 3, 10**6)}
+    got = similarity._swing_user_pairs(ui, 3).collect()
+    assert {(r["item_i"], r["item_j"]) for r in got} == support and ("a", "b") in support
+
+
+def test_swing_pairs_survive_equal_hashes(spark, monkeypatch):
+    """Where the hash tells nothing apart, pairs and supports are still exact."""
+    rows = [(f"u{u}", f"i{i}") for u in range(12) for i in range(9) if (u + i) % 3]
+    monkeypatch.setattr(similarity.F, "hash", lambda *c: F.lit(7))
+    for block in (256, 2):
+        monkeypatch.setattr(similarity, "BLOCK_ITEMS", block)
+        ui = similarity._active_baskets(spark.createDataFrame(rows, "user_id string, item_id string"), 1)
+        got = similarity._pair_users(similarity._swing_user_pairs(ui, 3), 3, 99).selectExpr("item_i", "item_j", "size(us)").collect()
+        assert sorted(map(tuple, got)) == _brute_support(rows, 3, 99)
