@@ -3,8 +3,8 @@
 Every item of a group is dealt into one of the group's blocks by its hash; a group has as many blocks as
 its size asks for, so most have one. The items of one block, or of two, are gathered into a list, one for
 each pair of blocks, and pairs come from the list. A hot group is thus many lists of bounded length on
-many tasks, and no group is ever gathered whole. Rows are shuffled once, and no side is joined with
-itself; only groups of several blocks, few rows, are joined to learn their number of blocks.
+many tasks, and no group is ever gathered whole. Rows are shuffled twice, for the size of their group and
+to their lists, and nothing is joined.
 Aggregations right after are partially combined before the next shuffle.
 """
 
@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Items per block of a group, on average.
@@ -36,16 +36,17 @@ def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item
     base = df.where(there).select(*group_cols, item_col, *carry)
     if distinct:
         base = base.distinct()
-    blocks = F.ceil(F.count(F.lit(1)) / F.lit(block_items)).cast("int")
-    split = base.groupBy(*group_cols).agg(blocks.alias("_blocks")).where("_blocks > 1").alias("ps")
-    same = [F.col(f"pb.{g}").eqNullSafe(F.col(f"ps.{g}")) if g in nullable_groups else F.col(f"pb.{g}") == F.col(f"ps.{g}") for g in group_cols]
-    dealt = base.alias("pb").join(split, same, "left").select(*[F.col(f"pb.{c}").alias(c) for c in base.columns], "_blocks")
-    dealt = dealt.withColumn("_block", F.when(F.col("_blocks").isNotNull(), F.pmod(F.xxhash64(item_col), "_blocks")).otherwise(0).cast("int"))
+    # Rows are dealt by group and sorted once; a group's size comes with its rows, and those that stay alone go no further.
+    size = F.count(F.lit(1)).over(Window.partitionBy(*group_cols))
+    dealt = base.repartition(*group_cols).withColumn("_size", size).where(F.col("_size") > 1)
+    dealt = dealt.withColumn("_blocks", F.ceil(F.col("_size") / F.lit(block_items)).cast("int"))
+    dealt = dealt.withColumn("_block", F.when(F.col("_blocks") > 1, F.pmod(F.xxhash64(item_col), "_blocks")).otherwise(0).cast("int"))
     # An item is in the list of every pair of blocks that its own is part of.
     pair_of = lambda q: F.struct(F.least("_block", q).alias("p"), F.greatest("_block", q).alias("q"))
-    keys = F.when(F.col("_blocks").isNull(), F.array(pair_of(F.lit(0)))).otherwise(F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), pair_of))
+    keys = F.when(F.col("_blocks") == 1, F.array(pair_of(F.lit(0)))).otherwise(F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), pair_of))
     member = dealt.select(*group_cols, F.struct("_block", F.col(item_col).alias("_item"), *carry).alias("_x"), F.explode(keys).alias("_k"))
-    lists = member.groupBy(*group_cols, "_k").agg(F.sort_array(F.collect_list("_x")).alias("_l"))
+    # Dealt before they are gathered: lists made of single items on the sending side would be larger rows, and no fewer.
+    lists = member.repartition(*group_cols, "_k").groupBy(*group_cols, "_k").agg(F.sort_array(F.collect_list("_x")).alias("_l"))
     one = F.col("_k.p") == F.col("_k.q")
     lists = lists.withColumn("_n", F.when(~one, F.size(F.filter("_l", lambda x: x["_block"] == F.col("_k.p")))))
     left = lists.select(*group_cols, "_l", "_n", F.posexplode("_l").alias("_at", "_a")).where(F.col("_n").isNull() | (F.col("_at") < F.col("_n")))

@@ -19,6 +19,8 @@ def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame
     cand = servable.select(F.col("item_id").alias("item_j"), F.col("offer_id").alias("sim_offer"))
     main = (catalog.where(F.col("status") != 0)
             .select(F.col("item_id").alias("item_i"), F.col("offer_id").alias("main_offer")))
+    if distinct:  # an offer that several rows give to an item would only multiply pairs for the distinct below
+        cand, main = cand.distinct(), main.distinct()
     out = sim.join(cand, "item_j").join(main, "item_i").select("main_offer", "sim_offer", "score")
     # Stated explicitly (they hold for any usable pair) so that consumers which would infer them
     # from their own joins or filters all see one plan and share this result's shuffle.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from recsift.operators.filters import active_users, item_support, valid_interactions
+from recsift.operators.filters import valid_interactions
 from recsift.operators.pairs import BLOCK_ITEMS, basket_pairs, symmetrize
 from recsift.sources.text_io import stage
 
@@ -14,20 +14,29 @@ def _rows(interactions: DataFrame) -> DataFrame:
     return interactions.select("user_id", "item_id").where(F.col("user_id").isNotNull() & F.col("item_id").isNotNull())
 
 
+def _categories(catalog: DataFrame, category_col: str) -> DataFrame:
+    live = catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))
+    return live.select("item_id", F.col(category_col).alias("category"))
+
+
 def _cf_pairs_base(users: DataFrame, nor: DataFrame, catalog: DataFrame, category_col: str) -> DataFrame:
-    cats = (catalog.where((F.col("status") != 0) & (F.col("product_type") == 1))
-            .select("item_id", F.col(category_col).alias("category")))
-    return users.join(nor, "item_id").join(cats, "item_id").select("user_id", "category", "item_id", "nor").distinct()
+    return users.join(nor, "item_id").join(_categories(catalog, category_col), "item_id").select("user_id", "category", "item_id", "nor").distinct()
 
 
 def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, max_user_rows: int,
              min_support: int, category_col: str, strict_users: bool) -> DataFrame:
-    r = _rows(interactions)
     # The studied job forms pairs from all users (the activity bounds only shape the norms);
     # strict_users applies them to the pair base too.
-    ui = r.distinct()
-    users = ui.join(active_users(r, min_user_rows, max_user_rows).select("user_id"), "user_id", "left_semi") if strict_users else ui
-    return _cf_pairs_base(users, item_support(r, min_support, min_user_rows, max_user_rows), catalog, category_col)
+    by_user, by_item = Window.partitionBy("user_id"), Window.partitionBy("item_id")
+    once = F.row_number().over(Window.partitionBy("user_id", "item_id").orderBy("item_id"))
+    # One shuffle and sort by user gives rows of a user and distinct items, one by item their support and category.
+    rows = _rows(interactions).repartition("user_id").sortWithinPartitions("user_id", "item_id").withColumn("_once", once)
+    rows = rows.withColumn("_active", F.count(F.lit(1)).over(by_user).between(min_user_rows, max_user_rows)).where(F.col("_once") == 1)
+    held = (rows.select("user_id", "item_id", "_active").repartition("item_id").withColumn("nor", F.count(F.when(F.col("_active"), 1)).over(by_item))
+            .where(F.col("nor") >= min_support))
+    if strict_users:
+        held = held.where("_active")
+    return held.join(_categories(catalog, category_col).distinct(), "item_id").select("user_id", "category", "item_id", "nor")
 
 
 def _cf_scores(base: DataFrame) -> DataFrame:

@@ -408,3 +408,22 @@ def test_swing_pairs_survive_equal_hashes(spark, monkeypatch):
         ui = similarity._active_baskets(spark.createDataFrame(rows, "user_id string, item_id string"), 1)
         got = similarity._pair_users(similarity._swing_user_pairs(ui, 3), 3, 99).selectExpr("item_i", "item_j", "size(us)").collect()
         assert sorted(map(tuple, got)) == _brute_support(rows, 3, 99)
+
+
+def test_cf_activity_counts_rows_not_items(spark):
+    """Repeated rows make a user active; an item's support and pairs count the user once."""
+    rows = [("r", "a")] * 3 + [("r", "b")] + [("s", "a")] * 2 + [("t", "a"), ("t", "b"), ("t", "b")] + [("one", "b")]
+    log = spark.createDataFrame(rows, "user_id string, item_id string")
+    cat = spark.createDataFrame([(x, 1, 1, c) for x in "ab" for c in ("c", "c", "d")], "item_id string, status int, product_type int, subcate_id string")
+    got = similarity.item_cf(log, cat, min_support=2).orderBy("item_i").select("item_i", "item_j", "co", "nor_i", "nor_j").collect()
+    assert [tuple(r) for r in got] == [("a", "b", 4, 3, 2), ("b", "a", 4, 2, 3)]
+    strict = similarity.item_cf(log, cat, min_user_rows=4, min_support=1, strict_users=True).collect()
+    assert {(r["item_i"], r["co"], r["nor_i"]) for r in strict} == {("a", 2, 1), ("b", 2, 1)}
+
+
+def test_cf_base_is_shuffled_by_user_and_item_only(spark):
+    """The pair base takes no other shuffle of the log, and no hash table of all rows."""
+    log = spark.createDataFrame([("u", "a")], "user_id string, item_id string")
+    cat = spark.createDataFrame([("a", 1, 1, "c")], "item_id string, status int, product_type int, subcate_id string")
+    plan = similarity._cf_base(log, cat, 2, 2000, 5, "subcate_id", True)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Exchange") + plan.count("RepartitionBy") <= 2 and plan.count("HashAggregate") <= 2
