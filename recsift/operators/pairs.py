@@ -1,10 +1,11 @@
 """Co-occurrence pairs inside groups.
 
-Every item of a group is dealt into one of the group's blocks by its hash; a group has as many blocks as
-its size asks for, so most have one. The items of one block, or of two, are gathered into a list, one for
+Rows are shuffled by group and counted there. In a group of up to ``block_items`` items, as most are, each item
+meets the earlier ones in the same task. Every item of a larger group is dealt into one of the group's blocks by
+its hash, as many blocks as its size asks for. The items of one block, or of two, are gathered into a list, one for
 each pair of blocks, and pairs come from the list. A hot group is thus many lists of bounded length on
-many tasks, and no group is ever gathered whole. Rows are shuffled twice, for the size of their group and
-to their lists, and nothing is joined.
+many tasks, and no group is ever gathered whole. Only rows of large groups are shuffled again, to their lists, and
+nothing is joined.
 Aggregations right after are partially combined before the next shuffle.
 """
 
@@ -19,6 +20,15 @@ from pyspark.sql import functions as F
 BLOCK_ITEMS = 256
 
 
+def spread(df: DataFrame, *cols: str) -> DataFrame:
+    """``df`` dealt by ``cols`` over all shuffle partitions of the session.
+
+    With a number given, Spark does not merge partitions by their bytes. What follows sorts the rows or makes pairs of
+    them, which takes many times those bytes, so tasks stay small.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *cols)
+
+
 def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item_id",
                  carry: Sequence[str] = (), distinct: bool = True,
                  nullable_groups: Sequence[str] = (), block_items: int = BLOCK_ITEMS) -> DataFrame:
@@ -37,13 +47,21 @@ def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item
     if distinct:
         base = base.distinct()
     # Rows are dealt by group and sorted once; a group's size comes with its rows, and those that stay alone go no further.
-    size = F.count(F.lit(1)).over(Window.partitionBy(*group_cols))
-    dealt = base.repartition(*group_cols).withColumn("_size", size).where(F.col("_size") > 1)
+    by_group = Window.partitionBy(*group_cols)
+    rows = spread(base, *group_cols).sortWithinPartitions(*group_cols, item_col).withColumn("_size", F.count(F.lit(1)).over(by_group))
+    # A group of one block is complete where it was counted: each item meets the earlier ones.
+    earlier = F.collect_list(F.struct(F.col(item_col).alias("_item"), *carry)).over(
+        by_group.orderBy(item_col).rowsBetween(Window.unboundedPreceding, -1))
+    small = rows.where(F.col("_size").between(2, block_items)).withColumn("_e", earlier)
+    small = small.select(*group_cols, item_col, *carry, F.explode("_e").alias("_a")).where(F.col("_a._item") != F.col(item_col))
+    small = small.select(*group_cols, F.col("_a._item").alias("item_i"), F.col(item_col).alias("item_j"),
+                         *[F.col(f"_a.{c}").alias(f"{c}_i") for c in carry], *[F.col(c).alias(f"{c}_j") for c in carry])
+    dealt = rows.where(F.col("_size") > block_items)
     dealt = dealt.withColumn("_blocks", F.ceil(F.col("_size") / F.lit(block_items)).cast("int"))
-    dealt = dealt.withColumn("_block", F.when(F.col("_blocks") > 1, F.pmod(F.xxhash64(item_col), "_blocks")).otherwise(0).cast("int"))
+    dealt = dealt.withColumn("_block", F.pmod(F.xxhash64(item_col), "_blocks").cast("int"))
     # An item is in the list of every pair of blocks that its own is part of.
     pair_of = lambda q: F.struct(F.least("_block", q).alias("p"), F.greatest("_block", q).alias("q"))
-    keys = F.when(F.col("_blocks") == 1, F.array(pair_of(F.lit(0)))).otherwise(F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), pair_of))
+    keys = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), pair_of)
     member = dealt.select(*group_cols, F.struct("_block", F.col(item_col).alias("_item"), *carry).alias("_x"), F.explode(keys).alias("_k"))
     # Dealt before they are gathered: lists made of single items on the sending side would be larger rows, and no fewer.
     lists = member.repartition(*group_cols, "_k").groupBy(*group_cols, "_k").agg(F.sort_array(F.collect_list("_x")).alias("_l"))
@@ -59,7 +77,8 @@ def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item
         return [F.when(first, x).otherwise(y).alias(i), F.when(first, y).otherwise(x).alias(j)]
 
     carried = [ordered(c, f"{c}_i", f"{c}_j") for c in carry]
-    return met.select(*group_cols, *ordered("_item", "item_i", "item_j"), *[x for x, _ in carried], *[y for _, y in carried])
+    large = met.select(*group_cols, *ordered("_item", "item_i", "item_j"), *[x for x, _ in carried], *[y for _, y in carried])
+    return small.unionByName(large)
 
 
 def symmetrize(df: DataFrame, left: str, right: str, paired: Sequence[tuple[str, str]] = (),

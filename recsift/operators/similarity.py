@@ -27,11 +27,12 @@ def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, ma
              min_support: int, category_col: str, strict_users: bool) -> DataFrame:
     # The studied job forms pairs from all users (the activity bounds only shape the norms);
     # strict_users applies them to the pair base too.
-    by_user, by_item = Window.partitionBy("user_id"), Window.partitionBy("item_id")
-    once = F.row_number().over(Window.partitionBy("user_id", "item_id").orderBy("item_id"))
-    # One shuffle and sort by user gives rows of a user and distinct items, one by item their support and category.
-    rows = _rows(interactions).repartition("user_id").sortWithinPartitions("user_id", "item_id").withColumn("_once", once)
-    rows = rows.withColumn("_active", F.count(F.lit(1)).over(by_user).between(min_user_rows, max_user_rows)).where(F.col("_once") == 1)
+    by_user, by_item = Window.partitionBy("user_id").orderBy("item_id"), Window.partitionBy("item_id")
+    whole = by_user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # One shuffle, sort and window by user gives rows of a user and distinct items, one by item their support and category.
+    rows = _rows(interactions).repartition("user_id").sortWithinPartitions("user_id", "item_id")
+    rows = rows.withColumn("_before", F.lag("item_id").over(by_user)).withColumn("_active", F.count(F.lit(1)).over(whole).between(min_user_rows, max_user_rows))
+    rows = rows.where(F.col("_before").isNull() | (F.col("_before") != F.col("item_id")))
     held = (rows.select("user_id", "item_id", "_active").repartition("item_id").withColumn("nor", F.count(F.when(F.col("_active"), 1)).over(by_item))
             .where(F.col("nor") >= min_support))
     if strict_users:
