@@ -26,7 +26,19 @@ def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame
     # from their own joins or filters all see one plan and share this result's shuffle.
     out = out.where(F.col("main_offer").isNotNull() & F.col("sim_offer").isNotNull()
                     & F.col("score").isNotNull() & ~F.isnan("score"))
-    return out.distinct() if distinct else out
+    return _distinct_pairs(out) if distinct else out
+
+
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
+    """Distinct ``(main_offer, sim_offer, score)``, dealt and sorted by the main offer, as joins and ranks by it need them.
+
+    Nearly all rows differ, so a hash table of them on either side of the shuffle would only take memory.
+    """
+    rows = pairs.repartition("main_offer").sortWithinPartitions("main_offer", "sim_offer", "score")
+    w = Window.partitionBy("main_offer").orderBy("sim_offer", "score")
+    rows = rows.withColumns({"_sim": F.lag("sim_offer").over(w), "_score": F.lag("score").over(w)})
+    first = F.col("_sim").isNull() | (F.col("_sim") != F.col("sim_offer")) | (F.col("_score") != F.col("score"))
+    return rows.where(first).select("main_offer", "sim_offer", "score")
 
 
 def _prices(catalog: DataFrame) -> DataFrame:
@@ -81,11 +93,12 @@ def ctr_rerank(sim_offers: DataFrame, ctr: DataFrame, catalog: DataFrame, scale:
     p = _prices(catalog)
     main = p.select(F.col("offer_id").alias("main_offer"))
     cand = p.select(F.col("offer_id").alias("sim_offer"), F.col("month_sales").alias("sim_month_sales"))
+    # Both tables of the candidate in one shuffle; they drop most pairs before the main offer is looked up.
     j = (sim_offers.join(c, "sim_offer")
          .withColumn("score", F.col("score") * F.col("ctr") * F.lit(float(scale)))
          .where(F.col("score").isNotNull())
-         .join(main, "main_offer").join(cand, "sim_offer")
-         .where(F.col("sim_month_sales") > min_sales))
+         .join(cand, "sim_offer").where(F.col("sim_month_sales") > min_sales)
+         .join(main, "main_offer"))
     return ranked(j.select("main_offer", "sim_offer", "score"), "main_offer", [F.col("score").desc(), F.col("sim_offer").asc()]).select(
         "main_offer", "rank", "sim_offer", "score")
 

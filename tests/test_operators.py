@@ -427,3 +427,50 @@ def test_cf_base_is_shuffled_by_user_and_item_only(spark):
     cat = spark.createDataFrame([("a", 1, 1, "c")], "item_id string, status int, product_type int, subcate_id string")
     plan = similarity._cf_base(log, cat, 2, 2000, 5, "subcate_id", True)._jdf.queryExecution().sparkPlan().toString()
     assert plan.count("Exchange") + plan.count("RepartitionBy") <= 2 and plan.count("HashAggregate") <= 2
+
+
+def test_pairs_of_small_groups_need_no_second_shuffle(spark):
+    """A group of one block gives its pairs where it was counted; the tasks that make them are not merged by bytes."""
+    rows = [(g, f"i{k:02d}", k) for g, n in (("one", 1), ("full", 8), ("over", 9), (None, 3)) for k in range(n)] + [("full", "i00", 0)]
+    df = spark.createDataFrame(rows, "g string, item_id string, size int")
+    got = pairs.basket_pairs(df, ["g"], carry=["size"], distinct=False, nullable_groups=["g"], block_items=9)
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    want = sorted((g or "", f"i{a:02d}", f"i{b:02d}", a, b) for g, n in (("full", 8), ("over", 9), (None, 3)) for b in range(n) for a in range(b)
+                  for _ in range(2 if g == "full" and a == 0 else 1))
+    for block in (9, 8, 2):
+        got = pairs.basket_pairs(df, ["g"], carry=["size"], distinct=False, nullable_groups=["g"], block_items=block).collect()
+        assert sorted((r["g"] or "", *r[1:]) for r in got) == want
+
+
+def _joins(df, col):
+    return df._jdf.queryExecution().executedPlan().toString().count(f"hashpartitioning({col}#")
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_distinct_offers_are_dealt_by_the_main_offer_once(spark, no_broadcast):
+    sim = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.5), ("a", "d", 0.25), ("a", "b", 0.5), ("b", "a", None), ("c", "a", float("nan"))],
+                                "item_i string, item_j string, score double")
+    # b, c and d share an offer, which two rows give to b; a has two offers.
+    servable = spark.createDataFrame([("b", "x"), ("b", "x"), ("c", "x"), ("d", "x"), ("d", "y"), ("a", "m")], "item_id string, offer_id string")
+    cat = spark.createDataFrame([(i, o, 1, 1, 2.0, 1.0, 20) for i, o in (("a", "m"), ("a", "n"), ("b", "x"))],
+                                "item_id string, offer_id string, status int, product_type int, raw_price double, zk_price double, month_sales int")
+    offers = rerank.translate_and_filter(sim, servable, cat)
+    assert sorted(map(tuple, offers.collect())) == sorted((m, *r) for m in "mn" for r in (("x", 0.5), ("x", 0.25), ("y", 0.25)))
+    assert _joins(rerank.price_candidates(offers, cat), "main_offer") == 2  # the pairs once, for distinct and price, and the prices
+
+
+def test_ctr_rerank_takes_both_tables_of_the_candidate_in_one_shuffle(spark, no_broadcast, monkeypatch):
+    offers = spark.createDataFrame([("m", "x", 0.5)], "main_offer string, sim_offer string, score double")
+    ctr_ = spark.createDataFrame([("x", 0.5)], "offer_id string, ctr double")
+    cat = spark.createDataFrame([(o, 1, 1, 2.0, 1.0, 20) for o in "mx"],
+                                "offer_id string, status int, product_type int, raw_price double, zk_price double, month_sales int")
+    monkeypatch.setattr(rerank, "ranked", lambda df, *a, **k: df.withColumn("rank", F.lit(1)))
+    got = rerank.ctr_rerank(offers, ctr_, cat)
+    assert _joins(got, "sim_offer") == 3  # the pairs once, click rates, prices
+    assert [tuple(r) for r in got.collect()] == [("m", 1, "x", 25.0)]
