@@ -9,19 +9,27 @@ from recsift.functions.catalog import MIN_DISCOUNT_RATIO, PRICE_BANDS, discount_
 from recsift.operators.ranking import ranked
 
 
-def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame,
-                         distinct: bool = True) -> DataFrame:
+def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame, distinct: bool = True,
+                         symmetric: bool = False, kept: DataFrame | None = None) -> DataFrame:
     """Item pairs to offer pairs: ``(main_offer, sim_offer, score)``.
 
     The candidate must be servable (``servable`` = ``(item_id, offer_id)``); the main item maps
     through any live catalog row. Both are inner joins, so an item with several offers fans out.
+    ``symmetric``: ``sim`` holds every pair in both directions with one score, as ``item_cf`` does; a pair is then
+    looked up once for both. ``kept`` (``offer_id``) names the candidates that the job does not drop later
+    on, so that others do not meet pairs (existence test).
     """
     cand = servable.select(F.col("item_id").alias("item_j"), F.col("offer_id").alias("sim_offer"))
     main = (catalog.where(F.col("status") != 0)
             .select(F.col("item_id").alias("item_i"), F.col("offer_id").alias("main_offer")))
-    if distinct:  # an offer that several rows give to an item would only multiply pairs for the distinct below
-        cand, main = cand.distinct(), main.distinct()
-    out = sim.join(cand, "item_j").join(main, "item_i").select("main_offer", "sim_offer", "score")
+    if kept is not None:
+        cand = cand.join(kept.select(F.col("offer_id").alias("sim_offer")), "sim_offer", "left_semi")
+    if symmetric:
+        out = _translate_both_ways(sim, main, cand, distinct)
+    else:
+        if distinct:  # an offer that several rows give to an item would only multiply pairs for the distinct below
+            cand, main = cand.distinct(), main.distinct()
+        out = sim.join(cand, "item_j").join(main, "item_i").select("main_offer", "sim_offer", "score")
     # Stated explicitly (they hold for any usable pair) so that consumers which would infer them
     # from their own joins or filters all see one plan and share this result's shuffle.
     out = out.where(F.col("main_offer").isNotNull() & F.col("sim_offer").isNotNull()
@@ -29,6 +37,23 @@ def translate_and_filter(sim: DataFrame, servable: DataFrame, catalog: DataFrame
     return _distinct_pairs(out) if distinct else out
 
 
+def _translate_both_ways(sim: DataFrame, main: DataFrame, cand: DataFrame, distinct: bool) -> DataFrame:
+    """Offer pairs of symmetric item pairs: the offers of either item, as main and as candidate, meet a pair once."""
+    n = lambda m, c: [F.lit(m).cast("bigint").alias("m"), F.lit(c).cast("bigint").alias("c")]
+    offers = main.select(F.col("item_i").alias("item"), F.col("main_offer").alias("offer"), *n(1, 0)).unionByName(
+        cand.select(F.col("item_j").alias("item"), F.col("sim_offer").alias("offer"), *n(0, 1))).where(F.col("offer").isNotNull())
+    rows = F.max if distinct else F.sum  # rows that give the offer to the item
+    offers = offers.groupBy("item", "offer").agg(rows("m").alias("m"), rows("c").alias("c"))
+    side = lambda s: offers.select(F.col("item").alias(f"item_{s}"), *[F.col(c).alias(f"{c}_{s}") for c in ("offer", "m", "c")])
+    met = sim.where(F.col("item_i") < F.col("item_j")).select("item_i", "item_j", "score").join(side("i"), "item_i").join(side("j"), "item_j")
+    way = lambda a, b: F.struct(F.col(f"offer_{a}").alias("main_offer"), F.col(f"offer_{b}").alias("sim_offer"),
+                                (F.col(f"m_{a}") * F.col(f"c_{b}")).alias("n"))
+    out = met.select("score", F.explode(F.array(way("i", "j"), way("j", "i"))).alias("p")).where(F.col("p.n") > 0)
+    if not distinct:
+        out = out.select("score", "p", F.explode(F.array_repeat(F.lit(0), F.col("p.n").cast("int"))))
+    return out.select("p.main_offer", "p.sim_offer", "score")
+
+
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     """Distinct ``(main_offer, sim_offer, score)``, dealt and sorted by the main offer, as joins and ranks by it need them.
 
@@ -46,6 +71,12 @@ def _prices(catalog: DataFrame) -> DataFrame:
         .select("offer_id", "raw_price", "zk_price", "month_sales")
 
 
+def price_offers(catalog: DataFrame, min_sales: int = 10, min_discount: float = MIN_DISCOUNT_RATIO) -> DataFrame:
+    """``kept`` of ``translate_and_filter``: the candidates that ``price_rerank`` does not drop."""
+    sold = F.col("month_sales") > min_sales
+    return _prices(catalog).where(sold & (discount_ratio("raw_price", "zk_price") > F.lit(float(min_discount)))).select("offer_id")
+
+
 def price_candidates(sim_offers: DataFrame, catalog: DataFrame, min_sales: int = 10) -> DataFrame:
     """Offer pairs with both prices attached (the scored-list content).
 

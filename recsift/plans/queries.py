@@ -141,13 +141,14 @@ def _item_sim(spark, d, fan=False):
     return sim.item_cf(fx.orders_log(spark, d), fx.catalog(spark, d, fan))
 
 
-def _offers(spark, d, distinct=True, fan=False, item_sim=None):
+def _offers(spark, d, distinct=True, fan=False, item_sim=None, kept=None):
     item_sim = _item_sim(spark, d, fan) if item_sim is None else item_sim
-    return rr.translate_and_filter(item_sim, _servable(spark, d, fan), fx.catalog(spark, d, fan), distinct)
+    return rr.translate_and_filter(item_sim, _servable(spark, d, fan), fx.catalog(spark, d, fan), distinct, symmetric=True, kept=kept)
 
 
-def _price_lists(spark, d, fan=False, offers=None):
-    return rr.price_rerank(_offers(spark, d, fan=fan) if offers is None else offers, fx.catalog(spark, d, fan))
+def _price_lists(spark, d, fan=False, offers=None, item_sim=None):
+    cat = fx.catalog(spark, d, fan)
+    return rr.price_rerank(_offers(spark, d, fan=fan, item_sim=item_sim, kept=rr.price_offers(cat)) if offers is None else offers, cat)
 
 
 def _ctr_lists(spark, d, item_sim=None):
@@ -172,7 +173,7 @@ def ctr_rerank(spark, d):
 def _extensions(spark, d):
     """Both lists come from one stored similarity table, so it is planned and made once."""
     s = tio.stage(_item_sim(spark, d), "item_sim")
-    return rr.extend_lists(base=_ctr_lists(spark, d, s), new=_price_lists(spark, d, offers=_offers(spark, d, item_sim=s)))
+    return rr.extend_lists(base=_ctr_lists(spark, d, s), new=_price_lists(spark, d, item_sim=s))
 
 
 @query

@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -474,3 +475,54 @@ def test_ctr_rerank_takes_both_tables_of_the_candidate_in_one_shuffle(spark, no_
     got = rerank.ctr_rerank(offers, ctr_, cat)
     assert _joins(got, "sim_offer") == 3  # the pairs once, click rates, prices
     assert [tuple(r) for r in got.collect()] == [("m", 1, "x", 25.0)]
+
+
+def test_symmetric_pairs_are_looked_up_once_for_both_directions(spark, no_broadcast):
+    """The same offer pairs as from directed pairs, with several, shared, repeated and null offers, and fewer pairs shuffled."""
+    half = [("a", "b", 0.5), ("a", "c", 0.25), ("b", "d", 0.5), ("c", "d", float("nan")), ("b", "c", 0.125), ("a", "gone", 0.5)]
+    sim = spark.createDataFrame(half + [(j, i, s) for i, j, s in half], "item_i string, item_j string, score double")
+    servable = spark.createDataFrame([("b", "x"), ("b", "x"), ("c", "x"), ("d", "y"), ("a", "m"), ("c", None), (None, "z")], "item_id string, offer_id string")
+    cat = spark.createDataFrame([("a", "m", 1), ("a", "n", 1), ("b", "x", 1), ("b", "x", 1), ("c", "x", 0), ("c", None, 1), ("d", "y", 1), ("d", "k", 1)],
+                                "item_id string, offer_id string, status int")
+    some = lambda *ids: spark.createDataFrame([(i,) for i in ids] + [(ids[0],)], "offer_id string")
+    for distinct in (True, False):
+        rows = lambda **k: sorted(map(tuple, rerank.translate_and_filter(sim, servable, cat, distinct, **k).collect()))
+        want = rows()
+        assert len(want) > 5 and rows(symmetric=True) == want
+        few = [r for r in want if r[1] in ("x", "m")]
+        assert few and rows(kept=some("x", "m")) == few == rows(symmetric=True, kept=some("x", "m"))
+    plan = rerank.translate_and_filter(sim, servable, cat, symmetric=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Filter .*item_i#\d+ < item_j#\d+", plan)
+
+
+@pytest.mark.parametrize("table", ["price"])
+def test_offers_dropped_later_do_not_meet_pairs(spark, table):
+    """Ranked lists are the same with and without the offers that the re-rank keeps named beforehand."""
+    items = "abcdef"
+    half = [(i, j, 1 / (ord(i) + ord(j))) for i in items for j in items if i < j]
+    sim = spark.createDataFrame(half + [(j, i, s) for i, j, s in half], "item_i string, item_j string, score double")
+    # b is of another type, c sells little, d has no discount, e has a null price, f is off; g gives c's offer better sales.
+    cat = spark.createDataFrame([("a", "oa", 1, 1, 2.0, 1.0, 20), ("b", "ob", 1, 2, 2.0, 1.0, 20), ("c", "oc", 1, 1, 2.0, 1.0, 5), ("d", "od", 1, 1, 1.0, 1.0, 20),
+                                 ("e", "oe", 1, 1, 2.0, None, 20), ("f", "of", 0, 1, 2.0, 1.0, 20), ("g", "oc", 1, 1, 4.0, 1.0, 30)],
+                                "item_id string, offer_id string, status int, product_type int, raw_price double, zk_price double, month_sales int")
+    ctr_ = spark.createDataFrame([("oa", 0.5), ("oc", None), ("oc", 0.25), ("od", 0.5), ("oe", None)], "offer_id string, ctr double")
+    servable = cat.select("item_id", "offer_id")
+    kept = rerank.price_offers(cat)
+    distinct = table == "price"
+    rank = (lambda o: rerank.price_rerank(o, cat)) if distinct else lambda o: rerank.ctr_rerank(o, ctr_, cat)
+    want = sorted(map(tuple, rank(rerank.translate_and_filter(sim, servable, cat, distinct)).collect()))
+    few = rerank.translate_and_filter(sim, servable, cat, distinct, symmetric=True, kept=kept)
+    assert want and sorted(map(tuple, rank(few).collect())) == want
+    assert {r["sim_offer"] for r in few.collect()} == ({"oa", "oc"} if distinct else {"oa", "oc", "od"})
+
+
+def test_ranks_when_groups_share_a_bucket(spark, monkeypatch):
+    """A bucket with many rows is not a large group: its groups are counted one by one."""
+    rows = spark.createDataFrame([(f"g{k % 9}" if k % 2 else "big", k) for k in range(400)] + [(None, 1)], "m string, x int")
+    for buckets, hot in ((1, 100), (1, 300), (65_536, 100), (65_536, 500)):
+        monkeypatch.setattr(ranking, "BUCKETS", buckets)
+        got = ranking.ranked(rows, "m", [F.col("x").asc()], hot_rows=hot).collect()
+        want = {}
+        for m in {r["m"] for r in got}:
+            want |= {(m, x): n for n, x in enumerate(sorted(r["x"] for r in got if r["m"] == m), 1)}
+        assert len(got) == 401 and all(r["rank"] == want[r["m"], r["x"]] for r in got)
