@@ -31,31 +31,41 @@ def spread(df: DataFrame, *cols: str) -> DataFrame:
 
 def basket_pairs(df: DataFrame, group_cols: Sequence[str], item_col: str = "item_id",
                  carry: Sequence[str] = (), distinct: bool = True,
-                 nullable_groups: Sequence[str] = (), block_items: int = BLOCK_ITEMS) -> DataFrame:
+                 nullable_groups: Sequence[str] = (), block_items: int = BLOCK_ITEMS, wide: str | None = None) -> DataFrame:
     """Unordered item pairs per group: ``(*group_cols, item_i, item_j, *carry_i, *carry_j)``.
 
     ``carry`` columns are attributes of the item (functionally dependent on it) copied to both
     sides with suffixes ``_i`` / ``_j``. Rows are deduplicated on (group, item, carry) first when
     ``distinct`` is set, so each pair appears once per group. Group columns listed in
     ``nullable_groups`` compare null-safe (a null is a group of its own); rows with a null in
-    another group column, or a null item, pair with nothing.
+    another group column, or a null item, pair with nothing. ``wide`` names a boolean column that is the same in all rows
+    of a group, and true in every group of more than ``block_items`` rows: other groups are not looked through for large ones.
     """
     there = F.col(item_col).isNotNull()
     for g in group_cols:
         there = there if g in nullable_groups else there & F.col(g).isNotNull()
-    base = df.where(there).select(*group_cols, item_col, *carry)
+    mark = [] if wide is None else [F.col(wide).alias("_wide")]
+    base = df.where(there).select(*group_cols, item_col, *carry, *mark)
     if distinct:
         base = base.distinct()
     # Rows are dealt by group and sorted once; a group's size comes with its rows, and those that stay alone go no further.
     by_group = Window.partitionBy(*group_cols)
-    rows = spread(base, *group_cols).sortWithinPartitions(*group_cols, item_col).withColumn("_size", F.count(F.lit(1)).over(by_group))
+    dealt = spread(base, *group_cols)
+    sized = lambda df: df.sortWithinPartitions(*group_cols, item_col).withColumn("_size", F.count(F.lit(1)).over(by_group))
+    rows = sized(dealt)
     # A group of one block is complete where it was counted: each item meets the earlier ones.
     earlier = F.collect_list(F.struct(F.col(item_col).alias("_item"), *carry)).over(
         by_group.orderBy(item_col).rowsBetween(Window.unboundedPreceding, -1))
-    small = rows.where(F.col("_size").between(2, block_items)).withColumn("_e", earlier)
+    alone = F.col("_size") <= block_items
+    if wide is not None:  # so both parts read the same columns of one shuffle
+        alone = alone | ~F.col("_wide")
+    small = rows.where((F.col("_size") >= 2) & alone).withColumn("_e", earlier)
     small = small.select(*group_cols, item_col, *carry, F.explode("_e").alias("_a")).where(F.col("_a._item") != F.col(item_col))
     small = small.select(*group_cols, F.col("_a._item").alias("item_i"), F.col(item_col).alias("item_j"),
                          *[F.col(f"_a.{c}").alias(f"{c}_i") for c in carry], *[F.col(c).alias(f"{c}_j") for c in carry])
+    if wide is not None:
+        # Asked of each row after the shuffle: a plain filter would move below it, and the shuffle would run twice.
+        rows = sized(dealt.where(F.when(F.monotonically_increasing_id() >= 0, F.col("_wide"))))
     dealt = rows.where(F.col("_size") > block_items)
     dealt = dealt.withColumn("_blocks", F.ceil(F.col("_size") / F.lit(block_items)).cast("int"))
     dealt = dealt.withColumn("_block", F.pmod(F.xxhash64(item_col), "_blocks").cast("int"))

@@ -31,18 +31,20 @@ def _cf_base(interactions: DataFrame, catalog: DataFrame, min_user_rows: int, ma
     whole = by_user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # One shuffle, sort and window by user gives rows of a user and distinct items, one by item their support and category.
     rows = _rows(interactions).repartition("user_id").sortWithinPartitions("user_id", "item_id")
-    rows = rows.withColumn("_before", F.lag("item_id").over(by_user)).withColumn("_active", F.count(F.lit(1)).over(whole).between(min_user_rows, max_user_rows))
+    n = F.count(F.lit(1)).over(whole)
+    # A user's items of one category are no more than the user's rows.
+    rows = rows.withColumns({"_before": F.lag("item_id").over(by_user), "_active": n.between(min_user_rows, max_user_rows), "wide": n > BLOCK_ITEMS})
     rows = rows.where(F.col("_before").isNull() | (F.col("_before") != F.col("item_id")))
-    held = (rows.select("user_id", "item_id", "_active").repartition("item_id").withColumn("nor", F.count(F.when(F.col("_active"), 1)).over(by_item))
+    held = (rows.select("user_id", "item_id", "_active", "wide").repartition("item_id").withColumn("nor", F.count(F.when(F.col("_active"), 1)).over(by_item))
             .where(F.col("nor") >= min_support))
     if strict_users:
         held = held.where("_active")
-    return held.join(_categories(catalog, category_col).distinct(), "item_id").select("user_id", "category", "item_id", "nor")
+    return held.join(_categories(catalog, category_col).distinct(), "item_id").select("user_id", "category", "item_id", "nor", "wide")
 
 
 def _cf_scores(base: DataFrame) -> DataFrame:
     pairs = basket_pairs(base, ["user_id", "category"], "item_id", carry=["nor"], distinct=False,
-                         nullable_groups=["category"])
+                         nullable_groups=["category"], wide="wide" if "wide" in base.columns else None)
     co = pairs.groupBy("item_i", "item_j", "nor_i", "nor_j").agg(F.count(F.lit(1)).alias("co"))
     both = symmetrize(co, "item_i", "item_j", paired=[("nor_i", "nor_j")], keep=["co"])
     return both.select("item_i", "item_j", "co", "nor_i", "nor_j",

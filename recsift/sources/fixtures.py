@@ -28,10 +28,11 @@ def _k(props="props"):
 def orders_log(spark, sf_dir, start=None, end=None) -> DataFrame:
     """``tx``: one row per line item, user = customer, item = part; optionally of a date range."""
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    o = load(spark, f"{sf_dir}/orders.parquet", date_col="o_orderdate", start=start, end=end).select("o_orderkey", "o_custkey", "o_orderdate")
+    o = load(spark, f"{sf_dir}/orders.parquet", date_col="o_orderdate", start=start, end=end).select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("user_id"), "o_orderdate")  # made once for an order
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
-        F.col("o_custkey").cast("string").alias("user_id"),
+        "user_id",
         F.col("l_partkey").cast("string").alias("item_id"),
         F.col("l_linenumber").alias("line_no"),
         F.col("o_orderdate").alias("ts"),

@@ -526,3 +526,15 @@ def test_ranks_when_groups_share_a_bucket(spark, monkeypatch):
         for m in {r["m"] for r in got}:
             want |= {(m, x): n for n, x in enumerate(sorted(r["x"] for r in got if r["m"] == m), 1)}
         assert len(got) == 401 and all(r["rank"] == want[r["m"], r["x"]] for r in got)
+
+
+def test_wide_groups_are_told_before_rows_are_sorted(spark):
+    """Pairs are the same with the mark; both parts read one shuffle."""
+    rows = [(g, f"i{k:02d}", n > 4) for g, n in (("one", 1), ("s", 4), ("w", 9), ("v", 3), (None, 7)) for k in range(n)]
+    df = text_io.stage(spark.createDataFrame([(g, i, w or g == "v") for g, i, w in rows], "g string, item_id string, w boolean"), "wide")
+    for block in (4, 5, 9):
+        want = pairs.basket_pairs(df, ["g"], distinct=False, nullable_groups=["g"], block_items=block).collect()
+        got = pairs.basket_pairs(df, ["g"], distinct=False, nullable_groups=["g"], block_items=block, wide="w")
+        assert sorted((r["g"] or "", *r[1:]) for r in got.collect()) == sorted((r["g"] or "", *r[1:]) for r in want) and len(want) == 6 + 36 + 3 + 21
+        # Where no group is large, the plan drops that part once the shuffle is done.
+        assert block == 9 or "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
