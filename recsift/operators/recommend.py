@@ -56,7 +56,7 @@ def user_recommendations(candidates: DataFrame, behaviour: DataFrame, save_count
 
     A trigger's entries become one array, at most its quota long; how many items the earlier triggers hold is
     a running sum over one row per trigger, and the array is cut by it. A window thus never holds entries
-    of several triggers.
+    of several triggers. Entries take one shuffle, by user, which serves all of these steps.
     """
     c = candidates.select(F.col("main_id").alias("trigger_item"), F.col("rank").cast("bigint").alias("rank"), F.col("sim_id").alias("item_id"))
     e = _triggers(candidates, behaviour, save_count, min_limit, join_key).join(c, "trigger_item").where(F.col("rank") <= F.greatest("quota", F.lit(1)))
@@ -64,7 +64,7 @@ def user_recommendations(candidates: DataFrame, behaviour: DataFrame, save_count
     allowed = F.col("rank") <= F.col("quota")
     first = F.row_number().over(Window.partitionBy("user_id", "item_id").orderBy(allowed.desc(), "tpos", "rank"))
     own = F.when(F.col("allowed") & (F.col("occ") == 1), F.struct("rank", "item_id"))
-    lists = (e.withColumn("allowed", allowed).withColumn("occ", first)
+    lists = (e.repartition("user_id").withColumn("allowed", allowed).withColumn("occ", first)
              .groupBy("user_id", "trigger_item", "trigger_type", "time", "tpos").agg(F.array_sort(F.collect_list(own)).alias("l")))
     earlier = Window.partitionBy("user_id").orderBy("tpos").rowsBetween(Window.unboundedPreceding, -1)
     left = F.greatest(F.lit(save_count) - F.coalesce(F.sum(F.size("l")).over(earlier), F.lit(0)), F.lit(0)).cast("int")

@@ -538,3 +538,12 @@ def test_wide_groups_are_told_before_rows_are_sorted(spark):
         assert sorted((r["g"] or "", *r[1:]) for r in got.collect()) == sorted((r["g"] or "", *r[1:]) for r in want) and len(want) == 6 + 36 + 3 + 21
         # Where no group is large, the plan drops that part once the shuffle is done.
         assert block == 9 or "ReusedExchange" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_user_entries_take_one_shuffle(spark, no_broadcast):
+    cand = spark.createDataFrame([("a", 1, "x", 0.5), ("a", 2, "y", 0.5), ("b", 1, "x", 0.5)], "main_id string, rank int, sim_id string, score double")
+    beh = spark.createDataFrame([("u", "a", 2, 5), ("u", "b", 1, 5)], "user_id string, item_id string, trigger_type int, time int")
+    out = recommend.user_recommendations(cand, beh)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(user_id#") == 2  # behaviour and entries
+    assert [(r["trigger_item"], r["pos"], r["item_id"]) for r in out.orderBy("tpos", "pos").collect()] == [("a", 1, "x"), ("a", 2, "y"), ("b", None, None)]
