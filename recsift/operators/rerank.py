@@ -77,6 +77,11 @@ def price_offers(catalog: DataFrame, min_sales: int = 10, min_discount: float =
     return _prices(catalog).where(sold & (discount_ratio("raw_price", "zk_price") > F.lit(float(min_discount)))).select("offer_id")
 
 
+def ctr_offers(ctr: DataFrame) -> DataFrame:
+    """``kept`` of ``translate_and_filter``: the candidates with a click rate; ``ctr_rerank`` drops others."""
+    return ctr.where(F.col("ctr").isNotNull()).select("offer_id")
+
+
 def price_candidates(sim_offers: DataFrame, catalog: DataFrame, min_sales: int = 10) -> DataFrame:
     """Offer pairs with both prices attached (the scored-list content).
 

@@ -152,7 +152,8 @@ def _price_lists(spark, d, fan=False, offers=None, item_sim=None):
 
 
 def _ctr_lists(spark, d, item_sim=None):
-    return rr.ctr_rerank(_offers(spark, d, distinct=False, item_sim=item_sim), _ctr(spark, d, "plain"), fx.catalog(spark, d))
+    c = _ctr(spark, d, "plain")
+    return rr.ctr_rerank(_offers(spark, d, distinct=False, item_sim=item_sim, kept=rr.ctr_offers(c)), c, fx.catalog(spark, d))
 
 
 @query

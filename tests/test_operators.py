@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from recsift.operators import corpus, ctr, evaluate, features, pairs, ranking, recommend, rerank, similarity
+from recsift.operators import corpus, ctr, evaluate, features, filters, pairs, ranking, recommend, rerank, similarity
 from recsift.sources import tables, text_io
 
 CAT_SCHEMA = "item_id string, status int, product_type int, subcate_id string"
@@ -495,7 +495,7 @@ def test_symmetric_pairs_are_looked_up_once_for_both_directions(spark, no_broadc
     assert re.search(r"Filter .*item_i#\d+ < item_j#\d+", plan)
 
 
-@pytest.mark.parametrize("table", ["price"])
+@pytest.mark.parametrize("table", ["price", "ctr"])
 def test_offers_dropped_later_do_not_meet_pairs(spark, table):
     """Ranked lists are the same with and without the offers that the re-rank keeps named beforehand."""
     items = "abcdef"
@@ -507,7 +507,7 @@ def test_offers_dropped_later_do_not_meet_pairs(spark, table):
                                 "item_id string, offer_id string, status int, product_type int, raw_price double, zk_price double, month_sales int")
     ctr_ = spark.createDataFrame([("oa", 0.5), ("oc", None), ("oc", 0.25), ("od", 0.5), ("oe", None)], "offer_id string, ctr double")
     servable = cat.select("item_id", "offer_id")
-    kept = rerank.price_offers(cat)
+    kept = rerank.price_offers(cat) if table == "price" else rerank.ctr_offers(ctr_)
     distinct = table == "price"
     rank = (lambda o: rerank.price_rerank(o, cat)) if distinct else lambda o: rerank.ctr_rerank(o, ctr_, cat)
     want = sorted(map(tuple, rank(rerank.translate_and_filter(sim, servable, cat, distinct)).collect()))
@@ -547,3 +547,9 @@ def test_user_entries_take_one_shuffle(spark, no_broadcast):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(user_id#") == 2  # behaviour and entries
     assert [(r["trigger_item"], r["pos"], r["item_id"]) for r in out.orderBy("tpos", "pos").collect()] == [("a", 1, "x"), ("a", 2, "y"), ("b", None, None)]
+
+
+def test_item_of_a_log_row_is_tested_once(spark):
+    log = spark.createDataFrame([("u", '{"k": "7"}'), ("u", '{"k": "0"}'), ("u", '{"k": ""}'), ("u", "{}"), ("", '{"k": "7"}'), (None, '{"k": "8"}')], "user_id string, p string")
+    got = filters.valid_interactions(log.withColumn("item_id", F.get_json_object("p", "$.k")), event_name=None).select("user_id")
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1 and got.count() == 1
