@@ -28,6 +28,10 @@ from recsift.llm.common import staged
 FILTERS = "ABCDE"
 #: Bytes of text of a shard, unless one document is longer.
 SHARD_BYTES = 8 << 20
+#: Shards whose words, or whose rows, meet in one task of the global dictionary, on average, at most.
+TASK_SHARDS = 4
+#: Buckets of words for each shuffle partition of the session, so that many shards can use more tasks than those.
+SPLIT = 4
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 MARKS = "#$%&*|"
 
@@ -57,6 +61,10 @@ def _counted(texts: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray, np.
     return np.searchsorted(entry // n, np.arange(len(texts) + 1)), (entry % n).astype(np.int32), times.astype(np.int32), found.astype(np.int32), blobs
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``(shard, doc_id, part, fails, digest, indptr, indices, data, buckets, words)``, a row per shard.
 
@@ -65,7 +73,7 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     ``digest`` is the SHA-256 of the text. To be stored before use, as the shard's number is that of the task.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = SPLIT * _partitions(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId() << 32
@@ -97,8 +105,8 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
 def _dealt(local: DataFrame) -> DataFrame:
     """``(bucket, shard, at, word, rank)``: every shard's words, dealt over buckets while still joined, and the words' numbers in their bucket."""
     sent = local.select("shard", F.explode(F.arrays_zip("buckets", "words")).alias("x")).select("shard", F.col("x.buckets").alias("bucket"), "x.words")
-    n = int(local.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = sent.repartition(n, "bucket").select("bucket", "shard", F.posexplode(F.split("words", " ")).alias("at", "word"))
+    tasks = max(_partitions(local), -(-local.count() // TASK_SHARDS))
+    each = sent.repartition(tasks, "bucket").select("bucket", "shard", F.posexplode(F.split("words", " ")).alias("at", "word"))
     return each.withColumn("rank", F.dense_rank().over(Window.partitionBy("bucket").orderBy("word")))
 
 
@@ -112,7 +120,11 @@ def encoded(local: DataFrame) -> tuple[DataFrame, DataFrame]:
     ranks = staged(ranks, "ranks", "zstd")
     sizes = ranks.groupBy("bucket").agg(F.max(F.array_max("ranks")).cast("long").alias("n"))  # a row per bucket
     first = sizes.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("first"))
-    codes = ranks.join(F.broadcast(first), "bucket").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("bucket", "first", "ranks"))).alias("codes"))  # a shard's own words
+    # Both sides are dealt by shard over so many tasks that each holds a few shards: merged by their compressed bytes, tasks would hold dozens.
+    count = local.count()
+    tasks = max(1, min(count, _partitions(local)), -(-count // TASK_SHARDS))
+    sent = ranks.join(F.broadcast(first), "bucket").select("shard", F.struct("bucket", "first", "ranks").alias("x")).repartition(tasks, "shard")
+    codes = sent.groupBy("shard").agg(F.sort_array(F.collect_list("x")).alias("codes"))  # a shard's own words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -129,17 +141,17 @@ def encoded(local: DataFrame) -> tuple[DataFrame, DataFrame]:
                 made.append(number[own].astype(np.int64).tobytes())
             yield b.set_column(at, "indices", pa.array(made, pa.binary())).drop_columns(["codes"])
 
-    slim = local.drop("buckets", "words")
+    slim = local.drop("buckets", "words").repartition(tasks, "shard")
     kinds = ", ".join(f"{c} {t}" for c, t in slim.dtypes)
     return slim.join(codes, "shard", "left").select(*slim.columns, "codes").mapInArrow(run, kinds), first
 
 
 def matrix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "source", shard_bytes: int = SHARD_BYTES) -> tuple[DataFrame, DataFrame]:
     """The document-term matrix of all ``docs`` as stored CSR shards, and its dictionary ``(word, word_id)``, made when used."""
-    local = staged(shards(docs, id_col, text_col, part_col, shard_bytes), "shards", "zstd")
+    local = staged(shards(docs, id_col, text_col, part_col, shard_bytes), "shards", "zstd", wide=True)
     csr, first = encoded(local)
     words = _dealt(local).select("bucket", "word", "rank").distinct().join(F.broadcast(first), "bucket")
-    return staged(csr, "csr", "zstd"), words.select("word", (F.col("first") + F.col("rank") - 1).alias("word_id"))
+    return staged(csr, "csr", "zstd", wide=True), words.select("word", (F.col("first") + F.col("rank") - 1).alias("word_id"))
 
 
 def _flags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,7 @@
 from itertools import permutations
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from recsift.llm import filter_audit
@@ -88,3 +89,26 @@ def test_matrix_is_that_of_the_words(spark):
 def test_a_hot_text_and_a_hot_source(spark):
     docs = [(i, "same text" if i % 2 else f"text {i}", "hot" if i % 3 else None) for i in range(3000)]
     assert got(filter_audit.audit(spark.createDataFrame(docs, DOCS), spark.createDataFrame([], LABELS))) == expected(docs, [])
+
+
+def test_stored_shards_are_not_held_by_the_hundred(spark, monkeypatch):
+    from recsift.llm import common
+
+    monkeypatch.setattr(common, "GROUP_BYTES", 1 << 10, raising=False)
+    docs = [(i, " ".join(f"w{i}x{j}" for j in range(300)), "s") for i in range(40)]
+    few = spark.createDataFrame(docs, DOCS).coalesce(1)
+    local = common.staged(filter_audit.shards(few, shard_bytes=1), "shards", "zstd", wide=True)
+    csr, _ = filter_audit.matrix(few, shard_bytes=1)
+    for stored in (local, csr):
+        files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in stored.inputFiles()]
+        groups = [m.row_group(g).num_rows for m in files for g in range(m.num_row_groups)]
+        assert sum(groups) == stored.count() >= 40 and max(groups) == 1
+
+
+def test_many_shards_take_more_tasks_than_shuffle_partitions(spark):
+    docs = [(i, f"a b c{i}", "s") for i in range(200)]
+    local = filter_audit.staged(filter_audit.shards(spark.createDataFrame(docs, DOCS), shard_bytes=1), "shards")
+    tasks = -(-200 // filter_audit.TASK_SHARDS)
+    assert tasks > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    csr, _ = filter_audit.encoded(local)
+    assert csr.rdd.getNumPartitions() == tasks
