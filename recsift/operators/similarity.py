@@ -97,6 +97,10 @@ def pair_support(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_u
 
 #: Basket entries met by one item up to which one row gathers them.
 HOT_ENTRIES = 200_000
+#: Basket entries met by one item up to which 16 bits of their hashes tell them apart well enough.
+SHORT_ENTRIES = 1 << 14
+#: Combinations of a pair's users in one task of the overlaps, on average, at most.
+TASK_COMBINATIONS = 400_000
 
 
 def _active_baskets(orders: DataFrame, min_rows: int) -> DataFrame:
@@ -105,17 +109,21 @@ def _active_baskets(orders: DataFrame, min_rows: int) -> DataFrame:
     Swing reads it for item support, for pairs and for overlaps; stored, its inputs are read and planned
     once, and a lost executor re-reads the table.
     """
-    held = _rows(orders).groupBy("user_id", "item_id").agg(F.count(F.lit(1)).alias("n"))
-    heavy = held.groupBy("user_id").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("held")).where(F.col("n") >= min_rows)
-    return stage(held.select("user_id", "item_id").join(heavy.select("user_id", "held"), "user_id"), "baskets")
+    by_user = Window.partitionBy("user_id").orderBy("item_id")
+    whole = by_user.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # One shuffle and sort by user gives rows of a user, distinct items and their number.
+    rows = _rows(orders).repartition("user_id").sortWithinPartitions("user_id", "item_id")
+    rows = rows.withColumns({"_n": F.count(F.lit(1)).over(whole), "_before": F.lag("item_id").over(by_user)}).where(F.col("_n") >= min_rows)
+    held = rows.where(F.col("_before").isNull() | (F.col("_before") != F.col("item_id"))).select("user_id", "item_id")
+    return stage(held.withColumn("held", F.count(F.lit(1)).over(whole)), "baskets")
 
 
 def _swing_user_pairs(ui: DataFrame, min_users: int, hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """``(user_id, item_i, item_j)`` of every item pair held by ``min_users`` users or more.
 
     Most pairs of a large log are held by fewer, so pairs are counted before rows are made of them. Every item
-    gets from each of its users the later items of the basket, as one array of 32-bit hashes; hashes that fewer
-    than ``min_users`` of those arrays hold stand for no supported pair and go. Equal hashes of different items only
+    gets from each of its users the later items of the basket, as one array of 32-bit hashes, or of their last
+    16 bits for an item that meets up to ``SHORT_ENTRIES`` entries; hashes that fewer ``min_users`` of those arrays hold stand for no supported pair and go. Equal hashes of different items only
     keep more, and the rest is joined with the baskets by user and hash, which gives back the items. Items that meet
     over ``hot_entries`` entries of baskets come last in each order: they gather nothing, and their few pairs
     with each other become rows at once, so no list grows with a popular item.
@@ -123,30 +131,41 @@ def _swing_user_pairs(ui: DataFrame, min_users: int, hot_entries: int = HOT_ENTR
     if min_users < 2:
         return basket_pairs(ui.select("user_id", "item_id"), ["user_id"], "item_id", distinct=False)
     items = ui.groupBy("item_id").agg(F.count(F.lit(1)).alias("n"), F.sum("held").alias("met")).where(F.col("n") >= min_users)
-    x = ui.join(items.select("item_id", (F.col("met") > hot_entries).alias("hot")), "item_id").withColumn("h", F.hash("item_id"))
+    marks = items.select("item_id", (F.col("met") > hot_entries).alias("hot"), (F.col("met") <= SHORT_ENTRIES).alias("short"))
+    low = lambda h: (h.bitwiseAND(0xFFFF) - F.lit(1 << 15)).cast("short")
+    x = ui.join(marks, "item_id").withColumn("h", F.hash("item_id"))
     hot = basket_pairs(x.where("hot").select("user_id", "item_id"), ["user_id"], "item_id", distinct=False)
     # Large baskets are dealt into blocks, as in basket_pairs; a list holds the items of a pair of blocks.
     blocks = F.ceil(F.col("held") / F.lit(BLOCK_ITEMS)).cast("int")
     dealt = x.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("item_id"), "blocks").cast("int"))
     pair_of = lambda q: F.struct(F.least("block", q).alias("p"), F.greatest("block", q).alias("q"))
-    member = dealt.select("user_id", F.struct("hot", "item_id", "h", "block").alias("x"),
+    member = dealt.select("user_id", F.struct("hot", "item_id", "h", "block", "short").alias("x"),
                           F.explode(F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), pair_of)).alias("k"))
     lists = member.repartition("user_id", "k").groupBy("user_id", "k").agg(F.sort_array(F.collect_list("x")).alias("l"))
-    lists = lists.select("user_id", "k", "l", F.col("l.h").alias("hs"))
-    later = F.when(F.col("k.p") == F.col("k.q"), F.slice("hs", F.col("at") + 2, F.size("hs"))).otherwise(
-        F.transform(F.filter(F.slice("l", F.col("at") + 2, F.size("l")), lambda y: y["block"] != F.col("x.block")), lambda y: y["h"]))
-    each = lists.select("user_id", "k", "l", "hs", F.posexplode("l").alias("at", "x")).where(~F.col("x.hot") & (F.col("at") + 1 < F.size("hs")))
-    entry = each.select(F.col("x.item_id").alias("item"), F.struct("user_id", later.alias("hs")).alias("e"))
+    # Every item of a list gets a copy of what it looks through: of most lists, which are one block, hashes alone.
+    lists = lists.select("user_id", "l", F.when(F.col("k.p") != F.col("k.q"), F.col("l")).alias("two"), F.col("l.h").alias("hs")).withColumn("gs", F.transform("hs", low))
+
+    def later(c: str, of):
+        other_block = F.filter(F.slice("two", F.col("at") + 2, F.size("hs")), lambda y: y["block"] != F.col("x.block"))
+        return F.when(F.col("two").isNull(), F.slice(c, F.col("at") + 2, F.size("hs"))).otherwise(F.transform(other_block, lambda y: of(y["h"])))
+
+    each = lists.select("user_id", "two", "hs", "gs", F.posexplode("l").alias("at", "x")).where(~F.col("x.hot") & (F.col("at") + 1 < F.size("hs")))
+    entry = each.select(F.col("x.item_id").alias("item"), F.struct("user_id", F.when(~F.col("x.short"), later("hs", lambda h: h)).alias("hs"),
+                                                                    F.when(F.col("x.short"), later("gs", low)).alias("gs")).alias("e"))
     # Sorted inside the aggregation, which no filter passes, so once for each item.
-    lists = entry.repartition("item").groupBy("item").agg(F.collect_list("e").alias("es"), F.sort_array(F.flatten(F.collect_list("e.hs"))).alias("all"))
-    again = F.filter("all", lambda h, i: h == F.get("all", i + (min_users - 1)))
-    often = lists.select("item", "es", F.array_distinct(again).alias("often")).where(F.size("often") > 0)
-    left = often.select("item", "often", F.explode("es").alias("e"))
-    left = left.select(F.col("e.user_id").alias("user_id"), "item", F.explode(F.array_intersect("e.hs", "often")).alias("h"))
+    sorted_all = lambda c: F.sort_array(F.flatten(F.collect_list(c)))
+    lists = entry.repartition("item").groupBy("item").agg(F.collect_list("e").alias("es"), sorted_all("e.hs").alias("all_hs"), sorted_all("e.gs").alias("all_gs"))
+    again = lambda c: F.array_distinct(F.filter(c, lambda h, i: h == F.get(c, i + (min_users - 1))))
+    often = lists.select("item", "es", again("all_hs").alias("often_hs"), again("all_gs").alias("often_gs"))
+    often = often.where((F.size("often_hs") > 0) | (F.size("often_gs") > 0))
+    left = often.select("item", "often_hs", "often_gs", F.explode("es").alias("e"))
+    wide = F.transform(F.array_intersect("e.hs", "often_hs"), lambda h: F.struct(low(h).alias("g"), h.alias("h")))
+    short = F.transform(F.array_intersect("e.gs", "often_gs"), lambda g: F.struct(g.alias("g"), F.lit(None).cast("int").alias("h")))
+    left = left.select(F.col("e.user_id").alias("user_id"), "item", F.explode(F.coalesce(wide, short)).alias("x"))
     # Equal hashes in two blocks of one basket would come twice.
-    left = left.repartition("user_id", "h").distinct()
-    other = x.select("user_id", "h", F.col("item_id").alias("other"), "hot")
-    met = left.join(other, ["user_id", "h"]).where(F.col("hot") | (F.col("item") < F.col("other")))
+    left = left.select("user_id", F.col("x.g").alias("g"), "item", F.col("x.h").alias("h")).repartition("user_id", "g").distinct()
+    other = x.select("user_id", low(F.col("h")).alias("g"), F.col("h").alias("full"), F.col("item_id").alias("other"), "hot")
+    met = left.join(other, ["user_id", "g"]).where((F.col("h").isNull() | (F.col("h") == F.col("full"))) & (F.col("hot") | (F.col("item") < F.col("other"))))
     return met.select("user_id", F.least("item", "other").alias("item_i"), F.greatest("item", "other").alias("item_j")).unionByName(hot)
 
 
@@ -182,32 +201,67 @@ def _pair_users(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
     return users.where(F.size("us").between(min_users, max_users))
 
 
-def _band_user_pairs(pu: DataFrame, min_users: int, max_users: int) -> DataFrame:
-    """``(item_i, item_j, u, v)`` with u < v for every item pair whose support is in the band.
+def _met_users(lists: DataFrame, ui: DataFrame, max_array: int) -> DataFrame:
+    """``(pair, u, v, overlap)`` for the 2-combinations of the users ``us`` of every pair of ``lists (pair, us)``; overlap = |I_u & I_v|.
 
-    The 2-combinations of a pair's users, at most ``max_users``, come from the sorted array without a self-join.
+    Users are dealt by hash into groups, and a block is a group of u and one of v. A user's basket, one array, goes once to
+    every block where the user has pairs, not to each pair, so it moves as often as there are such blocks at most. In the block, sorted by u,
+    the basket stands before the user's pairs and is handed to the first row of each (u, v); sorted by v, likewise, the two
+    meet, and the other rows of (u, v) take the number. Windows stream, so nothing grows with a user's pairs. Baskets of over
+    ``max_array`` items do not move: their overlap is null here.
     """
-    first = _pair_users(pu, min_users, max_users).select("item_i", "item_j", "us", F.posexplode("us").alias("p", "u"))
-    return first.select("item_i", "item_j", "u",
-                        F.explode(F.slice("us", F.col("p") + 2, max_users)).alias("v"))
+    combined = lists.agg(F.sum(F.size("us") * (F.size("us") - 1) / 2)).first()[0] or 0
+    n = max(int(lists.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1 + int(combined // TASK_COMBINATIONS))
+    groups = max(1, round((2 * n) ** 0.5))
+    group = lambda c: F.pmod(F.xxhash64(c), F.lit(groups))
+    first = lists.select("pair", "us", F.posexplode("us").alias("p", "u"))
+    pairs = first.select("pair", "u", F.explode(F.slice("us", F.col("p") + 2, F.size("us"))).alias("v"))
+    pairs = pairs.select((group("u") * groups + group("v")).cast("int").alias("block"), F.col("u").alias("k"), "v", "pair")
+    there = pairs.select("block", F.explode(F.array("k", "v")).alias("k")).distinct()
+    baskets = ui.where(F.col("held") <= max_array).groupBy("user_id").agg(F.collect_list("item_id").alias("items"))
+    there = there.join(baskets.withColumnRenamed("user_id", "k"), "k", "left")
+    dealt = pairs.unionByName(there, allowMissingColumns=True).repartition(n, "block")
+
+    def upto(*keys: str):
+        return Window.partitionBy(*keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    pair, by_u = F.col("v").isNotNull(), Window.partitionBy("block", "k").orderBy("v")  # nulls, the baskets, come first
+    rows = dealt.withColumns({"own": F.first("items").over(upto("block", "k", "v")), "before": F.lag("v").over(by_u)})
+    again = F.coalesce(F.col("before") == F.col("v"), F.lit(False))
+    rows = rows.select("block", F.coalesce("v", "k").alias("v"), F.when(pair, F.col("k")).alias("u"), again.alias("again"), "pair",
+                       F.when(~again, F.col("own")).alias("items"))
+    by_v = Window.partitionBy("block", "v").orderBy("u", "again").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("own", F.first("items").over(by_v))
+    known = F.col("u").isNotNull() & F.col("items").isNotNull() & F.col("own").isNotNull()
+    rows = rows.select("block", "v", "u", "again", "pair", F.when(known, F.size(F.array_intersect("items", "own"))).cast("bigint").alias("overlap"))
+    rows = rows.withColumn("overlap", F.first("overlap").over(upto("block", "v", "u", "again")))
+    return rows.where(F.col("u").isNotNull()).select("pair", "u", "v", "overlap")
 
 
 def swing_scores(orders: DataFrame, min_rows: int = 2, min_users: int = 3, max_users: int = 99,
                  alpha: float = 1.0, max_array: int = 512) -> DataFrame:
     """``(item_i, item_j, score)``: Swing score sum over user pairs ``1 / (alpha + |I_u & I_v|)``.
 
-    User pairs of in-band item pairs come from ``_band_user_pairs``; overlaps are computed once per
-    distinct user pair (see ``_user_overlaps``); popular items are never self-joined. The terms of a
-    pair, at most one per two of its ``max_users`` users, are added in ascending order, so the
+    In-band item pairs are stored with their users, at most ``max_users``; the overlap of two users is computed in
+    a block of users (see ``_met_users``), or in chunks where a basket has over ``max_array`` items (see
+    ``_user_overlaps``); popular items are never self-joined. The terms of a pair, at most one per two of its users, are added in ascending order, so the
     score does not depend on how rows were shuffled.
     """
+    if max_array < 1:
+        raise ValueError("max_array must be at least 1")
     ui = _active_baskets(orders, min_rows)
-    up = _band_user_pairs(_swing_user_pairs(ui, min_users), min_users, max_users)
-    overlap = _user_overlaps(up.select("u", "v").distinct(), ui, max_array)
-    terms = (up.join(overlap, ["u", "v"])
-             .groupBy("item_i", "item_j")
-             .agg(F.array_sort(F.collect_list(F.lit(1.0) / (F.lit(float(alpha)) + F.col("overlap")))).alias("terms")))
-    return terms.select("item_i", "item_j", F.aggregate("terms", F.lit(0.0), lambda s, t: s + t).alias("score"))
+    lists = _pair_users(_swing_user_pairs(ui, min_users), min_users, max_users)
+    lists = stage(lists.withColumn("pair", F.monotonically_increasing_id()), "pair_users")
+    met = _met_users(lists.select("pair", "us"), ui, max_array)
+    if not ui.where(F.col("held") > max_array).isEmpty():
+        met = stage(met, "met_users")
+        open_ = met.where(F.col("overlap").isNull()).drop("overlap")
+        overlap = _user_overlaps(open_.select("u", "v").distinct(), ui, max_array)
+        met = met.where(F.col("overlap").isNotNull()).unionByName(open_.join(overlap, ["u", "v"]).select("pair", "u", "v", "overlap"))
+    terms = met.groupBy("pair").agg(F.collect_list("overlap").alias("overlaps"))
+    terms = terms.select("pair", F.array_sort(F.transform("overlaps", lambda n: F.lit(1.0) / (F.lit(float(alpha)) + n))).alias("terms"))
+    named = terms.join(lists.select("pair", "item_i", "item_j"), "pair")
+    return named.select("item_i", "item_j", F.aggregate("terms", F.lit(0.0), lambda s, t: s + t).alias("score"))
 
 
 def swing(orders: DataFrame, catalog: DataFrame, min_rows: int = 2, min_users: int = 3, max_users: int = 99,

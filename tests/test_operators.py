@@ -553,3 +553,48 @@ def test_item_of_a_log_row_is_tested_once(spark):
     log = spark.createDataFrame([("u", '{"k": "7"}'), ("u", '{"k": "0"}'), ("u", '{"k": ""}'), ("u", "{}"), ("", '{"k": "7"}'), (None, '{"k": "8"}')], "user_id string, p string")
     got = filters.valid_interactions(log.withColumn("item_id", F.get_json_object("p", "$.k")), event_name=None).select("user_id")
     assert got._jdf.queryExecution().optimizedPlan().toString().count("get_json_object") == 1 and got.count() == 1
+
+
+def test_swing_baskets_move_once_a_block_not_once_a_pair(spark, monkeypatch):
+    """A user with pairs to many users sends the basket to the blocks of those users; scores are those of brute force."""
+    rows = [(f"u{u}", f"i{i}") for u in range(40) for i in range(12) if (u * i + u // 3) % 4 != 1] + [("big", f"i{i}") for i in range(12)] + [("big", f"x{i}") for i in range(20)]
+    held = {}
+    for u, i in rows:
+        held.setdefault(u, set()).add(i)
+    pairs = {}
+    for u in held:
+        for p in itertools.combinations(sorted(held[u]), 2):
+            pairs.setdefault(p, []).append(u)
+    added = lambda us: list(itertools.accumulate(sorted(1 / (1.0 + len(held[u] & held[v])) for u, v in itertools.combinations(us, 2))))[-1]
+    want = {p: added(us) for p, us in pairs.items() if 3 <= len(us) <= 99}
+    orders = spark.createDataFrame(rows, "user_id string, item_id string")
+    ui = similarity._active_baskets(orders, 2)
+    lists = similarity._pair_users(similarity._swing_user_pairs(ui, 3), 3, 99).withColumn("pair", F.monotonically_increasing_id())
+    for most, combinations in ((512, 400_000), (512, 50), (20, 400_000)):
+        monkeypatch.setattr(similarity, "TASK_COMBINATIONS", combinations)
+        met = similarity._met_users(similarity.stage(lists, "test_lists").select("pair", "us"), ui, most).collect()
+        assert {(r.u, r.v, r.overlap) for r in met} == {(u, v, None if max(len(held[u]), len(held[v])) > most else len(held[u] & held[v]))
+                                                       for us in (pairs[p] for p in want) for u, v in itertools.combinations(sorted(us), 2)}
+        assert len(met) == sum(len(pairs[p]) * (len(pairs[p]) - 1) // 2 for p in want)
+        got = {(r.item_i, r.item_j): r.score for r in similarity.swing_scores(orders, max_array=most).collect()}
+        assert got == want
+
+
+def test_swing_baskets_take_one_shuffle(spark, monkeypatch):
+    plans = []
+    monkeypatch.setattr(similarity, "stage", lambda df, name: plans.append(df._jdf.queryExecution().executedPlan().toString()) or df)
+    similarity._active_baskets(spark.createDataFrame([("u", "a"), ("u", "b"), ("u", "a")], "user_id string, item_id string"), 2)
+    assert plans[0].count("Exchange") == 1
+
+
+@pytest.mark.parametrize("short", [0, 1 << 14])
+def test_swing_short_and_long_hashes_give_the_same_pairs(spark, monkeypatch, short):
+    rows = [(f"u{u}", f"i{i}") for u in range(12) for i in range(9) if (u + i) % 3]
+    # The last 16 bits tell nothing apart, the others do.
+    monkeypatch.setattr(similarity.F, "hash", lambda c: F.crc32(F.col(c).cast("binary")).bitwiseAND(0x7FFF0000).cast("int"))
+    monkeypatch.setattr(similarity, "SHORT_ENTRIES", short)
+    for block in (256, 2):
+        monkeypatch.setattr(similarity, "BLOCK_ITEMS", block)
+        ui = similarity._active_baskets(spark.createDataFrame(rows, "user_id string, item_id string"), 1)
+        got = similarity._pair_users(similarity._swing_user_pairs(ui, 3), 3, 99).selectExpr("item_i", "item_j", "size(us)").collect()
+        assert sorted(map(tuple, got)) == _brute_support(rows, 3, 99)
